@@ -10,7 +10,6 @@ from tallyrill.functions.codec import decode, encode, rejects, topic_rows
 from tallyrill.functions.scalars import epoch_to_ts, offset_bucket
 from tallyrill.models import (
     COMMENT,
-    CORRUPT,
     REDDITOR,
     SUBMISSION,
     SUBREDDIT,
@@ -56,6 +55,17 @@ def active_approx_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.windowed_active(b.events(spark, sf_dir), size=HOUR)
 
 
+def active_approx_error_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the approximate count keeps to its error bound, per day."""
+    ev = b.events(spark, sf_dir)
+    per_day = ev.groupBy(F.window("created_utc", "1 day")).agg(
+        F.approx_count_distinct("subreddit", windows.RSD).alias("approx"),
+        F.count_distinct("subreddit").alias("exact"),
+    )
+    close = F.abs(F.col("approx") - F.col("exact")) <= 4 * windows.RSD * F.col("exact")
+    return per_day.select(F.col("window.end").alias("window"), "exact", close.alias("within_bound"))
+
+
 def activity_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-pass aggregate behind the speed layer, without its approximate column."""
     return windows.windowed_activity(b.kinds(b.events(spark, sf_dir))).drop("active_subreddits")
@@ -69,7 +79,7 @@ def tag_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pivot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.pivot_counts(ranking.tag_union(b.kinds(b.events(spark, sf_dir))))
+    return ranking.pivot_counts(b.tagged(b.events(spark, sf_dir)))
 
 
 def latest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,11 +87,11 @@ def latest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.trending(b.kinds(b.events(spark, sf_dir)))
+    return ranking.trending_tagged(b.tagged(b.events(spark, sf_dir)))
 
 
 def trending_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.trending(b.line_kinds(b.lines(spark, sf_dir)))
+    return ranking.trending_tagged(b.lines(spark, sf_dir))
 
 
 def trending_since(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,7 +329,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         win_submissions_5s, win_comments_5s, win_all_1h, win_sliding_1h_15m, win_lines_7d,
-        active_exact_1h, active_approx_1h, activity_5s, tag_union, pivot_counts, latest_time,
+        active_exact_1h, active_approx_1h,
+        active_approx_error_1d, activity_5s, tag_union, pivot_counts, latest_time,
         trending, trending_lines, trending_since, trending_one_kind, trending_null, empty_side,
         scan_since, discover, offset_append, offset_latest, bucket, epoch, decode_props,
         decode_conversations, decode_rejects, upsert, compact, lookback, merge_max, latest_n,

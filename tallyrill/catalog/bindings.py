@@ -44,6 +44,13 @@ def kinds(ev: DataFrame) -> dict[str, DataFrame]:
     return {"submissions": submissions(ev), "comments": comments(ev)}
 
 
+def tagged(ev: DataFrame) -> DataFrame:
+    """Both kinds as one tagged table, so that the events are scanned once."""
+    kind = F.when(F.col("event_type") == "purchase", "submissions").otherwise("comments")
+    both = ev.where(F.col("event_type").isin("purchase", "view"))
+    return both.select("subreddit", "created_utc", kind.alias("kind"))
+
+
 def second_half(ev: DataFrame) -> Column:
     """True past the middle offset: what a second run finds."""
     return F.col("offset") > ev.agg((F.floor(F.max("offset") / 2))).scalar()
@@ -133,16 +140,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as activity: part as key, line status as kind, ship date as time."""
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").cast("string").alias("subreddit"),
-        F.col("l_linestatus").alias("kind"),
+        F.when(F.col("l_linestatus") == "O", "submissions").otherwise("comments").alias("kind"),
         F.col("l_shipdate").alias("created_utc"),
     )
 
 
-def line_kinds(items: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "submissions": items.where(F.col("kind") == "O"),
-        "comments": items.where(F.col("kind") == "F"),
-    }
-
-
 MODELS_USED = (SUBMISSION, COMMENT)

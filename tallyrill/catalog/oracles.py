@@ -75,6 +75,9 @@ ORACLES = {
         "FROM events", "1 hour",
         "count(DISTINCT user_id) AS active_subreddits, count(user_id) AS submissions_and_comments",
     ),
+    "active_approx_error_1d": f"""
+        SELECT w AS "window", count(DISTINCT user_id) AS exact, true AS within_bound
+        FROM (SELECT *, {_end("1 day")} AS w FROM events) GROUP BY w""",
     "activity_5s": _counts(
         BOTH, "5 seconds",
         "count(*) FILTER (event_type = 'purchase') AS submissions, "

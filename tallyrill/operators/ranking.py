@@ -8,17 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOP = 25
+KEY = "subreddit"
 KINDS = ("submissions", "comments")
 
 
-def tag_union(sides: dict[str, DataFrame], key: str = "subreddit") -> DataFrame:
-    """Keys of all sides in one table, each row tagged with its kind."""
-    tagged = [side.select(key, F.lit(kind).alias("kind")) for kind, side in sides.items()]
+def tag_union(sides: dict[str, DataFrame], *columns: str) -> DataFrame:
+    """The named columns (by default the key) of all sides, each row tagged with its kind."""
+    tagged = [
+        side.select(*(columns or (KEY,)), F.lit(kind).alias("kind"))
+        for kind, side in sides.items()
+    ]
     return reduce(DataFrame.unionByName, tagged)
 
 
 def pivot_counts(
-    tagged: DataFrame, key: str = "subreddit", kinds: tuple[str, ...] = KINDS
+    tagged: DataFrame, key: str = KEY, kinds: tuple[str, ...] = KINDS
 ) -> DataFrame:
     """Count per key and kind, one column per kind, absent kinds as 0.
 
@@ -62,21 +66,28 @@ def rank(
 
 
 def trending(
-    sides: dict[str, DataFrame], key: str = "subreddit", ts: str = "created_utc", n: int = TOP
+    sides: dict[str, DataFrame], key: str = KEY, ts: str = "created_utc", n: int = TOP
 ) -> DataFrame:
-    """The ``n`` keys with most records over all sides, stamped with the latest record time.
+    """The ``n`` keys with most records over all sides, stamped with the latest record time."""
+    return trending_tagged(tag_union(sides, key, ts), tuple(sides), key, ts, n)
 
-    Empty if no record has a time. Conditional counts need one shuffle where a pivot
-    needs two. Keys and times are separate scans of separate columns, so nothing is read
-    twice and the times are not shuffled.
+
+def trending_tagged(
+    tagged: DataFrame,
+    kinds: tuple[str, ...] = KINDS,
+    key: str = KEY,
+    ts: str = "created_utc",
+    n: int = TOP,
+) -> DataFrame:
+    """The same ranking of one table with a ``kind`` column. Empty if no record has a time.
+
+    Conditional counts need one shuffle where a pivot needs two. Keys and times are
+    separate scans of separate columns, so times are not shuffled by key.
     """
-    kinds = tuple(sides)
-    counts = (
-        tag_union(sides, key)
-        .groupBy(key)
-        .agg(*[F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds])
+    counts = tagged.groupBy(key).agg(
+        *[F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds]
     )
-    last_update = latest_time(sides, ts).scalar()
+    last_update = tagged.agg(F.max(ts)).scalar()
     return rank(counts, last_update, key, kinds, n).where(F.col("last_update").isNotNull())
 
 

@@ -86,7 +86,8 @@ def windowed_activity(
 ) -> DataFrame:
     """Rows per kind, distinct keys and non-null keys per window, in one pass over all kinds.
 
-    One shuffle and one state row per window serve every windowed table; see ``split_activity``.
+    One shuffle and one state row per window serve every windowed table; see
+    ``split_activity``.
     """
     tagged = [
         (side.withWatermark(ts, watermark) if watermark else side).select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyrill.functions.codec import encode
 from tallyrill.models import TOPIC_SCHEMA, TopicModel
@@ -34,11 +35,18 @@ class Topics:
             return reader.option("subscribe", model.topic).load()
         return reader.schema(TOPIC_SCHEMA).load(self.path(model))
 
-    def publish(self, df: DataFrame, model: TopicModel) -> None:
-        """Encode records and send them to the broker, which gives them their offsets."""
+    def publish(
+        self, df: DataFrame, model: TopicModel, checkpoint: str | None = None
+    ) -> StreamingQuery | None:
+        """Encode records, a table or a stream, and send them to the broker without a key."""
         if self.format != "kafka":
-            raise ValueError("file topics have no broker: use append with topic rows")
-        encode(df, model).write.format("kafka").options(**self.options).save()
+            raise ValueError("file topics have no broker to give offsets: append topic rows")
+        records = encode(df, model)
+        if not df.isStreaming:
+            records.write.format("kafka").options(**self.options).save()
+            return None
+        writer = records.writeStream.format("kafka").options(**self.options)
+        return writer.option("checkpointLocation", checkpoint).start()
 
     def append(self, rows: DataFrame, model: TopicModel) -> None:
         """Add Kafka-shaped rows to a topic kept as files."""
