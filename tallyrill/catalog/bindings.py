@@ -57,9 +57,9 @@ def second_half(ev: DataFrame) -> Column:
 
 
 def directory_size(ev: DataFrame) -> int:
-    """Bucket size that makes at most a hundred buckets of these offsets."""
+    """Bucket size, a power of ten, that makes at most ten buckets of these offsets."""
     last = ev.agg(F.max("offset")).first()[0]
-    return max(BUCKET_SIZE, 10 ** (len(str(last)) - 2))
+    return max(BUCKET_SIZE, 10 ** (len(str(last)) - 1))
 
 
 def as_record(ev: DataFrame, model: TopicModel) -> DataFrame:

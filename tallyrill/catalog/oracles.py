@@ -169,7 +169,7 @@ ORACLES = {
                event_id AS "offset", offset_batch, 'CommentProducer' AS topic
         FROM (SELECT *, event_id // size * size AS offset_batch
               FROM ({COMMENTS}),
-                   (SELECT greatest(1000, CAST(pow(10, length(CAST(max(event_id) AS VARCHAR)) - 2)
+                   (SELECT greatest(1000, CAST(pow(10, length(CAST(max(event_id) AS VARCHAR)) - 1)
                                                AS BIGINT)) AS size FROM events))""",
     "st_land": f"""
         SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS subreddit,

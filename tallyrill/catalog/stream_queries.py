@@ -59,6 +59,11 @@ def _shuffled_halves(ev: DataFrame) -> list[DataFrame]:
     return [ev.where(first), ev.where(~first)]
 
 
+def _drop_topics(spark: SparkSession, job: Job) -> None:
+    """The encoded copies are as large as the tables, and read to the end by now."""
+    files.remove(spark, job.topics.root)
+
+
 def _shown(spark: SparkSession, job: Job, table: ServingTable) -> DataFrame:
     return job.serving.latest(spark, table).withColumn(
         "window", F.col("window").cast("timestamp_ntz")
@@ -78,6 +83,7 @@ def st_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
         "checkpointLocation", job.checkpoint("decode")
     ).trigger(availableNow=True).start()
     drain([query])
+    _drop_topics(spark, job)
     rows = spark.read.schema(decoded.schema).parquet(out)
     return rows.withColumn("created_utc", F.col("created_utc").cast("timestamp_ntz"))
 
@@ -89,6 +95,7 @@ def st_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in _shuffled_halves(ev):
         _feed(job, wave)
         drain(start_landing(streams, job))
+    _drop_topics(spark, job)
     rows = read_landed(spark, SUBMISSION, f"{job.landed}/submission")
     return rows.select(
         "id", "subreddit", "title", "selftext", "over_18", "offset", "partition",
@@ -103,6 +110,7 @@ def st_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     job, streams = _job(spark, ev), job_session(spark)
     _feed(job, ev)
     drain(start_stats(streams, job))
+    _drop_topics(spark, job)
     return _shown(spark, job, WINDOWED_SUBMISSIONS)
 
 
@@ -114,6 +122,7 @@ def st_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in (ev.where(later), ev.where(~later)):
         _feed(job, wave)
         drain(start_stats(streams, job))
+    _drop_topics(spark, job)
     return _shown(spark, job, WINDOWED_COMMENTS)
 
 
@@ -123,6 +132,7 @@ def st_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     job, streams = _job(spark, ev), job_session(spark)
     _feed(job, ev)
     drain(start_stats(streams, job))
+    _drop_topics(spark, job)
     return _shown(spark, job, UNIQUE_ACTIVE).drop("active_subreddits")
 
 
@@ -151,6 +161,7 @@ def st_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         drain(start_stats(streams, job))
     except StreamingQueryException:
         drain(start_stats(streams, job))
+    _drop_topics(spark, job)
     return _shown(spark, job, WINDOWED_SUBMISSIONS)
 
 
@@ -161,6 +172,7 @@ def st_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in _shuffled_halves(ev):
         _feed(job, wave)
         drain(start_stats(streams, job))
+    _drop_topics(spark, job)
     return _shown(spark, job, WINDOWED_SUBMISSIONS)
 
 
@@ -170,6 +182,7 @@ def st_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     job, streams = _job(spark, ev), job_session(spark)
     _feed(job, ev)
     drain(run_speed(streams, job, by_table=True))
+    _drop_topics(spark, job)
     measures = {
         "submissions": _shown(spark, job, WINDOWED_SUBMISSIONS),
         "comments": _shown(spark, job, WINDOWED_COMMENTS),
@@ -193,6 +206,7 @@ def speed_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         _feed(job, wave)
         drain(run_speed(streams, job))
         run_batch(streams, job)
+    _drop_topics(spark, job)
     return current_ranking(spark, job).withColumn(
         "last_update", F.col("last_update").cast("timestamp_ntz")
     )

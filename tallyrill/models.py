@@ -96,7 +96,8 @@ MODELS = {m.source: m for m in (SUBMISSION, COMMENT, SUBREDDIT, REDDITOR)}
 
 def model_of(name: str) -> TopicModel:
     """Look a model up by source name ('comment') or topic name ('CommentProducer')."""
-    return MODELS[name.lower().replace("producer", "")]
+    by_topic = {m.topic: m for m in MODELS.values()}
+    return MODELS.get(name) or by_topic[name]
 
 
 # The columns a Kafka source yields.

@@ -37,22 +37,22 @@ def latest_time(sides: dict[str, DataFrame], ts: str = "created_utc") -> DataFra
     return times.agg(F.max(ts).alias("last_update"))
 
 
-def activity_summary(tagged: DataFrame, *groups: str, ts: str = "created_utc") -> DataFrame:
-    """Row count, latest time and furthest offset per group.
+def kind_counts(tagged: DataFrame, key: str = KEY, kinds: tuple[str, ...] = KINDS) -> DataFrame:
+    """Count per key and kind from conditional counts: one shuffle where a pivot needs two.
 
-    All that a batch run needs, from one scan; a hot key shrinks to one row per task
-    before the shuffle.
+    A hot key shrinks to one row per task before that shuffle.
     """
-    return tagged.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.max(ts).alias("latest"),
-        F.max("offset_batch").alias("offset_batch"),
-        F.max("offset").alias("offset"),
+    return tagged.groupBy(key).agg(
+        *[F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds]
     )
 
 
 def rank(
-    counts: DataFrame, last_update: Column, key: str, kinds: tuple[str, ...], n: int
+    counts: DataFrame,
+    last_update: Column,
+    key: str = KEY,
+    kinds: tuple[str, ...] = KINDS,
+    n: int = TOP,
 ) -> DataFrame:
     """Top ``n`` keys by the total over all kinds; ties go to the smaller key."""
     total = reduce(lambda a, b: a + b, [F.col(kind) for kind in kinds])
@@ -81,24 +81,8 @@ def trending_tagged(
 ) -> DataFrame:
     """The same ranking of one table with a ``kind`` column. Empty if no record has a time.
 
-    Conditional counts need one shuffle where a pivot needs two. Keys and times are
-    separate scans of separate columns, so times are not shuffled by key.
+    Keys and times are separate scans of separate columns, so times are not shuffled.
     """
-    counts = tagged.groupBy(key).agg(
-        *[F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds]
-    )
     last_update = tagged.agg(F.max(ts)).scalar()
-    return rank(counts, last_update, key, kinds, n).where(F.col("last_update").isNotNull())
-
-
-def trending_from_summary(
-    summary: DataFrame, last_update: Column, key: str, kinds: dict[str, str], n: int = TOP
-) -> DataFrame:
-    """The same ranking from a summary by source and key; ``kinds`` maps source to kind."""
-    counts = summary.groupBy(key).agg(
-        *[
-            F.sum(F.when(F.col("source") == source, F.col("rows")).otherwise(0)).alias(kind)
-            for source, kind in kinds.items()
-        ]
-    )
-    return rank(counts, last_update, key, tuple(kinds.values()), n)
+    ranked = rank(kind_counts(tagged, key, kinds), last_update, key, kinds, n)
+    return ranked.where(F.col("last_update").isNotNull())

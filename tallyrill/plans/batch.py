@@ -7,21 +7,25 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrill.models import EVENT_TIME, TRENDING
-from tallyrill.operators.ranking import activity_summary, trending_from_summary
+from tallyrill.models import EVENT_TIME, OFFSET_LOG_SCHEMA, TRENDING
+from tallyrill.operators.ranking import kind_counts, rank
 from tallyrill.plans.layout import Job
-from tallyrill.sources import files, offsets
+from tallyrill.sources import offsets
 from tallyrill.sources.landed import read_since
 
 
 def updates(spark: SparkSession, job: Job, cumulative: bool = False) -> DataFrame:
-    """Source, position, time and key of all records past the logged positions."""
+    """Source, kind, position, time and key of all records past the logged positions.
+
+    The files are listed when this is called, so all jobs of a run see the same records.
+    """
     positions = {} if cumulative else offsets.positions(offsets.read_log(spark, job.offsets))
     return reduce(
         DataFrame.unionByName,
         [
             read_since(spark, model, f"{job.landed}/{source}", positions.get(source, {})).select(
                 F.lit(source).alias("source"),
+                F.lit(job.kinds[source]).alias("kind"),
                 "partition",
                 "offset_batch",
                 "offset",
@@ -33,31 +37,39 @@ def updates(spark: SparkSession, job: Job, cumulative: bool = False) -> DataFram
     )
 
 
+def progress(found: DataFrame) -> DataFrame:
+    """Per source and partition: last bucket, last offset, and latest time in microseconds."""
+    return found.groupBy("source", "partition").agg(
+        F.max("offset_batch").alias("offset_batch"),
+        F.max("offset").alias("offset"),
+        F.max(F.unix_micros(EVENT_TIME)).alias("latest"),
+    )
+
+
 def run_batch(spark: SparkSession, job: Job, cumulative: bool = False) -> int | None:
     """Process what has landed since the last run; return the run's id, None without updates.
 
-    The landed data is scanned once, into a summary table by source, partition and key;
-    ranking, latest time and new positions all come from that. The entry in the offset log
-    commits the run. After a crash before it the next run takes the same id and
-    overwrites what was left.
+    Two narrow scans: offsets and times shrink to one row per broker partition, which the
+    driver holds; keys are counted and ranked. The entry in the offset log commits the run.
+    After a crash before it the next run takes the same id and overwrites what was left.
     """
     run_id = offsets.last_run(spark, job.offsets) + 1
-    path = f"{job.root}/runs/run_id={run_id}"
-    summary = activity_summary(
-        updates(spark, job, cumulative), "source", "partition", job.key, ts=EVENT_TIME
-    )
-    summary.write.mode("overwrite").parquet(path)
-    summary = spark.read.schema(summary.schema).parquet(path)
+    found = updates(spark, job, cumulative)
+    reached = progress(found).collect()
+    if not reached:
+        return None
 
-    last_update, rows = summary.agg(F.max("latest"), F.count(F.lit(1))).first()
-    if last_update is not None:
-        stamp = summary.agg(F.max("latest")).scalar()
-        ranking = trending_from_summary(summary, stamp, job.key, job.kinds, job.top)
+    latest = max((r["latest"] for r in reached if r["latest"] is not None), default=None)
+    if latest is not None:
+        kinds = tuple(job.kinds.values())
+        counts = kind_counts(found, job.key, kinds)
+        ranking = rank(counts, F.timestamp_micros(F.lit(latest)), job.key, kinds, job.top)
         job.serving.upsert(ranking, TRENDING, run_id)
-    if rows:
-        offsets.append(spark, job.offsets, offsets.reached(summary), run_id)
-    files.remove(spark, path)
-    return run_id if rows else None
+
+    entry = [(r["source"], r["partition"], r["offset_batch"], r["offset"]) for r in reached]
+    schema = OFFSET_LOG_SCHEMA.removesuffix(", run_id bigint")
+    offsets.append(spark, job.offsets, spark.createDataFrame(entry, schema), run_id)
+    return run_id
 
 
 def ranking_table(spark: SparkSession, job: Job) -> DataFrame:

@@ -7,13 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Concurrent writers let the landing sink split a task's rows over bucket directories
-# without first sorting whole records by directory.
+# Changelog checkpoints upload a batch's changes instead of whole state files. Concurrent
+# writers let a landing task that meets few buckets write them without sorting its records.
 STREAM_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 

@@ -59,7 +59,7 @@ def positions(log: DataFrame) -> dict[str, dict[int, Position]]:
 
 def reached(updates: DataFrame) -> DataFrame:
     """Last bucket and offset in ``updates``, per source and partition."""
-    return latest(updates.select("source", "partition", "offset_batch", "offset"))
+    return latest(updates)
 
 
 def append(spark: SparkSession, path: str, current: DataFrame, run_id: int) -> None:

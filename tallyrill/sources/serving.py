@@ -28,8 +28,8 @@ def stream_version(generation: int, batch_id: int) -> int:
 class Serving:
     """The serving tables below ``root``, or in an external keyed store.
 
-    With ``format`` set, upserts are appended through that connector, whose store replaces
-    rows by key itself; reads, versions and compaction are then the store's business.
+    With ``format`` set, rows are written and read through that connector, whose store
+    replaces rows by key itself; it has no versions and needs no compaction.
     """
 
     root: str = ""
@@ -43,9 +43,8 @@ class Serving:
         """Replace the rows of the keys in ``df``. Rows without a full key are left out."""
         keyed = df.select(table.columns).dropna(subset=list(table.keys))
         if self.format:
-            keyed.write.format(self.format).options(**self.options).option(
-                "table", table.name
-            ).mode("append").save()
+            writer = keyed.write.format(self.format).options(**self.options)
+            writer.option("table", table.name).mode("append").save()
             return
         # Rebalancing lets adaptive execution write few files without a single-task write.
         keyed.withColumn("version", F.lit(version).cast("bigint")).hint("rebalance").write.mode(
@@ -66,6 +65,9 @@ class Serving:
 
         Filters on key columns pass below the aggregate into the Parquet scan.
         """
+        if self.format:
+            reader = spark.read.format(self.format).options(**self.options)
+            return reader.option("table", table.name).load().select(table.columns)
         rows = self.versions(spark, table)
         if upto is not None:
             rows = rows.where(F.col("version") <= upto)
@@ -84,6 +86,8 @@ class Serving:
         The newest version stays apart, since its stream may write it again. A row keeps
         its version, so a crash between rewriting and dropping leaves only duplicates.
         """
+        if self.format:
+            return
         parts = [n.split("=")[1] for n in files.children(spark, self.path(table))
                  if n.startswith("part=")]
         written = sorted((p for p in parts if not p.startswith("c")), key=int)

@@ -64,19 +64,6 @@ def test_plan_has_one_keyed_shuffle_and_no_full_sort(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_summary_ranking_agrees(spark):
-    sides = _sides(spark, [(1, "a"), (2, "b"), (3, None)], [(4, "b"), (5, "c")])
-    tagged = None
-    for source, kind in (("submission", "submissions"), ("comment", "comments")):
-        rows = sides[kind].select(
-            "*", F.lit(source).alias("source"), F.lit(0).alias("partition"),
-            F.lit(0).alias("offset_batch"), F.lit(0).alias("offset"),
-        )
-        tagged = rows if tagged is None else tagged.unionByName(rows)
-    summary = ranking.activity_summary(tagged, "source", "partition", "subreddit")
-    got = ranking.trending_from_summary(
-        summary, summary.agg(F.max("latest")).scalar(), "subreddit",
-        {"submission": "submissions", "comment": "comments"},
-    )
-    assert rows_of(got) == rows_of(ranking.trending(sides))
-    assert got.dtypes == ranking.trending(sides).dtypes
+def test_conditional_counts_agree_with_the_pivot(spark):
+    tagged = ranking.tag_union(_sides(spark, [(1, "a"), (2, "b")], [(4, "b"), (5, None)]))
+    assert rows_of(ranking.kind_counts(tagged)) == rows_of(ranking.pivot_counts(tagged))

@@ -135,10 +135,12 @@ def test_two_measures_stay_together(spark, store):
     assert seconds_of(store.latest(spark, UNIQUE_ACTIVE)) == {5: (7, 8)}
 
 
-def test_other_stores_get_plain_rows(spark, root):
-    store = Serving(format="json", options={"path": f"{root}/out"})
-    store.upsert(_windows(spark, {5: 1}), WINDOWED_COMMENTS, 1)
-    assert sorted(spark.read.json(f"{root}/out").columns) == ["count", "date", "window"]
+def test_other_stores_hold_plain_rows(spark, root):
+    store = Serving(format="parquet", options={"path": f"{root}/out"})
+    _put(spark, store, 1, {5: 1})
+    assert sorted(spark.read.parquet(f"{root}/out").columns) == ["count", "date", "window"]
+    store.compact(spark, WINDOWED_COMMENTS)
+    assert _now(spark, store) == {5: 1}
 
 
 @settings(max_examples=5, deadline=None)
