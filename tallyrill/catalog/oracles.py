@@ -166,11 +166,9 @@ ORACLES = {
     "st_decode": f"""
         SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS subreddit,
                event_type AS link_id, props AS body, date_trunc('second', ts) AS created_utc,
-               event_id AS "offset", offset_batch, 'CommentProducer' AS topic
-        FROM (SELECT *, event_id // size * size AS offset_batch
-              FROM ({COMMENTS}),
-                   (SELECT greatest(1000, CAST(pow(10, length(CAST(max(event_id) AS VARCHAR)) - 1)
-                                               AS BIGINT)) AS size FROM events))""",
+               event_id AS "offset", event_id // 1000 * 1000 AS offset_batch,
+               'CommentProducer' AS topic
+        FROM ({COMMENTS})""",
     "st_land": f"""
         SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS subreddit,
                event_type AS title, props AS selftext, value > 20 AS over_18,

@@ -37,11 +37,15 @@ from tallyrill.sources.serving import Serving
 from tallyrill.sources.topics import Topics
 
 
+# A micro-batch is the unit of recovery, so a large topic is read in several of them.
+BATCH_BYTES = str(1 << 40)
+
+
 def _job(spark: SparkSession, ev: DataFrame, **settings) -> Job:
     root = scratch(spark)
     return Job(
         root,
-        Topics("parquet", f"{root}/topics"),
+        Topics("parquet", f"{root}/topics", {"maxBytesPerTrigger": BATCH_BYTES}),
         bucket_size=b.directory_size(ev),
         trigger={"availableNow": True},
         **settings,

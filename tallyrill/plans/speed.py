@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyrill.functions.codec import decode
-from tallyrill.models import COMMENT, EVENT_TIME, SERVING, SUBMISSION, TopicModel
+from tallyrill.models import COMMENT, EVENT_TIME, SUBMISSION, TopicModel
 from tallyrill.operators.windows import (
     both_kinds,
     split_activity,
@@ -32,7 +32,7 @@ def start_landing(spark: SparkSession, job: Job) -> list[StreamingQuery]:
     ]
 
 
-def _activity(spark: SparkSession, job: Job, model: TopicModel):
+def _activity(spark: SparkSession, job: Job, model: TopicModel) -> DataFrame:
     """Time and key of a topic's records; no other field is parsed."""
     return decode(job.topics.read_stream(spark, model), model, [EVENT_TIME, job.key])
 
@@ -48,12 +48,11 @@ def start_stats(spark: SparkSession, job: Job) -> list[StreamingQuery]:
         upsert_stream(
             activity,
             job.serving,
-            SERVING,
+            lambda batch: split_activity(batch, kinds),
             "windowed_activity",
             job.checkpoint("windowed_activity"),
             job.generation,
             job.trigger,
-            lambda batch: split_activity(batch, kinds),
         )
     ]
 
@@ -75,7 +74,7 @@ def start_stats_by_table(spark: SparkSession, job: Job) -> list[StreamingQuery]:
         upsert_stream(
             updates,
             job.serving,
-            {name: SERVING[name]},
+            lambda batch, name=name: {name: batch},
             name,
             job.checkpoint(name),
             job.generation,

@@ -46,10 +46,8 @@ class Serving:
             writer = keyed.write.format(self.format).options(**self.options)
             writer.option("table", table.name).mode("append").save()
             return
-        # Rebalancing lets adaptive execution write few files without a single-task write.
-        keyed.withColumn("version", F.lit(version).cast("bigint")).hint("rebalance").write.mode(
-            "overwrite"
-        ).parquet(f"{self.path(table)}/part={version}")
+        stamped = keyed.withColumn("version", F.lit(version).cast("bigint"))
+        stamped.write.mode("overwrite").parquet(f"{self.path(table)}/part={version}")
 
     def versions(self, spark: SparkSession, table: ServingTable) -> DataFrame:
         """Every stored row with its version; empty before the first write."""

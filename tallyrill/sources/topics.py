@@ -18,7 +18,7 @@ class Topics:
     ``format='kafka'`` needs the Kafka connector on the classpath and passes ``options``
     on: bound each batch with ``maxOffsetsPerTrigger``, and set ``minPartitions`` to split
     the offset range of a hot broker partition over several tasks. ``format='parquet'``
-    reads ``root/<topic>``, where ``maxFilesPerTrigger`` bounds a batch.
+    reads ``root/<topic>``, where ``maxBytesPerTrigger`` bounds a batch.
     """
 
     format: str = "kafka"

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tallyrill.models import ServingTable, TopicModel
+from tallyrill.models import SERVING, TopicModel
 from tallyrill.sources.landed import DIRECTORIES, to_stored
 from tallyrill.sources.serving import Serving, stream_version
 
 Trigger = dict[str, object]
 
+ROWS_PER_FILE = 1_000_000
+
 
 def _start(writer: DataStreamWriter, name: str, checkpoint: str, trigger: Trigger | None):
     writer = writer.queryName(name).option("checkpointLocation", checkpoint)
@@ -46,29 +49,27 @@ def land(
 def upsert_stream(
     updates: DataFrame,
     serving: Serving,
-    tables: dict[str, ServingTable],
+    split: Callable[[DataFrame], dict[str, DataFrame]],
     name: str,
     checkpoint: str,
     generation: int = 0,
     trigger: Trigger | None = None,
-    split: Callable[[DataFrame], dict[str, DataFrame]] | None = None,
 ) -> StreamingQuery:
     """Write the changed rows of every micro-batch into serving tables, by key.
 
-    ``split`` makes several tables out of one batch; without it the batch goes to the one
-    table given. The checkpoint belongs to ``generation``: a new one needs a higher number.
+    ``split`` gives the rows of each table by its name. The checkpoint belongs to
+    ``generation``: a new one needs a higher number.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         version = stream_version(generation, batch_id)
-        if split is None:
-            (table,) = tables.values()
-            serving.upsert(batch, table, version)
-            return
         batch.persist()
         try:
-            for table_name, rows in split(batch).items():
-                serving.upsert(rows, tables[table_name], version)
+            # The cached rows fill as many partitions as the state; a batch needs few files.
+            n_files = math.ceil(batch.count() / ROWS_PER_FILE)
+            if n_files:
+                for table_name, rows in split(batch.coalesce(n_files)).items():
+                    serving.upsert(rows, SERVING[table_name], version)
         finally:
             batch.unpersist()
 

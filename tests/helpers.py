@@ -40,7 +40,8 @@ def record(key, seconds, **fields):
 def file_job(root, **settings):
     settings.setdefault("trigger", {"availableNow": True})
     settings.setdefault("bucket_size", 1000)
-    return Job(root, Topics("parquet", f"{root}/topics"), **settings)
+    settings.setdefault("topics", Topics("parquet", f"{root}/topics"))
+    return Job(root, **settings)
 
 
 def feed(spark, job, submissions=(), comments=(), partition=0, first_offset=0):

@@ -13,7 +13,7 @@ from tallyrill.models import COMMENT, SUBMISSION, TRENDING, UNIQUE_ACTIVE
 from tallyrill.models import WINDOWED_COMMENTS, WINDOWED_SUBMISSIONS
 from tallyrill.plans import batch, speed, upkeep
 from tallyrill.session import build_session, job_session, scratch, shared_folder
-from tallyrill.sources import landed, offsets
+from tallyrill.sources import files, landed, offsets
 from tallyrill.sources.topics import Topics
 from tallyrill.streaming.sinks import to_console
 
@@ -333,3 +333,25 @@ def test_landing_and_decoding_use_no_python(spark, root):
     run(speed.start_landing(job_session(spark), job))
     rows = landed.read_landed(spark, COMMENT, f"{job.landed}/comment")
     assert "Python" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_micro_batch_writes_few_files_and_none_when_nothing_changed(spark, root):
+    job, streams = file_job(root), job_session(spark)
+    feed(spark, job, _sub(*[("a", 7 * i) for i in range(40)]))
+    run(speed.start_stats(streams, job))
+    feed(spark, job, ["{"], first_offset=40)
+    run(speed.start_stats(streams, job))
+    path = job.serving.path(WINDOWED_SUBMISSIONS)
+    assert files.children(spark, path) == ["part=0"]
+    assert len([n for n in files.children(spark, f"{path}/part=0") if n.endswith(".parquet")]) == 1
+
+
+def test_topics_can_be_read_in_several_batches(spark, root):
+    job = file_job(root)
+    for i in range(3):
+        feed(spark, job, _sub(("a", i)), first_offset=i)
+    bounded = file_job(root, topics=Topics("parquet", f"{root}/topics", {"maxBytesPerTrigger": "1"}))
+    run(speed.start_stats(job_session(spark), bounded))
+    versions = bounded.serving.versions(spark, WINDOWED_SUBMISSIONS)
+    assert versions.select("version").distinct().count() == 3
+    assert _table(spark, bounded, WINDOWED_SUBMISSIONS) == {5: 3}
