@@ -68,7 +68,8 @@ def active_approx_error_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-pass aggregate behind the speed layer, without its approximate column."""
-    return windows.windowed_activity(b.kinds(b.events(spark, sf_dir))).drop("active_subreddits")
+    activity = windows.windowed_activity_tagged(b.tagged(b.events(spark, sf_dir)))
+    return activity.drop("active_subreddits")
 
 
 # Ranking
@@ -265,8 +266,8 @@ def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hourly(df: DataFrame) -> DataFrame:
-    return windows.windowed_count(df.withColumn("created_utc", F.col("created_utc").cast("timestamp")),
-                                  size=HOUR)
+    timed = df.withColumn("created_utc", F.col("created_utc").cast("timestamp"))
+    return windows.windowed_count(timed, size=HOUR)
 
 
 def _shown(rows: DataFrame) -> DataFrame:

@@ -209,7 +209,7 @@ def speed_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in (ev.where(~later), ev.where(later)):
         _feed(job, wave)
         drain(run_speed(streams, job))
-        run_batch(streams, job)
+        run_batch(spark, job)
     _drop_topics(spark, job)
     return current_ranking(spark, job).withColumn(
         "last_update", F.col("last_update").cast("timestamp_ntz")

@@ -7,11 +7,11 @@ kept for good; production streams should set one.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyrill.operators.ranking import KINDS, tag_union
+
 SIZE = "5 seconds"
 RSD = 0.05
 
@@ -89,19 +89,29 @@ def windowed_activity(
     One shuffle and one state row per window serve every windowed table; see
     ``split_activity``.
     """
-    tagged = [
-        (side.withWatermark(ts, watermark) if watermark else side).select(
-            ts, key, F.lit(kind).alias("kind")
-        )
-        for kind, side in sides.items()
-    ]
-    union = reduce(DataFrame.unionByName, tagged)
-    counted = _grouped(union, ts, size, slide, None).agg(
-        *[F.count_if(F.col("kind") == kind).alias(kind) for kind in sides],
+    if watermark:
+        sides = {kind: side.withWatermark(ts, watermark) for kind, side in sides.items()}
+    return windowed_activity_tagged(
+        tag_union(sides, ts, key), tuple(sides), ts, key, size, slide, rsd
+    )
+
+
+def windowed_activity_tagged(
+    tagged: DataFrame,
+    kinds: tuple[str, ...] = KINDS,
+    ts: str = "created_utc",
+    key: str = "subreddit",
+    size: str = SIZE,
+    slide: str | None = None,
+    rsd: float = RSD,
+) -> DataFrame:
+    """The same of one table with a ``kind`` column."""
+    counted = _grouped(tagged, ts, size, slide, None).agg(
+        *[F.count_if(F.col("kind") == kind).alias(kind) for kind in kinds],
         _distinct(key, False, rsd).alias("active_subreddits"),
         F.count(key).alias("submissions_and_comments"),
     )
-    return _labelled(counted, *sides, "active_subreddits", "submissions_and_comments")
+    return _labelled(counted, *kinds, "active_subreddits", "submissions_and_comments")
 
 
 def split_activity(activity: DataFrame, kinds: list[str]) -> dict[str, DataFrame]:

@@ -28,7 +28,7 @@ def build_session(app: str, **conf: str) -> SparkSession:
 
 
 def job_session(spark: SparkSession) -> SparkSession:
-    """A session beside ``spark`` (same cluster, own SQL settings) for streams and batch runs.
+    """A session beside ``spark`` (same cluster, own SQL settings) for streams.
 
     State holds one row per window, so it needs no more partitions than there are cores;
     Spark fixes the number when a stateful query first starts.
