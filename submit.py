@@ -1,6 +1,6 @@
 """Jobs for spark-submit: speed, batch, upkeep and view.
 
-    spark-submit submit.py speed  --root ROOT --topics kafka --option kafka.bootstrap.servers=HOST:PORT
+    spark-submit submit.py speed  --root ROOT --option kafka.bootstrap.servers=HOST:PORT
     spark-submit submit.py batch  --root ROOT
     spark-submit submit.py upkeep --root ROOT
     spark-submit submit.py view   --root ROOT --table windowed_comments
@@ -31,6 +31,8 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--watermark")
     parser.add_argument("--generation", type=int, default=0)
     parser.add_argument("--every", help="trigger interval, such as '5 seconds'")
+    parser.add_argument("--land-every", help="the same for landing: longer means larger files")
+    parser.add_argument("--strict", action="store_true", help="stop landing at a bad record")
     parser.add_argument("--once", action="store_true", help="process what is there, then stop")
     parser.add_argument("--by-table", action="store_true", help="one query per windowed table")
     parser.add_argument("--cumulative", action="store_true", help="rank all landed records")
@@ -41,14 +43,18 @@ def arguments() -> argparse.Namespace:
 def main() -> None:
     args = arguments()
     spark = build_session(f"activity-{args.job}")
-    trigger = {"processingTime": args.every} if args.every else None
+    once = {"availableNow": True} if args.once else None
+    every = {"processingTime": args.every} if args.every else None
+    land_every = {"processingTime": args.land_every} if args.land_every else None
     job = Job(
         root=args.root,
         topics=Topics(args.topics, args.topic_root, dict(o.split("=", 1) for o in args.option)),
         bucket_size=args.bucket_size,
         watermark=args.watermark,
         generation=args.generation,
-        trigger={"availableNow": True} if args.once else trigger,
+        trigger=once or every,
+        land_trigger=once or land_every,
+        mode="FAILFAST" if args.strict else "PERMISSIVE",
     )
     if args.job == "speed":
         queries = run_speed(spark, job, args.by_table)

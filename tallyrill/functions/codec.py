@@ -55,8 +55,8 @@ def decode(
     schema = model.schema_of(list(fields or model.keys))
     names = list(schema.names)
     options = {"mode": mode}
-    marks_corrupt = fields is None and mode == "PERMISSIVE"
-    if marks_corrupt:
+    strict = mode == "FAILFAST"
+    if fields is None and not strict:
         schema = schema.add(CORRUPT, "string")
         options["columnNameOfCorruptRecord"] = CORRUPT
 
@@ -73,10 +73,13 @@ def decode(
         offset_bucket("offset", bucket_size).alias("_offset_batch"),
         offset_bucket("offset", bucket_size).alias("offset_batch"),
     ]
-    if marks_corrupt:
-        unread = F.when(value.isNull(), F.coalesce(F.col("_text"), F.lit("")))
-        added.append(unread.otherwise(value.getField(CORRUPT)).alias(CORRUPT))
-        value = value.dropFields(CORRUPT)
+    if fields is None:
+        # The parser passes over empty text in either mode.
+        empty = F.raise_error(F.lit("empty record")) if strict else F.col("_text")
+        found = F.lit(None) if strict else value.getField(CORRUPT)
+        unread = F.when(value.isNull(), F.coalesce(empty.cast("string"), F.lit("")))
+        added.append(unread.otherwise(found).alias(CORRUPT))
+        value = value if strict else value.dropFields(CORRUPT)
     for name in names:
         field = F.col("_parsed").getField(name)
         added.append((epoch_to_ts(field) if name == EVENT_TIME else field).alias(name))

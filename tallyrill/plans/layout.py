@@ -18,6 +18,8 @@ class Job:
     ``kinds`` maps each consumed source to its column in the ranking. ``bucket_size`` sets
     how many offsets share a landing directory; choose it so that a directory holds about
     a gigabyte or more, since every directory and file costs the driver listing time.
+    ``land_trigger`` (by default ``trigger``) sets how much one landed file can hold.
+    ``mode='FAILFAST'`` stops landing at a record that does not fit its model.
     """
 
     root: str
@@ -28,6 +30,8 @@ class Job:
     rsd: float = RSD
     generation: int = 0
     trigger: dict[str, object] | None = None
+    land_trigger: dict[str, object] | None = None
+    mode: str = "PERMISSIVE"
     top: int = TOP
     key: str = "subreddit"
     kinds: dict[str, str] = field(

@@ -20,16 +20,19 @@ from tallyrill.streaming.sinks import land, upsert_stream
 
 def start_landing(spark: SparkSession, job: Job) -> list[StreamingQuery]:
     """One landing query per topic."""
-    return [
-        land(
-            decode(job.topics.read_stream(spark, model), model, bucket_size=job.bucket_size),
-            model,
-            f"{job.landed}/{source}",
-            job.checkpoint(f"land_{source}"),
-            job.trigger,
+    queries = []
+    for source, model in job.models.items():
+        raw = job.topics.read_stream(spark, model)
+        queries.append(
+            land(
+                decode(raw, model, bucket_size=job.bucket_size, mode=job.mode),
+                model,
+                f"{job.landed}/{source}",
+                job.checkpoint(f"land_{source}"),
+                job.land_trigger or job.trigger,
+            )
         )
-        for source, model in job.models.items()
-    ]
+    return queries
 
 
 def _activity(spark: SparkSession, job: Job, model: TopicModel) -> DataFrame:

@@ -73,9 +73,17 @@ def test_malformed_records_are_left_out_but_kept_as_rejects(spark):
     assert bad == [(1, texts[1]), (2, '{"s":'), (3, ""), (4, "null"), (5, "[]"), (6, "")]
 
 
-def test_fail_fast_stops_on_a_bad_record(spark):
-    with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        _decoded(spark, '{"s":', mode="FAILFAST").collect()
+@pytest.mark.parametrize("text", ['{"s":', '{"i":"x"}', "[]", "", None])
+def test_fail_fast_stops_on_a_bad_record(spark, text):
+    with pytest.raises(Exception, match="MALFORMED_RECORD|empty record"):
+        _decoded(spark, text, mode="FAILFAST").collect()
+
+
+def test_fail_fast_changes_no_good_record(spark):
+    texts = ['{"s":"x","created_utc":2}', "{}", '{"s":7,"b":true}']
+    strict = _decoded(spark, *texts, mode="FAILFAST")
+    assert strict.dtypes == _decoded(spark, *texts).dtypes
+    assert strict.collect() == _decoded(spark, *texts).collect()
 
 
 def test_decoding_some_fields_agrees_with_decoding_all(spark):
