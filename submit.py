@@ -1,5 +1,6 @@
-"""Jobs for spark-submit: speed, batch, upkeep and view.
+"""Jobs for spark-submit: publish, speed, batch, upkeep and view.
 
+    spark-submit submit.py publish --root ROOT --model comment --records PATH --option ...
     spark-submit submit.py speed  --root ROOT --option kafka.bootstrap.servers=HOST:PORT
     spark-submit submit.py batch  --root ROOT
     spark-submit submit.py upkeep --root ROOT
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import argparse
 
-from tallyrill.models import SERVING
+from tallyrill.models import MODELS, SERVING
 from tallyrill.plans.batch import run_batch
 from tallyrill.plans.layout import Job
 from tallyrill.plans.speed import drain, run_speed
@@ -22,11 +23,13 @@ from tallyrill.sources.topics import Topics
 
 def arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["speed", "batch", "upkeep", "view"])
+    parser.add_argument("job", choices=["publish", "speed", "batch", "upkeep", "view"])
     parser.add_argument("--root", required=True, help="folder shared by all executors")
     parser.add_argument("--topics", default="kafka", help="kafka, or parquet for file topics")
     parser.add_argument("--topic-root", help="folder of file topics")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    parser.add_argument("--model", choices=sorted(MODELS), default="submission")
+    parser.add_argument("--records", help="Parquet records to publish")
     parser.add_argument("--bucket-size", type=int, default=Job.bucket_size)
     parser.add_argument("--watermark")
     parser.add_argument("--generation", type=int, default=0)
@@ -56,7 +59,9 @@ def main() -> None:
         land_trigger=once or land_every,
         mode="FAILFAST" if args.strict else "PERMISSIVE",
     )
-    if args.job == "speed":
+    if args.job == "publish":
+        job.topics.publish(spark.read.parquet(args.records), MODELS[args.model])
+    elif args.job == "speed":
         queries = run_speed(spark, job, args.by_table)
         if args.once:
             drain(queries)

@@ -224,7 +224,7 @@ def encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = b.as_topic(b.documents(spark, sf_dir), SUBMISSION)
+    topic = topic_rows(b.documents(spark, sf_dir), SUBMISSION)
     return decode(topic, SUBMISSION).select(
         "topic", "offset", "offset_batch", "id", "subreddit", "subreddit_subscribers", "title",
         "author", "over_18", "selftext",
@@ -232,7 +232,7 @@ def decode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = b.as_topic(b.conversations(spark, sf_dir), COMMENT)
+    topic = topic_rows(b.conversations(spark, sf_dir), COMMENT)
     return decode(topic, COMMENT).select("id", "subreddit", "link_id", "author", "body")
 
 
@@ -245,11 +245,9 @@ def decode_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records damaged in several ways, by event type: what is rejected, what survives."""
-    ev = b.events(spark, sf_dir)
-    records = b.as_record(ev, SUBMISSION)
-    whole = topic_rows(records, SUBMISSION, F.col("partition"), F.col("offset"), F.col("_sent"))
-    kind = F.get_json_object(F.col("value").cast("string"), "$.title")
+    whole = topic_rows(b.as_record(b.events(spark, sf_dir), SUBMISSION), SUBMISSION)
     text = F.col("value").cast("string")
+    kind = F.get_json_object(text, "$.title")
     damaged = (
         F.when(kind == "error", F.substring(text, 1, 30))
         .when(kind == "signup", F.lit(""))

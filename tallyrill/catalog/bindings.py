@@ -85,23 +85,18 @@ def as_record(ev: DataFrame, model: TopicModel) -> DataFrame:
     return ev.select(
         "partition",
         "offset",
-        F.col("created_utc").cast("timestamp").alias("_sent"),
+        F.col("created_utc").cast("timestamp").alias("timestamp"),
         *[values[name].alias(name) for name in model.keys],
     )
 
 
-def event_topic(ev: DataFrame, model: TopicModel) -> DataFrame:
-    """The Kafka-shaped topic of a model, made of the events of its kind."""
-    kind = ev.where(F.col("event_type") == KIND_OF[model.source])
-    return as_topic(as_record(kind, model), model)
-
-
-def as_topic(records: DataFrame, model: TopicModel) -> DataFrame:
-    return topic_rows(records, model, F.col("partition"), F.col("offset"), F.col("_sent"))
+def event_records(ev: DataFrame, model: TopicModel) -> DataFrame:
+    """The events of a model's kind, as its records."""
+    return as_record(ev.where(F.col("event_type") == KIND_OF[model.source]), model)
 
 
 def decoded_events(ev: DataFrame, model: TopicModel, bucket_size: int) -> DataFrame:
-    return decode(event_topic(ev, model), model, bucket_size=bucket_size)
+    return decode(topic_rows(event_records(ev, model), model), model, bucket_size=bucket_size)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +104,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.lit(0).alias("partition"),
         F.col("doc_id").alias("offset"),
-        F.lit(None).cast("timestamp").alias("_sent"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
         F.col("doc_id").cast("string").alias("id"),
         F.col("source").alias("subreddit"),
         F.col("n_chars").cast("int").alias("subreddit_subscribers"),
@@ -126,7 +121,7 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select(
         F.lit(0).alias("partition"),
         F.col("conv_id").alias("offset"),
-        F.lit(None).cast("timestamp").alias("_sent"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
         F.concat_ws("-", "conv_id", "turn").alias("id"),
         F.lit(None).cast("string").alias("subreddit"),
         F.col("conv_id").cast("string").alias("link_id"),

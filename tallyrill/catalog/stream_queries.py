@@ -54,7 +54,7 @@ def _job(spark: SparkSession, ev: DataFrame, **settings) -> Job:
 
 def _feed(job: Job, ev: DataFrame) -> None:
     for model in b.MODELS_USED:
-        job.topics.append(b.event_topic(ev, model), model)
+        job.topics.publish(b.event_records(ev, model), model)
 
 
 def _shuffled_halves(ev: DataFrame) -> list[DataFrame]:

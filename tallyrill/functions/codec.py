@@ -25,17 +25,15 @@ def encode(df: DataFrame, model: TopicModel) -> DataFrame:
     return df.select(record_value(model).alias("value"), F.lit(model.topic).alias("topic"))
 
 
-def topic_rows(
-    df: DataFrame, model: TopicModel, partition: Column, offset: Column, timestamp: Column
-) -> DataFrame:
-    """Encoded records with the columns a broker would add, for topics kept as files."""
+def topic_rows(df: DataFrame, model: TopicModel) -> DataFrame:
+    """Kafka-shaped rows from records that bring their partition, offset and timestamp."""
     return df.select(
         F.lit(None).cast("binary").alias("key"),
         record_value(model).alias("value"),
         F.lit(model.topic).alias("topic"),
-        partition.cast("int").alias("partition"),
-        offset.cast("bigint").alias("offset"),
-        timestamp.cast("timestamp").alias("timestamp"),
+        F.col("partition").cast("int"),
+        F.col("offset").cast("bigint"),
+        F.col("timestamp").cast("timestamp"),
         F.lit(0).alias("timestampType"),
     )
 

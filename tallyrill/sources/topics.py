@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyrill.functions.codec import encode
+from tallyrill.functions.codec import encode, topic_rows
 from tallyrill.models import TOPIC_SCHEMA, TopicModel
 
 
@@ -38,16 +38,17 @@ class Topics:
     def publish(
         self, df: DataFrame, model: TopicModel, checkpoint: str | None = None
     ) -> StreamingQuery | None:
-        """Encode records, a table or a stream, and send them to the broker without a key."""
-        if self.format != "kafka":
-            raise ValueError("file topics have no broker to give offsets: append topic rows")
-        records = encode(df, model)
-        if not df.isStreaming:
-            records.write.format("kafka").options(**self.options).save()
-            return None
-        writer = records.writeStream.format("kafka").options(**self.options)
-        return writer.option("checkpointLocation", checkpoint).start()
-
-    def append(self, rows: DataFrame, model: TopicModel) -> None:
-        """Add Kafka-shaped rows to a topic kept as files."""
-        rows.select(TOPIC_SCHEMA.names).write.mode("append").parquet(self.path(model))
+        """Encode records, a table or a stream, and send them to the topic without a key.
+
+        Topics kept as files have no broker to place a record, so there ``df`` needs the
+        columns ``partition``, ``offset`` and ``timestamp`` beside the model's fields.
+        """
+        if self.format == "kafka":
+            records, options = encode(df, model), self.options
+        else:
+            records, options = topic_rows(df, model), {"path": self.path(model)}
+        if df.isStreaming:
+            writer = records.writeStream.format(self.format).options(**options)
+            return writer.option("checkpointLocation", checkpoint).start()
+        records.write.format(self.format).options(**options).mode("append").save()
+        return None

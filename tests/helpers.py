@@ -48,7 +48,7 @@ def feed(spark, job, submissions=(), comments=(), partition=0, first_offset=0):
     """One file per topic; topics without records still get their folder."""
     for model, texts in ((SUBMISSION, submissions), (COMMENT, comments)):
         rows = topic_of(spark, texts, model, partition, first_offset)
-        job.topics.append(rows.coalesce(1), model)
+        rows.coalesce(1).write.mode("append").parquet(job.topics.path(model))
 
 
 def run(queries):

@@ -190,8 +190,30 @@ def test_kafka_needs_its_connector(spark):
     topics = Topics(options={"kafka.bootstrap.servers": "none:1"})
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         topics.read_stream(spark, SUBMISSION)
-    with pytest.raises(ValueError):
-        Topics("parquet", "x").publish(spark.range(1), SUBMISSION)
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        topics.publish(spark.createDataFrame([], SUBMISSION.spark_schema), SUBMISSION)
+
+
+@pytest.mark.parametrize("streaming", [False, True])
+def test_published_records_reach_the_tables(spark, root, streaming):
+    job, streams = file_job(root), job_session(spark)
+    schema = f"partition int, offset bigint, timestamp timestamp, {_ddl(COMMENT)}"
+    rows = [(0, i, at(i), f"c{i}", "k", None, None, 1704067200.0 + i, "text") for i in range(7)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{root}/records")
+    reader = streams.readStream.schema(schema) if streaming else streams.read
+    query = job.topics.publish(reader.parquet(f"{root}/records"), COMMENT, f"{root}/publish")
+    if streaming:
+        query.processAllAvailable()
+        query.stop()
+    feed(spark, job, [])
+    run(speed.run_speed(streams, job))
+    assert _table(spark, job, WINDOWED_COMMENTS) == {5: 5, 10: 2}
+    back = landed.read_landed(spark, COMMENT, f"{job.landed}/comment")
+    assert rows_of(back.select("id", "body")) == [(f"c{i}", "text") for i in range(7)]
+
+
+def _ddl(model):
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in model.spark_schema)
 
 
 # Batch runs
