@@ -35,7 +35,7 @@ def _ranking(rows: str, key: str = "user_id", ts: str = "ts", kind: str = "event
 
 # Later counts replace earlier ones of the same hour.
 _P, _V = _counts(SUBMISSIONS, "1 hour"), _counts(COMMENTS, "1 hour")
-_LATER = _counts(f"SELECT * FROM events WHERE event_id > {HALF}", "1 hour")
+_S = _counts("SELECT * FROM events WHERE event_type = 'signup'", "1 hour")
 
 
 def _last_of(*versions: str) -> str:
@@ -48,19 +48,19 @@ def _last_of(*versions: str) -> str:
 
 
 _LAST_100 = f"""
-    SELECT "window", count AS y1 FROM ({_counts("FROM events", "5 seconds")})
+    SELECT "window", count AS y1 FROM ({_counts("SELECT * FROM events", "5 seconds")})
     ORDER BY "window" DESC LIMIT 100"""
 _HELD = f"""SELECT "window", count AS y1 FROM ({_P}) ORDER BY "window" DESC LIMIT 100"""
 _REFRESHED = f"""
     SELECT "window", max(y1) AS y1
     FROM (SELECT * FROM ({_HELD}) UNION ALL
-          SELECT "window", count AS y1 FROM ({_counts("FROM events", "1 hour")}))
+          SELECT "window", count AS y1 FROM ({_counts("SELECT * FROM events", "1 hour")}))
     GROUP BY "window" ORDER BY "window" DESC LIMIT 100"""
 
 ORACLES = {
     "win_submissions_5s": _counts(SUBMISSIONS, "5 seconds"),
     "win_comments_5s": _counts(COMMENTS, "5 seconds"),
-    "win_all_1h": _counts("FROM events", "1 hour"),
+    "win_all_1h": _counts("SELECT * FROM events", "1 hour"),
     "win_sliding_1h_15m": """
         SELECT CAST(w AS DATE) AS date, w AS "window", count(*) AS count
         FROM (SELECT time_bucket(INTERVAL '15 minutes', ts) + to_minutes(CAST(15 * i AS INTEGER)) AS w
@@ -72,7 +72,7 @@ ORACLES = {
                      + INTERVAL '7 days' AS w FROM lineitem)
         GROUP BY w""",
     "active_exact_1h": _counts(
-        "FROM events", "1 hour",
+        "SELECT * FROM events", "1 hour",
         "count(DISTINCT user_id) AS active_subreddits, count(user_id) AS submissions_and_comments",
     ),
     "active_approx_error_1d": f"""
@@ -95,7 +95,7 @@ ORACLES = {
         FROM ({BOTH}) GROUP BY 1""",
     "latest_time": f"SELECT max(ts) AS last_update FROM ({BOTH})",
     "trending": _ranking(BOTH),
-    "trending_lines": _ranking("FROM lineitem", "l_partkey", "l_shipdate", "l_linestatus", ("O", "F")),
+    "trending_lines": _ranking("SELECT * FROM lineitem", "l_partkey", "l_shipdate", "l_linestatus", ("O", "F")),
     "trending_since": _ranking(f"{BOTH} AND event_id > {HALF}"),
     "trending_one_kind": _ranking(SUBMISSIONS),
     "trending_null": """
@@ -151,9 +151,9 @@ ORACLES = {
         UNION ALL
         SELECT event_id, 'record' FROM events WHERE event_type NOT IN ('error', 'signup')""",
     "upsert": _last_of(_P, _V),
-    "compact": _last_of(_P, _V, _LATER),
+    "compact": _last_of(_P, _V, _S),
     "lookback": f"""
-        WITH hours AS ({_counts("FROM events", "1 hour")})
+        WITH hours AS ({_counts("SELECT * FROM events", "1 hour")})
         SELECT * FROM hours
         WHERE "window" > (SELECT max("window") FROM hours) - INTERVAL '20 hours'""",
     "merge_max": f"""
@@ -177,6 +177,7 @@ ORACLES = {
         FROM ({SUBMISSIONS})""",
     "st_upsert": _counts(SUBMISSIONS, "5 seconds"),
     "st_late": _V,
+    "st_watermark": _counts(f"{COMMENTS} AND event_id > {HALF}", "1 hour"),
     "st_active": _counts(BOTH, "5 seconds", "count(user_id) AS submissions_and_comments"),
     "st_replay": _counts(SUBMISSIONS, "5 seconds"),
     "st_restart": _P,

@@ -130,6 +130,18 @@ def st_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(spark, job, WINDOWED_COMMENTS)
 
 
+def st_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a watermark: the first half comes too late and is dropped."""
+    ev = b.events(spark, sf_dir)
+    job = _job(spark, ev, size="1 hour", watermark="1 hour")
+    streams, later = job_session(spark), b.second_half(ev)
+    for wave in (ev.where(later), ev.where(~later)):
+        _feed(job, wave)
+        drain(start_stats(streams, job))
+    _drop_topics(spark, job)
+    return _shown(spark, job, WINDOWED_COMMENTS)
+
+
 def st_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows over the union of both streams, without the approximate column."""
     ev = b.events(spark, sf_dir)
@@ -219,7 +231,7 @@ def speed_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        st_decode, st_land, st_upsert, st_late, st_active, st_replay, st_restart, st_all,
+        st_decode, st_land, st_upsert, st_late, st_watermark, st_active, st_replay, st_restart, st_all,
         speed_and_batch,
     )
 }

@@ -121,9 +121,31 @@ def test_a_new_generation_starts_over(spark, root):
     assert _table(spark, renewed, WINDOWED_SUBMISSIONS) == {5: 2}
 
 
+def test_plan_of_the_counts(spark, root):
+    job = file_job(root)
+    feed(spark, job, _sub(("a", 1)), _sub(("b", 2)))
+    queries = speed.start_stats(job_session(spark), job)
+    run(queries)
+    plan = queries[0]._jsq.explainInternal(False)
+    assert plan.count("from_json") == 2
+    assert plan.count("Exchange") == plan.count("StateStoreSave") == 1
+    assert plan.index("Exchange") < plan.index("partial_approx_count_distinct")
+    assert "ReadSchema: struct<value:binary>" in plan and "Python" not in plan
+
+
 # Landing
 
 
+def test_plan_of_landing(spark, root):
+    job = file_job(root)
+    feed(spark, job, _sub(("a", 1)))
+    queries = speed.start_landing(job_session(spark), job)
+    run(queries)
+    plan = queries[0]._jsq.explainInternal(False)
+    assert plan.count("from_json") == 1
+    assert "Exchange" not in plan and "Sort" not in plan and "Python" not in plan
+
+
 def test_landing_is_exactly_once_over_restarts(spark, root):
     job = file_job(root)
     streams = job_session(spark)
