@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrill.catalog import bindings as b
-from tallyrill.functions.codec import decode, encode, rejects, topic_rows
+from tallyrill.functions.codec import decode, encode, malformed, topic_rows
 from tallyrill.functions.scalars import epoch_to_ts, offset_bucket
 from tallyrill.models import (
     COMMENT,
+    CORRUPT,
     REDDITOR,
     SUBMISSION,
     SUBREDDIT,
@@ -244,7 +245,7 @@ def decode_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records damaged in several ways, by event type: what is rejected, what survives."""
+    """Records damaged in several ways, by event type: which are rejects, which stay records."""
     whole = topic_rows(b.as_record(b.events(spark, sf_dir), SUBMISSION), SUBMISSION)
     text = F.col("value").cast("string")
     kind = F.get_json_object(text, "$.title")
@@ -255,9 +256,13 @@ def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text)
     )
     decoded = decode(whole.withColumn("value", F.encode(damaged, "UTF-8")), SUBMISSION)
-    bad = rejects(decoded).select("offset", F.lit("reject").alias("part"))
-    good = landed.good_records(decoded, SUBMISSION).select("offset", F.lit("record").alias("part"))
-    return bad.unionByName(good)
+    parts = F.array_compact(
+        F.array(
+            F.when(F.col(CORRUPT).isNotNull(), F.lit("reject")),
+            F.when(~malformed(SUBMISSION), F.lit("record")),
+        )
+    )
+    return decoded.select("offset", F.explode(parts).alias("part"))
 
 
 # Serving tables and series
@@ -294,8 +299,7 @@ def lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows read again when a view refreshes: those after its position less the allowance."""
     store = Serving(scratch(spark))
     store.upsert(_hourly(b.events(spark, sf_dir)), WINDOWED_COMMENTS, 1)
-    max_ts = series.position(store.latest(spark, WINDOWED_COMMENTS)).scalar()
-    newer = series.look_back(max_ts, window_seconds=3600)
+    newer = series.look_back(store.latest(spark, WINDOWED_COMMENTS), window_seconds=3600)
     return _shown(store.read_since(spark, WINDOWED_COMMENTS, newer))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +18,15 @@ def position(series: DataFrame, window: str = "window") -> DataFrame:
 
 
 def look_back(
-    max_ts: datetime | Column, allowance: int = ALLOWANCE, window_seconds: int = WINDOW_SECONDS
+    series: DataFrame, allowance: int = ALLOWANCE, window_seconds: int = WINDOW_SECONDS
 ) -> Column:
-    """Windows later than ``allowance`` windows before ``max_ts``."""
-    span = timedelta(seconds=allowance * window_seconds)
-    if isinstance(max_ts, datetime):
-        return F.col("window") > F.lit(max_ts - span)
-    return F.col("window") > max_ts - F.lit(span)
+    """Windows later than ``allowance`` windows before the last one of the series.
+
+    The bound is one scalar, subtraction included, so the comparison reaches a Parquet scan.
+    """
+    span = F.lit(timedelta(seconds=allowance * window_seconds))
+    last = position(series)
+    return F.col("window") > last.select(F.col("max_ts") - span).scalar()
 
 
 def merge_max(held: DataFrame, read: DataFrame, window: str = "window") -> DataFrame:

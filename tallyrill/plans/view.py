@@ -12,7 +12,6 @@ from tallyrill.operators.series import (
     WINDOW_SECONDS,
     latest_n,
     look_back,
-    position,
     refresh,
     with_mean,
 )
@@ -41,11 +40,10 @@ def refresh_view(
     is checkpointed, so a view can be refreshed for as long as it runs.
     """
     shared_folder(spark)
-    max_ts = position(held).first()["max_ts"] if held is not None else None
-    if max_ts is None:
+    if held is None or held.isEmpty():
         series = latest_n(as_series(serving.read_since(spark, table), table), n).orderBy("window")
     else:
-        newer = look_back(max_ts, allowance, window_seconds)
+        newer = look_back(held, allowance, window_seconds)
         series = refresh(held, as_series(serving.read_since(spark, table, newer), table), n)
     return series.checkpoint()
 

@@ -83,6 +83,7 @@ class Serving:
 
         The newest version stays apart, since its stream may write it again. A row keeps
         its version, so a crash between rewriting and dropping leaves only duplicates.
+        A reader that had listed a dropped part must read again.
         """
         if self.format:
             return
