@@ -240,7 +240,7 @@ def decode_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON the events carry, decoded by a model of its own."""
     model = TopicModel("props", (("k", "integer"),))
-    topic = b.events(spark, sf_dir).select("offset", F.encode("props", "UTF-8").alias("value"))
+    topic = b.events(spark, sf_dir).select("offset", F.col("props").cast("binary").alias("value"))
     return decode(topic, model).select("offset", "k")
 
 
@@ -255,7 +255,7 @@ def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "click", F.regexp_replace(text, '"over_18":(true|false)', '"over_18":"x"'))
         .otherwise(text)
     )
-    decoded = decode(whole.withColumn("value", F.encode(damaged, "UTF-8")), SUBMISSION)
+    decoded = decode(whole.withColumn("value", damaged.cast("binary")), SUBMISSION)
     parts = F.array_compact(
         F.array(
             F.when(F.col(CORRUPT).isNotNull(), F.lit("reject")),

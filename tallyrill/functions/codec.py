@@ -17,7 +17,7 @@ def record_value(model: TopicModel) -> Column:
         F.col(name).cast("string").alias(name) if name in model.to_str else F.col(name)
         for name in model.keys
     ]
-    return F.encode(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), "UTF-8")
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).cast("binary")
 
 
 def encode(df: DataFrame, model: TopicModel) -> DataFrame:

@@ -63,6 +63,7 @@ def run_batch(spark: SparkSession, job: Job, cumulative: bool = False) -> int |
     if latest is not None:
         kinds = tuple(job.kinds.values())
         counts = kind_counts(found, job.key, kinds)
+        offsets.require_open(spark, job.offsets, run_id)
         ranking = rank(counts, F.timestamp_micros(F.lit(latest)), job.key, kinds, job.top)
         job.serving.upsert(ranking, TRENDING, run_id)
 

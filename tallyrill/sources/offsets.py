@@ -62,14 +62,20 @@ def reached(updates: DataFrame) -> DataFrame:
     return latest(updates)
 
 
+def require_open(spark: SparkSession, path: str, run_id: int) -> None:
+    """Fail if another run has taken this id, as when two runs overlap."""
+    if files.exists(spark, f"{path}/run_id={run_id}/_SUCCESS"):
+        raise RunCommitted(f"run {run_id} is already in {path}")
+
+
 def append(spark: SparkSession, path: str, current: DataFrame, run_id: int) -> None:
     """Commit a run: the positions in ``current``, and those of all other partitions as before."""
-    entry = f"{path}/run_id={run_id}"
-    if files.exists(spark, f"{entry}/_SUCCESS"):
-        raise RunCommitted(f"run {run_id} is already in {path}")
+    require_open(spark, path, run_id)
     known = read_log(spark, path).where(F.col("run_id") < run_id).drop("run_id")
     # One row per broker partition: a single small file.
-    latest(known.unionByName(current)).coalesce(1).write.mode("overwrite").parquet(entry)
+    latest(known.unionByName(current)).coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/run_id={run_id}"
+    )
 
 
 def prune(spark: SparkSession, path: str, keep: int = 10) -> None:

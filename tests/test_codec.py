@@ -150,3 +150,19 @@ def test_bucket(spark, offset, size, bucket):
 def test_epoch(spark, seconds, text):
     df = spark.createDataFrame([(seconds,)], "s double")
     assert df.select(epoch_to_ts("s").cast("string").alias("t")).first()["t"] == text
+
+
+def test_bytes_that_are_not_utf8_do_not_stop_decoding(spark):
+    good = bytearray(b'{"s":"x"}')
+    rows = [(bytearray(b'{"s":"\xff"}'), 0), (bytearray(b"\xff\xfe"), 1), (good, 2)]
+    topic = spark.createDataFrame(rows, "value binary, offset bigint")
+    kept = good_records(decode(topic, MIXED), MIXED)
+    assert [r.offset for r in kept.orderBy("offset").collect()] == [0, 2]
+
+
+def test_records_of_many_kinds_survive_both_ways(spark):
+    rows = [("k", 1, 2.5, True), (None, None, None, None), ("", -1, -0.5, False)]
+    df = spark.createDataFrame(rows, "s string, i int, created_utc double, b boolean")
+    topic = df.select(record_value(MIXED).alias("value"), F.lit(0).cast("bigint").alias("offset"))
+    back = decode(topic, MIXED).select("s", "i", "value.created_utc", "b")
+    assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, rows))

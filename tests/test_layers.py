@@ -69,7 +69,7 @@ def test_windows_are_counted_per_kind_only_where_it_occurs(spark, root):
     assert _table(spark, job, UNIQUE_ACTIVE) == {5: (2, 2), 15: (1, 1)}
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     rows=st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 30)), min_size=1, max_size=25),
     waves=st.integers(1, 3),
@@ -318,9 +318,26 @@ def test_a_crash_before_the_commit_leaves_nothing_visible(spark, root, monkeypat
     ]
 
 
+def test_a_run_overtaken_by_another_leaves_its_ranking_alone(spark, root, monkeypatch):
+    job, streams = file_job(root), job_session(spark)
+    _land(spark, job, streams, _sub(("a", 1)))
+    progress = batch.progress
+
+    def overtaken(found):
+        monkeypatch.setattr(batch, "progress", progress)
+        assert batch.run_batch(streams, job) == 1
+        return progress(found)
+
+    monkeypatch.setattr(batch, "progress", overtaken)
+    with pytest.raises(offsets.RunCommitted):
+        batch.run_batch(streams, job)
+    assert _ranking(batch.current_ranking(spark, job)) == [("a", 1, 0, 1)]
+    assert batch.run_batch(streams, job) is None
+
+
 def test_upkeep_changes_no_result(spark, root):
     job, streams = file_job(root), job_session(spark)
-    for i in range(4):
+    for i in range(3):
         feed(spark, job, _sub(("a", i), ("b", 7 * i)), _sub(("b", i)), first_offset=2 * i)
         run(speed.run_speed(streams, job))
         batch.run_batch(streams, job)
@@ -332,7 +349,7 @@ def test_upkeep_changes_no_result(spark, root):
     assert rows_of(batch.ranking_table(spark, job)) == ranked
     feed(spark, job, _sub(("a", 3)), first_offset=8)
     run(speed.run_speed(streams, job))
-    assert batch.run_batch(streams, job) == 5
+    assert batch.run_batch(streams, job) == 4
     assert _table(spark, job, WINDOWED_SUBMISSIONS)[5] == before[0][5] + 1
     assert _ranking(batch.current_ranking(spark, job)) == [("a", 1, 0, 1)]
 
