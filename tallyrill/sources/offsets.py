@@ -26,11 +26,21 @@ class Position:
     offset: int
 
 
+def last_run(spark: SparkSession, path: str) -> int:
+    """Id of the last committed run, 0 before the first."""
+    names = [n for n in files.children(spark, path) if n.startswith("run_id=")]
+    for run_id in sorted((int(n.split("=")[1]) for n in names), reverse=True):
+        if files.exists(spark, f"{path}/run_id={run_id}/_SUCCESS"):
+            return run_id
+    return 0
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All log entries; an empty table of the same schema before the first run."""
-    if not files.exists(spark, path):
+    """The entries of committed runs; an empty table of the same schema before the first."""
+    last = last_run(spark, path)
+    if not last:
         return spark.createDataFrame([], OFFSET_LOG_SCHEMA)
-    return spark.read.schema(OFFSET_LOG_SCHEMA).parquet(path)
+    return spark.read.schema(OFFSET_LOG_SCHEMA).parquet(path).where(F.col("run_id") <= last)
 
 
 def latest(log: DataFrame) -> DataFrame:
@@ -40,13 +50,6 @@ def latest(log: DataFrame) -> DataFrame:
     )
 
 
-def last_run(spark: SparkSession, path: str) -> int:
-    """Id of the last committed run, 0 before the first."""
-    runs = [int(n.split("=")[1]) for n in files.children(spark, path) if n.startswith("run_id=")]
-    committed = [r for r in runs if files.exists(spark, f"{path}/run_id={r}/_SUCCESS")]
-    return max(committed, default=0)
-
-
 def positions(log: DataFrame) -> dict[str, dict[int, Position]]:
     """Latest positions by source and partition. One small row per broker partition."""
     found: dict[str, dict[int, Position]] = {}

@@ -112,9 +112,14 @@ def test_an_entry_without_success_is_not_committed(spark, root):
     log = f"{root}/log"
     offsets.append(spark, log, _positions(spark, ("a", 0, 0, 5)), 1)
     spark.sparkContext._jvm.java.io.File(f"{log}/run_id=2/_temporary").mkdirs()
+    _positions(spark, ("a", 0, 0, 99)).write.mode("append").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{log}/run_id=2")
     assert offsets.last_run(spark, log) == 1
+    assert offsets.positions(offsets.read_log(spark, log)) == {"a": {0: Position(0, 5)}}
     offsets.append(spark, log, _positions(spark, ("a", 0, 0, 6)), 2)
     assert offsets.last_run(spark, log) == 2
+    assert offsets.positions(offsets.read_log(spark, log)) == {"a": {0: Position(0, 6)}}
 
 
 @settings(max_examples=10, deadline=None)
