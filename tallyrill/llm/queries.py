@@ -2,10 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyrill.llm import gram_join
 from tallyrill.llm.packing import op9_bounded_space_packing
+from tallyrill.llm.store import ship
+
+
+def shipped(query: Callable) -> Callable:
+    """The query, with this library at hand in every task."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
 
-QUERIES = {
+    return run
+
+
+_QUERIES = {
+    "op10_gram_jaccard_join": gram_join.op10_gram_jaccard_join,
     "op9_bounded_space_packing": op9_bounded_space_packing,
 }
 
-ORACLES: dict[str, str] = {}
+QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
+
+ORACLES: dict[str, str] = {
+    "op10_gram_jaccard_join": gram_join.ORACLE,
+}

@@ -6,15 +6,17 @@ of them count, so what lost or repeated attempts leave behind is never read.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+import tallyrill
 from tallyrill.session import scratch
 
-__all__ = ["FileStore", "written"]
-
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a Parquet table in the shared folder: computed once, kept if executors go."""
@@ -50,3 +52,20 @@ class FileStore:
         """A file for random reads."""
         fs, folder = self._open()
         return fs.open_input_file(f"{folder}/{name}")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library's Python files to the executors, once per application.
+
+    Tasks import it by name; Spark serves the archive, so no folder need be shared or installed.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tallyrill_shipped", False):
+        return
+    package = Path(tallyrill.__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tallyrill-")) / "tallyrill.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._tallyrill_shipped = True
