@@ -101,8 +101,8 @@ def _pack_task(path: str, end_id: int, window: int, most: int, with_ids: bool):
 
         windows = Windows(window, most, emit)
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = tokens.encode(text.as_py()) + end
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = tokens.encode(text) + end
                 total, start = len(ids) // 4, 0
 
                 def piece(length, doc=doc, ids=ids, total=total):

@@ -24,12 +24,11 @@ _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
 
 
 _DOUBLES = ("  ", " \n", "\n ", "\n\n")
-_CONTROLS = re.compile(r"[\x00-\x09\x0b-\x1f\x7f]")
 
 
 def _regular(text: str) -> bool:
     """True if every space and line break of a text is a cut."""
-    if text.isascii() and not _CONTROLS.search(text):
+    if text.isascii() and text.replace("\n", "").isprintable():
         return text[0] not in " \n" and text[-1] not in " \n" and not any(d in text for d in _DOUBLES)
     return not _IRREGULAR.search(text)
 
