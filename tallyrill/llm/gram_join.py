@@ -9,8 +9,8 @@ hold them, rare ones first:
    class holds; a class with more than 25 % of those links with nothing and is done.
 2. For the rest, tokens are counted again. Prefixes are indexed by single tokens if at most FREQUENT
    classes hold them, else by combinations of two tokens of the prefix.
-3. Every class is first verified against one class for each of its tokens, whatever their frequency;
-   what links is contracted. Exact candidates are then sought only between different components, so
+3. Every class is first verified against the most central class of each of its tokens, whatever
+   their frequency; what links is contracted, and again. Exact candidates are then sought only between different components, so
    large groups of near copies never meet pair by pair, and every candidate is verified on whole sets.
 
 Sets are 64-bit hashes of shingles and classes 64 bits of a digest of the set: two different ones
@@ -38,7 +38,9 @@ from tallyrill.llm.words import shingle_sets
 SHINGLE = 5
 PERCENT = 75
 #: A token that more classes hold is frequent, and indexed in combinations.
-FREQUENT = 32
+FREQUENT = 128
+#: Rounds of stars before exact candidates, at most; more of them change speed only.
+ROUNDS = 4
 #: Tokens a task packs before it sends them, and tokens of one bucket, both about.
 FLUSH = 1 << 21
 BUCKET = 1 << 20
@@ -59,10 +61,6 @@ def _least(n: Column) -> Column:
     return F.ceil(n * F.lit(PERCENT) / F.lit(100))
 
 
-def _similar_sizes(a: str, b: str) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
-
-
 def _describe(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,12 +231,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from batch.to_pylist()
 
-    out: list[list] = [[], [], [], [], []]
+    out: list[list] = [[] for _ in range(8)]
 
     def batch_of():
         return pa.record_batch(
-            [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()))],
-            names=["token", "key", "n", "place", "frequent"])
+            [pa.array(c, t) for c, t in zip(out, [pa.int64()] * 7 + [pa.bool_()])],
+            names=["token", "key", "n", "place", "own", "rest", "often", "frequent"])
 
     for key, group in itertools.groupby(rows(), lambda r: r["key"]):
         group = list(group)
@@ -257,10 +255,13 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out[1] += [key] * len(use)
         out[2] += [n] * len(use)
         out[3] += range(own, own + len(use))
-        out[4] += (held[use] > FREQUENT).tolist()
+        out[4] += [own] * len(use)
+        out[5] += [max(0, n - longer)] * len(use)
+        out[6] += [int((held[use] > FREQUENT).sum())] * len(use)
+        out[7] += (held[use] > FREQUENT).tolist()
         if len(out[0]) > 50_000:
             yield batch_of()
-            out = [[], [], [], [], []]
+            out = [[] for _ in range(8)]
     if out[0]:
         yield batch_of()
 
@@ -283,29 +284,79 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(_links, "u long, v long")
 
 
-def _may_link(a: str, b: str) -> Column:
-    """Sizes and places allow a link: at the first token two sets share, what follows must suffice."""
+def _need(both: Column) -> Column:
+    """What two sets with so many tokens in all must share."""
+    return F.ceil(both * F.lit(PERCENT) / F.lit(100 + PERCENT))
+
+
+def _may_link(a: str, b: str, before: int = 0) -> Column:
+    """Sizes and places allow a link: with so many shared tokens before this one, what follows must suffice."""
     na, nb, pa_, pb = (F.col(f"{s}.{c}") for c in ("n", "place") for s in (a, b))
-    need = F.ceil((na + nb) * PERCENT / (100 + PERCENT))
-    return _similar_sizes(f"{a}.n", f"{b}.n") & (F.least(na - pa_, nb - pb) >= need)
+    enough = F.least(na - pa_, nb - pb) >= _need(na + nb) - before
+    return enough & (F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT)
+
 
+def _stars(entries: DataFrame) -> DataFrame:
+    """Pairs of each token's most central class, the one with fewest tokens of its own, with those of other components."""
+    centre = entries.groupBy("token").agg(
+        F.min(F.struct("own", "key", "n", "place", "label")).alias("a"), F.min("label").alias("low"), F.max("label").alias("high"))
+    centre = centre.where("low <> high").select("token", "a").alias("c")
+    pairs = entries.alias("b").join(centre, "token").where(F.col("a.label") != F.col("b.label"))
+    pairs = pairs.where(_may_link("a", "b"))
+    return pairs.select(F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v")).distinct()
 
-def _across(entries: DataFrame, on: list[str]) -> DataFrame:
-    """Pairs of different components that share an index entry."""
-    mixed = entries.groupBy(*on).agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    entries = entries.join(mixed.where("low <> high").select(*on), on, "left_semi")
-    a, b = entries.alias("a"), entries.alias("b")
+
+def _mixed(entries: DataFrame, *on: str) -> DataFrame:
+    """The entries under which more than one component meets, with the component that most of them belong to."""
+    sizes = entries.groupBy(*on, "label").agg(F.count("*").alias("size"))
+    found = sizes.groupBy(*on).agg(
+        F.max_by("label", F.struct("size", "label")).alias("main"), F.count("*").alias("labels"))
+    return entries.join(found.where("labels > 1").drop("labels"), [*on])
+
+
+def _across(entries: DataFrame, on: list[str], and_: Column) -> DataFrame:
+    """Entries of different components that meet: a outside the main one, b any. Nothing inside a component meets."""
+    a, b = entries.where("label <> main").alias("a"), entries.alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on]
-    pairs = a.join(b, [*same, F.col("a.key") < F.col("b.key"), F.col("a.label") != F.col("b.label"), _may_link("a", "b")])
-    return pairs.select(F.col("a.key").alias("u"), F.col("b.key").alias("v")).distinct()
+    once = (F.col("b.label") == F.col("b.main")) | (F.col("a.key") < F.col("b.key"))
+    return a.join(b, [*same, F.col("a.label") != F.col("b.label"), once, and_])
+
+
+def _pair() -> list[Column]:
+    return [F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v")]
+
+
+def _rare(entries: DataFrame) -> DataFrame:
+    """Pairs that share rare tokens, and with all the frequent ones they can share, enough of them."""
+    pairs = _across(_mixed(entries, "token"), ["token"], F.lit(True))
+    pairs = pairs.groupBy(*_pair()).agg(
+        F.count("*").alias("shared"), F.max(_may_link("a", "b")).alias("may"), F.first(_bound()).alias("more"))
+    return pairs.where("may and shared + more >= 0").select("u", "v")
+
+
+def _frequent(entries: DataFrame) -> DataFrame:
+    """Pairs whose prefixes share two frequent tokens at least, and no rare one."""
+    both = _combinations(_mixed(entries, "token").drop("main"))
+    room = _may_link("a", "b", 1) & (_bound() >= 0)
+    return _across(_mixed(both, "one", "two"), ["one", "two"], room).select(*_pair()).distinct()
+
+
+def _bound() -> Column:
+    """What a and b can share besides rare tokens of their prefixes, less what they must share.
+
+    What is shared up to where the first of two prefixes ends lies in both prefixes; after that, no
+    more than the rest of that one's set is.
+    """
+    return (F.least("a.often", "b.often") + F.greatest("a.rest", "b.rest")
+            - _need(F.col("a.n") + F.col("b.n")))
 
 
 def _combinations(entries: DataFrame) -> DataFrame:
-    """Two tokens of a prefix as one index entry, at the place of the first."""
-    lists = entries.groupBy("key", "n", "label").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("list"))
-    first = lists.select("key", "n", "label", "list", F.posexplode("list").alias("i", "first"))
-    both = first.select("key", "n", "label", "first", F.explode(F.expr("slice(list, i + 2, size(list))")).alias("second"))
-    return both.select("key", "n", "label", "first.place", F.col("first.token").alias("one"), F.col("second.token").alias("two"))
+    """Two tokens of a prefix as one index entry, at the place of the second."""
+    lists = entries.groupBy("key", "n", "label", "often", "rest").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("list"))
+    first = lists.select("key", "n", "label", "often", "rest", "list", F.posexplode("list").alias("i", "first"))
+    both = first.select("key", "n", "label", "often", "rest", "first", F.explode(F.expr("slice(list, i + 2, size(list))")).alias("second"))
+    return both.select("key", "n", "label", "often", "rest", "second.place", F.col("first.token").alias("one"), F.col("second.token").alias("two"))
 
 
 def near_links(docs: DataFrame, described: DataFrame, classes: DataFrame, k: int) -> DataFrame:
@@ -328,23 +379,23 @@ def near_links(docs: DataFrame, described: DataFrame, classes: DataFrame, k: int
     held = sent.groupBy("bucket").applyInArrow(_held_by(True), _FOUND_DDL)
     held = held.join(sets.select("key", "n").distinct(), "key").repartition("key").sortWithinPartitions("key")
     entries = written(held.mapInArrow(
-        _prefixes, "token long, key long, n long, place long, frequent boolean"), "entries")
-
-    pivots = entries.groupBy("token").agg(F.min(F.struct("key", "n", "place")).alias("p")).alias("a")
-    star = entries.alias("b").join(pivots, "token").select(F.col("p").alias("a"), F.struct("key", "n", "place").alias("b"))
-    star = star.where((F.col("a.key") < F.col("b.key")) & _may_link("a", "b"))
-    tried = written(star.select(F.col("a.key").alias("u"), F.col("b.key").alias("v")).distinct(), "pairs")
-    links = written(_verified(tried, sets), "links")
-
-    labels = components(links)
-    now = entries.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    now = written(now, "labelled")
-    rare = _across(now.where("not frequent"), ["token"])
-    often = now.where("frequent")
-    mixed = often.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    often = often.join(mixed.where("low <> high").select("token"), "token", "left_semi")
-    frequent = _across(_combinations(often), ["one", "two"])
-    more = rare.unionByName(frequent).distinct().join(tried, ["u", "v"], "left_anti")
+        _prefixes, "token long, key long, n long, place long, own long, rest long, often long, frequent boolean"), "entries")
+
+    links = tried = None
+    now = entries.withColumn("label", F.col("key"))
+    for _ in range(ROUNDS):
+        star = _stars(now)
+        star = written(star if tried is None else star.join(tried, ["u", "v"], "left_anti"), "pairs")
+        fresh = written(_verified(star, sets), "links")
+        tried = star if tried is None else tried.unionByName(star)
+        links = fresh if links is None else links.unionByName(fresh)
+        labels = components(links)
+        now = entries.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+        now = written(now, "labelled")
+        if fresh.isEmpty():
+            break
+    pairs = _rare(now.where("not frequent")).unionByName(_frequent(now.where("frequent")))
+    more = written(pairs.distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
     return links.unionByName(written(_verified(more, sets), "links"))
 
 
