@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyrill.llm import gram_join
 from tallyrill.llm.packing import op9_bounded_space_packing
 from tallyrill.llm.store import ship
+from tallyrill.llm.token_files import op3_bit_packed_ids
 
 
 def shipped(query: Callable) -> Callable:
@@ -25,6 +26,7 @@ def shipped(query: Callable) -> Callable:
 
 _QUERIES = {
     "op10_gram_jaccard_join": gram_join.op10_gram_jaccard_join,
+    "op3_bit_packed_ids": op3_bit_packed_ids,
     "op9_bounded_space_packing": op9_bounded_space_packing,
 }
 
