@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrill.llm import gram_join
+from tallyrill.llm import decontaminate, gram_join
 from tallyrill.llm.packing import op9_bounded_space_packing
 from tallyrill.llm.store import ship
 from tallyrill.llm.token_files import op3_bit_packed_ids
@@ -26,6 +26,7 @@ def shipped(query: Callable) -> Callable:
 
 _QUERIES = {
     "op10_gram_jaccard_join": gram_join.op10_gram_jaccard_join,
+    "op2_wu_manber_windows": decontaminate.op2_wu_manber_windows,
     "op3_bit_packed_ids": op3_bit_packed_ids,
     "op9_bounded_space_packing": op9_bounded_space_packing,
 }
@@ -34,4 +35,5 @@ QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
 
 ORACLES: dict[str, str] = {
     "op10_gram_jaccard_join": gram_join.ORACLE,
+    "op2_wu_manber_windows": decontaminate.ORACLE,
 }

@@ -109,6 +109,14 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def grams_at(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the k words from each of some places."""
+    out = np.zeros(len(at), np.uint64)
+    for i in range(k):
+        out += words[at + i] * _MULTIPLIERS[i]
+    return mix(out)
+
+
 def shingle_sets(texts: pa.Array, k: int, separator: np.ndarray = SPACE) -> Iterator[tuple[int, np.ndarray]]:
     """The place of each text with its sorted distinct k-word shingles; fewer words are one shingle, none are none."""
     for first, raw, at in chunks(texts):
