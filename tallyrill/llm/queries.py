@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrill.llm import decontaminate, gram_join, toxicity
+from tallyrill.llm import decontaminate, gram_join, secret_scan, toxicity
 from tallyrill.llm.packing import op9_bounded_space_packing
 from tallyrill.llm.store import ship
 from tallyrill.llm.token_files import op3_bit_packed_ids
@@ -29,6 +29,7 @@ _QUERIES = {
     "op2_wu_manber_windows": decontaminate.op2_wu_manber_windows,
     "op3_bit_packed_ids": op3_bit_packed_ids,
     "op5_kneser_ney_toxicity": toxicity.op5_kneser_ney_toxicity,
+    "op6_entropy_secrets": secret_scan.op6_entropy_secrets,
     "op9_bounded_space_packing": op9_bounded_space_packing,
 }
 
