@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyrill.llm.links import components
@@ -414,6 +414,24 @@ def similar_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, each text of it once.
+
+    Rows without an id, and texts without words, are all kept: nothing is known to be like them.
+    """
+    groups = similar_groups(docs, doc_id=doc_id, text=text)
+    stay = groups.where("n_shingles > 0 and doc_id = component_id").select(F.col("doc_id").alias("stay")).distinct()
+    alone = groups.where("n_shingles = 0 and doc_id is not null").select(F.col("doc_id").alias("stay")).distinct()
+    stay = written(stay.withColumn("words", F.lit(True)).unionByName(alone.withColumn("words", F.lit(False))), "stay")
+    has_words = F.coalesce(docs[text], F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.select(F.struct("*").alias("row"), docs[doc_id].cast("long").alias("id"), has_words.alias("words"))
+    kept = rows.join(stay, (F.col("id") == F.col("stay")) & (rows["words"] == stay["words"]), "left_semi")
+    # Repeated rows: the join has brought the rows of one id together already.
+    turn = F.row_number().over(Window.partitionBy("id", F.xxhash64(F.col("row").getField(text))).orderBy(F.lit(0)))
+    kept = kept.withColumn("turn", F.when(F.col("words"), turn).otherwise(1)).where("turn = 1")
+    return kept.select("row.*").unionByName(rows.where("id is null").select("row.*"))
+
+
 def op10_gram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near copies among all documents."""
     return similar_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
