@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyrill.llm import decontaminate, gram_join, secret_scan, toxicity
+from tallyrill.llm import decontaminate, gram_join, secret_scan, toxicity, warc
 from tallyrill.llm.packing import op9_bounded_space_packing
 from tallyrill.llm.store import ship
 from tallyrill.llm.token_files import op3_bit_packed_ids
@@ -30,6 +30,7 @@ _QUERIES = {
     "op10_gram_jaccard_join": gram_join.op10_gram_jaccard_join,
     "op2_wu_manber_windows": decontaminate.op2_wu_manber_windows,
     "op3_bit_packed_ids": op3_bit_packed_ids,
+    "op4_indexed_archives": warc.op4_indexed_archives,
     "op5_kneser_ney_toxicity": toxicity.op5_kneser_ney_toxicity,
     "op6_entropy_secrets": secret_scan.op6_entropy_secrets,
     "op9_bounded_space_packing": op9_bounded_space_packing,
@@ -40,4 +41,5 @@ QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
 ORACLES: dict[str, str] = {
     "op10_gram_jaccard_join": gram_join.ORACLE,
     "op2_wu_manber_windows": decontaminate.ORACLE,
+    "op4_indexed_archives": warc.ORACLE,
 }

@@ -46,7 +46,7 @@ class FileStore:
         fs, folder = self._open()
         fs.create_dir(folder, recursive=True)
         name = uuid.uuid4().hex + suffix
-        return name, fs.open_output_stream(f"{folder}/{name}")
+        return name, fs.open_output_stream(f"{folder}/{name}", compression=None)
 
     def read(self, name: str):
         """A file for random reads."""
