@@ -9,8 +9,8 @@ hold them, rare ones first:
    class holds; a class with more than 25 % of those links with nothing and is done.
 2. For the rest, tokens are counted again. Prefixes are indexed by single tokens if at most FREQUENT
    classes hold them, else by combinations of two tokens of the prefix.
-3. Every class is first verified against the most central class of each of its tokens, whatever
-   their frequency; what links is contracted, and again. Exact candidates are then sought only between different components, so
+3. Every class is first verified against the most central class of some of its tokens; what links
+   is contracted. Exact candidates are then sought only between different components, so
    large groups of near copies never meet pair by pair, and every candidate is verified on whole sets.
 
 Sets are 64-bit hashes of shingles and classes 64 bits of a digest of the set: two different ones
@@ -23,7 +23,6 @@ Texts without words link with nothing. Repeated rows share a class. An empty tab
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +38,10 @@ SHINGLE = 5
 PERCENT = 75
 #: A token that more classes hold is frequent, and indexed in combinations.
 FREQUENT = 128
-#: Rounds of stars before exact candidates, at most; more of them change speed only.
-ROUNDS = 4
+#: Tokens by which a class meets central ones before exact candidates are sought; changes speed only.
+STAR = 8
+#: Bits of the filter of classes that are asked for, at most; beyond that it lets more rows through.
+FILTER_BITS = 1 << 27
 #: Tokens a task packs before it sends them, and tokens of one bucket, both about.
 FLUSH = 1 << 21
 BUCKET = 1 << 20
@@ -206,64 +207,85 @@ def _bits(total: int, partitions: int) -> int:
     return min(30, max(1, (total // BUCKET).bit_length(), (partitions - 1).bit_length()))
 
 
-def _sets_of(k: int):
-    """(key, n, tokens) of the rows whose text gives the class asked for, once per task."""
+def _bitmap(keys: DataFrame):
+    """A filter of bounded size that lets all of these keys pass, broadcast."""
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
+    place = F.col("key").bitwiseAND(F.lit(bits - 1))
+    words = keys.select((place / 32).cast("int").alias("word"), F.expr(f"shiftleft(1L, int(key & 31))").alias("bit"))
+    words = words.groupBy("word").agg(F.expr("bit_or(bit)").alias("mask")).toArrow()
+    bitmap = np.zeros(bits // 32, np.uint32)
+    bitmap[words["word"].to_numpy()] = words["mask"].to_numpy().astype(np.uint32)
+    return keys.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def _texts_of(k: int, bitmap):
+    """(key, text) of rows whose class passes the filter, once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
+        words, seen = bitmap.value, set()
         for batch in batches:
-            rows = []
-            for i, tokens in shingle_sets(batch.column(1), k):
-                key = batch.column(0)[i].as_py()
-                if key not in seen and len(tokens) and class_key(tokens) == key:
+            keys, places = [], []
+            for i, tokens in shingle_sets(batch.column(0), k):
+                key = class_key(tokens)
+                place = key & (len(words) * 32 - 1)
+                if len(tokens) and key not in seen and int(words[place >> 5]) >> (place & 31) & 1:
                     seen.add(key)
-                    rows.append((key, len(tokens), tokens.tobytes()))
-            if rows:
-                yield pa.record_batch([pa.array(c) for c in zip(*rows)], names=["key", "n", "tokens"])
+                    keys.append(key)
+                    places.append(i)
+            if keys:
+                yield pa.record_batch(
+                    [pa.array(keys, pa.int64()), batch.column(0).take(pa.array(places))], names=["key", "text"])
 
     return run
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one class together: its prefix, one longer, without the tokens that no other class holds."""
+def _sets_of(k: int):
+    """(key, n, tokens) of (key, text)."""
 
-    def rows():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from batch.to_pylist()
+            sets = [tokens for _, tokens in shingle_sets(batch.column(1), k)]
+            yield pa.record_batch([
+                batch.column(0), pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([x.tobytes() for x in sets], pa.binary())], names=["key", "n", "tokens"])
+
+    return run
 
-    out: list[list] = [[] for _ in range(8)]
 
-    def batch_of():
-        return pa.record_batch(
-            [pa.array(c, t) for c, t in zip(out, [pa.int64()] * 7 + [pa.bool_()])],
-            names=["token", "key", "n", "place", "own", "rest", "often", "frequent"])
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each class's prefix, one longer, without the tokens that no other class holds.
 
-    for key, group in itertools.groupby(rows(), lambda r: r["key"]):
-        group = list(group)
-        n = group[0]["n"]
-        tokens = np.frombuffer(b"".join(r["tokens"] for r in group), np.uint64)
-        held = np.frombuffer(b"".join(r["held"] for r in group), np.int32)
+    own tokens come before the prefix listed, rest after it; often of those listed, the last, are
+    frequent. star has some of all its repeated tokens, the same for sets that are much alike.
+    """
+    out = []
+    for row in (r for batch in batches for r in batch.to_pylist()):
+        key, n, found = row["key"], row["n"], row["found"]
+        tokens = np.frombuffer(b"".join(f["tokens"] for f in found), np.uint64)
+        held = np.frombuffer(b"".join(f["held"] for f in found), np.int32)
         tokens, first = np.unique(tokens, return_index=True)
         held = held[first]
-        order = np.lexsort((tokens, held))
         own = n - len(tokens)
         longer = n - (n * PERCENT + 99) // 100 + 2
-        use = order[: max(0, longer - own)]
         if own + 1 >= longer:  # even the last token of the prefix proper is the class's own
             continue
-        out[0] += tokens[use].view(np.int64).tolist()
-        out[1] += [key] * len(use)
-        out[2] += [n] * len(use)
-        out[3] += range(own, own + len(use))
-        out[4] += [own] * len(use)
-        out[5] += [max(0, n - longer)] * len(use)
-        out[6] += [int((held[use] > FREQUENT).sum())] * len(use)
-        out[7] += (held[use] > FREQUENT).tolist()
-        if len(out[0]) > 50_000:
-            yield batch_of()
-            out = [[] for _ in range(8)]
-    if out[0]:
-        yield batch_of()
+        use = np.lexsort((tokens, held))[: longer - own]
+        out.append((key, n, own, max(0, n - longer), int((held[use] > FREQUENT).sum()),
+                    tokens[:STAR].view(np.int64), tokens[use].view(np.int64)))
+        if len(out) >= 1_000:
+            yield _prefix_batch(out)
+            out = []
+    if out:
+        yield _prefix_batch(out)
+
+
+_PREFIX_DDL = "key long, n long, own long, rest long, often long, star array<long>, prefix array<long>"
+
+
+def _prefix_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
+    return pa.record_batch(
+        [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["key", "n", "own", "rest", "often", "star", "prefix"])
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,14 +318,25 @@ def _may_link(a: str, b: str, before: int = 0) -> Column:
     return enough & (F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT)
 
 
-def _stars(entries: DataFrame) -> DataFrame:
-    """Pairs of each token's most central class, the one with fewest tokens of its own, with those of other components."""
-    centre = entries.groupBy("token").agg(
-        F.min(F.struct("own", "key", "n", "place", "label")).alias("a"), F.min("label").alias("low"), F.max("label").alias("high"))
-    centre = centre.where("low <> high").select("token", "a").alias("c")
-    pairs = entries.alias("b").join(centre, "token").where(F.col("a.label") != F.col("b.label"))
-    pairs = pairs.where(_may_link("a", "b"))
-    return pairs.select(F.least("a.key", "b.key").alias("u"), F.greatest("a.key", "b.key").alias("v")).distinct()
+def _stars(prefixes: DataFrame) -> DataFrame:
+    """Pairs of each star token's most central class, the one with fewest tokens of its own, with its others."""
+    entries = prefixes.select(F.explode("star").alias("token"), "key", "n", "own")
+    centre = entries.groupBy("token").agg(F.min(F.struct("own", "key", "n")).alias("a"), F.count("*").alias("size"))
+    centre = centre.where("size > 1").select("token", "a")
+    pairs = entries.alias("b").join(centre, "token").where(F.col("a.key") != F.col("b.key"))
+    pairs = pairs.where(F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * PERCENT)
+    return pairs.select(*_pair()).distinct()
+
+
+def _entries(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The index entries under which more than one component meets."""
+    whole = prefixes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    entries = whole.select(F.posexplode("prefix").alias("i", "token"), "key", "label")
+    mixed = entries.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    met = entries.join(mixed.where("low <> high").select("token"), "token", "left_semi")
+    return met.drop("label").join(whole, "key").select(
+        "token", "key", "label", "n", "rest", "often", (F.col("own") + F.col("i")).alias("place"),
+        (F.col("i") >= F.size("prefix") - F.col("often")).alias("frequent"))
 
 
 def _mixed(entries: DataFrame, *on: str) -> DataFrame:
@@ -368,32 +401,23 @@ def near_links(docs: DataFrame, described: DataFrame, classes: DataFrame, k: int
     sent = docs.select("text").mapInArrow(_send_texts(k, _bits(total, partitions)), _PACKED_DDL)
     found = sent.groupBy("bucket").applyInArrow(_held_by(False), _FOUND_DDL)
     repeated = found.groupBy("key").agg(F.sum("n_found").alias("n_found"))
-    asked = classes.join(repeated, "key").where(F.col("n_found") >= _least(F.col("n"))).select("key", "rep")
-    asked = written(asked.where("rep is not null"), "asked")
+    asked = classes.join(repeated, "key").where(F.col("n_found") >= _least(F.col("n"))).select("key")
+    asked = written(asked, "asked")
 
-    wanted = docs.join(asked, F.col("doc_id") == F.col("rep")).select("key", "text")
+    likely = docs.select("text").mapInArrow(_texts_of(k, _bitmap(asked)), "key long, text string")
+    wanted = likely.join(asked, "key").groupBy("key").agg(F.first("text").alias("text"))
     sets = written(wanted.mapInArrow(_sets_of(k), "key long, n long, tokens binary"), "sets")
 
     total = sets.agg(F.sum("n")).first()[0] or 0
     sent = sets.select("key", "tokens").mapInArrow(_send_sets(_bits(total, partitions)), _PACKED_DDL)
     held = sent.groupBy("bucket").applyInArrow(_held_by(True), _FOUND_DDL)
-    held = held.join(sets.select("key", "n").distinct(), "key").repartition("key").sortWithinPartitions("key")
-    entries = written(held.mapInArrow(
-        _prefixes, "token long, key long, n long, place long, own long, rest long, often long, frequent boolean"), "entries")
-
-    links = tried = None
-    now = entries.withColumn("label", F.col("key"))
-    for _ in range(ROUNDS):
-        star = _stars(now)
-        star = written(star if tried is None else star.join(tried, ["u", "v"], "left_anti"), "pairs")
-        fresh = written(_verified(star, sets), "links")
-        tried = star if tried is None else tried.unionByName(star)
-        links = fresh if links is None else links.unionByName(fresh)
-        labels = components(links)
-        now = entries.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        now = written(now, "labelled")
-        if fresh.isEmpty():
-            break
+    held = held.groupBy("key").agg(F.collect_list(F.struct("tokens", "held")).alias("found"))
+    held = held.join(sets.select("key", "n"), "key").select("key", "n", "found")
+    prefixes = written(held.mapInArrow(_prefixes, _PREFIX_DDL), "prefixes")
+
+    tried = written(_stars(prefixes), "pairs")
+    links = written(_verified(tried, sets), "links")
+    now = written(_entries(prefixes, components(links)), "entries")
     pairs = _rare(now.where("not frequent")).unionByName(_frequent(now.where("frequent")))
     more = written(pairs.distinct().join(tried, ["u", "v"], "left_anti"), "pairs")
     return links.unionByName(written(_verified(more, sets), "links"))
