@@ -15,7 +15,7 @@ import re
 from array import array
 
 #: Pieces in one of the two halves of an encoder's memory; the older half goes when the newer is full.
-PIECES = 400_000
+PIECES = 700_000
 
 #: A space or line break is a cut only between two of these: ASCII that shows, and Latin letters.
 _IRREGULAR = re.compile(r"[ \n](?![!-~À-ɏ])|(?<![!-~À-ɏ])[ \n]")
