@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyrill.llm import decontaminate, gram_join, secret_scan, toxicity, warc
+from tallyrill.llm import decontaminate, gram_join, html_text, secret_scan, toxicity, warc
 from tallyrill.llm.packing import op9_bounded_space_packing
 from tallyrill.llm.store import ship
 from tallyrill.llm.token_files import op3_bit_packed_ids
@@ -28,6 +28,7 @@ def shipped(query: Callable) -> Callable:
 _QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op10_gram_jaccard_join": gram_join.op10_gram_jaccard_join,
+    "op1_line_blocks": html_text.op1_line_blocks,
     "op2_wu_manber_windows": decontaminate.op2_wu_manber_windows,
     "op3_bit_packed_ids": op3_bit_packed_ids,
     "op4_indexed_archives": warc.op4_indexed_archives,
