@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyrill.llm import decontaminate, gram_join, html_text, secret_scan, toxicity, warc
+from tallyrill.llm import decontaminate, gram_join, html_text, impact_search, secret_scan, toxicity, warc
 from tallyrill.llm.packing import op9_bounded_space_packing
 from tallyrill.llm.store import ship
 from tallyrill.llm.token_files import op3_bit_packed_ids
@@ -34,6 +34,7 @@ _QUERIES = {
     "op4_indexed_archives": warc.op4_indexed_archives,
     "op5_kneser_ney_toxicity": toxicity.op5_kneser_ney_toxicity,
     "op6_entropy_secrets": secret_scan.op6_entropy_secrets,
+    "op7_impact_ordered": impact_search.op7_impact_ordered,
     "op9_bounded_space_packing": op9_bounded_space_packing,
 }
 
@@ -43,4 +44,5 @@ ORACLES: dict[str, str] = {
     "op10_gram_jaccard_join": gram_join.ORACLE,
     "op2_wu_manber_windows": decontaminate.ORACLE,
     "op4_indexed_archives": warc.ORACLE,
+    "op7_impact_ordered": impact_search.ORACLE,
 }
