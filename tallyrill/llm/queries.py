@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyrill.llm import decontaminate, gram_join, html_text, impact_search, secret_scan, toxicity, warc
+from tallyrill.llm import decontaminate, grades, gram_join, html_text, impact_search, secret_scan, toxicity, warc
 from tallyrill.llm.packing import op9_bounded_space_packing
 from tallyrill.llm.store import ship
 from tallyrill.llm.token_files import op3_bit_packed_ids
@@ -35,6 +35,7 @@ _QUERIES = {
     "op5_kneser_ney_toxicity": toxicity.op5_kneser_ney_toxicity,
     "op6_entropy_secrets": secret_scan.op6_entropy_secrets,
     "op7_impact_ordered": impact_search.op7_impact_ordered,
+    "op8_cumulative_link": grades.op8_cumulative_link,
     "op9_bounded_space_packing": op9_bounded_space_packing,
 }
 
