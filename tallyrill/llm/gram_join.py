@@ -45,11 +45,11 @@ FILTER_BITS = 1 << 27
 #: Tokens a task packs before it sends them, and tokens of one bucket, both about.
 FLUSH = 1 << 21
 BUCKET = 1 << 20
+#: Classes whose counts are added up together, about.
+RANGE = 1 << 14
 
 _PACKED = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary())])
 _PACKED_DDL = "bucket long, keys binary, counts binary, tokens binary"
-_FOUND_DDL = "key long, n_found long, tokens binary, held binary"
-_FOUND = pa.schema([("key", pa.int64()), ("n_found", pa.int64()), ("tokens", pa.binary()), ("held", pa.binary())])
 
 
 def class_key(tokens: np.ndarray) -> int:
@@ -113,7 +113,8 @@ class _Sender:
         if many.any():
             mine = np.argsort(owner[known], kind="stable")
             at, n = _runs(owner[known][mine])
-            rows.append((-1, names[owner[known][mine][at]], n, tokens[known][mine] if self.whole else tokens[:0]))
+            spread = -1 - (self.keys[0] & ((1 << self.bits) - 1))
+            rows.append((spread, names[owner[known][mine][at]], n, tokens[known][mine] if self.whole else tokens[:0]))
         tokens = np.concatenate([tokens[begin[many]], tokens[~known]])
         owner = np.concatenate([np.zeros(int(many.sum()), owner.dtype), owner[~known]])
         bucket = (tokens >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -160,48 +161,68 @@ def _send_sets(bits: int):
     return run
 
 
-def _held_by(whole: bool):
-    """For each class of a bucket, how many of its tokens other classes hold too; if whole, which and how many do."""
+def _column(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table[name].to_pylist()), kind)
+
+
+def _repeated(table: pa.Table, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, token, how many classes hold it) of a bucket's tokens that several classes hold, at most FREQUENT + 1."""
+    owner = np.repeat(_column(table, "keys", np.int64), _column(table, "counts", np.int32))
+    tokens = _column(table, "tokens", kind)
+    order = np.lexsort((owner, tokens))
+    owner, tokens = owner[order], tokens[order]
+    again = np.concatenate([[False], (tokens[1:] == tokens[:-1]) & (owner[1:] == owner[:-1])])
+    owner, tokens = owner[~again], tokens[~again]
+    begin, count = _runs(tokens)
+    marked = owner == 0
+    several = np.add.reduceat(marked, begin) > 0
+    held = np.repeat(np.where(several, FREQUENT + 1, np.minimum(count, FREQUENT + 1)), count).astype(np.int32)
+    use = (held > 1) & ~marked
+    return owner[use], tokens[use], held[use]
+
+
+def _shared_counts(ranges: int):
+    """How many tokens of a bucket other classes hold too, per class, packed by ranges of classes."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return pa.Table.from_batches([], _FOUND)
-        def column(name, kind):
-            return np.frombuffer(b"".join(table[name].to_pylist()), kind)
-
-        owner = np.repeat(column("keys", np.int64), column("counts", np.int32))
-        tokens = column("tokens", np.uint64 if whole else np.uint32)
-        if key[0].as_py() < 0 and not whole:
-            owner, count = column("keys", np.int64), column("counts", np.int32)
-            return pa.table([owner, count.astype(np.int64), pa.nulls(len(owner), pa.binary()),
-                             pa.nulls(len(owner), pa.binary())], schema=_FOUND)
         if key[0].as_py() < 0:
-            held = np.full(len(tokens), FREQUENT + 1, np.int32)
+            owner, count = _column(table, "keys", np.int64), _column(table, "counts", np.int32)
         else:
-            order = np.lexsort((owner, tokens))
-            owner, tokens = owner[order], tokens[order]
-            again = np.concatenate([[False], (tokens[1:] == tokens[:-1]) & (owner[1:] == owner[:-1])])
-            owner, tokens = owner[~again], tokens[~again]
-            begin, count = _runs(tokens)
-            marked = owner == 0
-            several = np.add.reduceat(marked, begin) > 0
-            count = np.where(several, FREQUENT + 1, np.minimum(count, FREQUENT + 1))
-            held = np.repeat(count, np.diff(np.append(begin, len(tokens)))).astype(np.int32)
-            use = (held > 1) & ~marked
-            owner, tokens, held = owner[use], tokens[use], held[use]
-        order = np.argsort(owner, kind="stable")
-        owner, tokens, held = owner[order], tokens[order], held[order]
-        begin, count = _runs(owner)
-        nothing = pa.nulls(len(begin), pa.binary())
+            owner, count = np.unique(_repeated(table, np.uint32)[0], return_counts=True)
+        part = owner & (ranges - 1)
+        order = np.argsort(part, kind="stable")
+        owner, count = owner[order], count[order].astype(np.int32)
+        begin, size = _runs(part[order])
         return pa.table([
-            owner[begin], count.astype(np.int64),
-            pa.array([tokens[a : a + n].tobytes() for a, n in zip(begin, count)], pa.binary()) if whole else nothing,
-            pa.array([held[a : a + n].tobytes() for a, n in zip(begin, count)], pa.binary()) if whole else nothing,
-        ], schema=_FOUND)
+            part[order][begin], *[pa.array([x[a : a + n].tobytes() for a, n in zip(begin, size)], pa.binary()) for x in (owner, count)],
+            pa.nulls(len(begin), pa.binary())], schema=_PACKED)
 
     return run
 
 
+def _sum_counts(key: tuple, table: pa.Table) -> pa.Table:
+    """One row per class of a range."""
+    owner, place = np.unique(_column(table, "keys", np.int64), return_inverse=True)
+    total = np.bincount(place, _column(table, "counts", np.int32), len(owner)).astype(np.int64)
+    return pa.table([owner, total], names=["key", "n_found"])
+
+
+def _held(key: tuple, table: pa.Table) -> pa.Table:
+    """For each class of a bucket, which of its tokens other classes hold too and how many do."""
+    if key[0].as_py() < 0:
+        owner = np.repeat(_column(table, "keys", np.int64), _column(table, "counts", np.int32))
+        tokens = _column(table, "tokens", np.uint64)
+        held = np.full(len(tokens), FREQUENT + 1, np.int32)
+    else:
+        owner, tokens, held = _repeated(table, np.uint64)
+    order = np.argsort(owner, kind="stable")
+    owner, tokens, held = owner[order], tokens[order], held[order]
+    begin, size = _runs(owner)
+    return pa.table([
+        owner[begin], *[pa.array([x[a : a + n].tobytes() for a, n in zip(begin, size)], pa.binary()) for x in (tokens, held)]],
+        names=["key", "tokens", "held"])
+
+
 def _bits(total: int, partitions: int) -> int:
     """Buckets as a power of two: of bounded size, and enough for all tasks."""
     return min(30, max(1, (total // BUCKET).bit_length(), (partitions - 1).bit_length()))
@@ -399,8 +420,9 @@ def near_links(docs: DataFrame, described: DataFrame, classes: DataFrame, k: int
 
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
     sent = docs.select("text").mapInArrow(_send_texts(k, _bits(total, partitions)), _PACKED_DDL)
-    found = sent.groupBy("bucket").applyInArrow(_held_by(False), _FOUND_DDL)
-    repeated = found.groupBy("key").agg(F.sum("n_found").alias("n_found"))
+    ranges = 1 << max(1, (partitions - 1).bit_length(), (classes.count() // RANGE).bit_length())
+    found = sent.groupBy("bucket").applyInArrow(_shared_counts(ranges), _PACKED_DDL)
+    repeated = found.groupBy("bucket").applyInArrow(_sum_counts, "key long, n_found long")
     asked = classes.join(repeated, "key").where(F.col("n_found") >= _least(F.col("n"))).select("key")
     asked = written(asked, "asked")
 
@@ -410,7 +432,7 @@ def near_links(docs: DataFrame, described: DataFrame, classes: DataFrame, k: int
 
     total = sets.agg(F.sum("n")).first()[0] or 0
     sent = sets.select("key", "tokens").mapInArrow(_send_sets(_bits(total, partitions)), _PACKED_DDL)
-    held = sent.groupBy("bucket").applyInArrow(_held_by(True), _FOUND_DDL)
+    held = sent.groupBy("bucket").applyInArrow(_held, "key long, tokens binary, held binary")
     held = held.groupBy("key").agg(F.collect_list(F.struct("tokens", "held")).alias("found"))
     held = held.join(sets.select("key", "n"), "key").select("key", "n", "found")
     prefixes = written(held.mapInArrow(_prefixes, _PREFIX_DDL), "prefixes")
