@@ -16,8 +16,9 @@ from tallyrill.plans.batch import run_batch
 from tallyrill.plans.layout import Job
 from tallyrill.plans.speed import drain, run_speed
 from tallyrill.plans.upkeep import run_upkeep
-from tallyrill.plans.view import refresh_view, view_lines
+from tallyrill.plans.view import follow
 from tallyrill.session import build_session
+from tallyrill.sources.serving import Serving
 from tallyrill.sources.topics import Topics
 
 
@@ -32,9 +33,13 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--records", help="Parquet records to publish")
     parser.add_argument("--bucket-size", type=int, default=Job.bucket_size)
     parser.add_argument("--watermark")
-    parser.add_argument("--generation", type=int, default=0)
-    parser.add_argument("--every", help="trigger interval, such as '5 seconds'")
-    parser.add_argument("--land-every", help="the same for landing: longer means larger files")
+    parser.add_argument("--generation", type=int, help="of new checkpoints; by default the next")
+    parser.add_argument("--sources", nargs="+", choices=sorted(MODELS), default=list(Job.sources),
+                        help="topics to land")
+    parser.add_argument("--store-format", help="connector of an external keyed store")
+    parser.add_argument("--store-option", action="append", default=[], metavar="KEY=VALUE")
+    parser.add_argument("--every", help="trigger interval, such as '5 seconds'; of a view, seconds")
+    parser.add_argument("--land-every", help="the same for landing, by default 5 minutes")
     parser.add_argument("--strict", action="store_true", help="stop landing at a bad record")
     parser.add_argument("--once", action="store_true", help="process what is there, then stop")
     parser.add_argument("--by-table", action="store_true", help="one query per windowed table")
@@ -43,18 +48,26 @@ def arguments() -> argparse.Namespace:
     return parser.parse_args()
 
 
+def _options(given: list[str]) -> dict[str, str]:
+    return dict(option.split("=", 1) for option in given)
+
+
 def main() -> None:
     args = arguments()
     spark = build_session(f"activity-{args.job}")
     once = {"availableNow": True} if args.once else None
-    every = {"processingTime": args.every} if args.every else None
+    streams = args.job == "speed"
+    every = {"processingTime": args.every} if args.every and streams else None
     land_every = {"processingTime": args.land_every} if args.land_every else None
     job = Job(
         root=args.root,
-        topics=Topics(args.topics, args.topic_root, dict(o.split("=", 1) for o in args.option)),
+        topics=Topics(args.topics, args.topic_root, _options(args.option)),
         bucket_size=args.bucket_size,
         watermark=args.watermark,
         generation=args.generation,
+        sources=tuple(args.sources),
+        store=Serving(format=args.store_format, options=_options(args.store_option))
+        if args.store_format else None,
         trigger=once or every,
         land_trigger=once or land_every,
         mode="FAILFAST" if args.strict else "PERMISSIVE",
@@ -72,7 +85,8 @@ def main() -> None:
     elif args.job == "upkeep":
         run_upkeep(spark, job)
     else:
-        view_lines(refresh_view(spark, job.serving, SERVING[args.table])).show(100, False)
+        seconds = float(args.every.split()[0]) if args.every else None
+        follow(spark, job, SERVING[args.table], lambda rows: rows.show(100, False), seconds)
 
 
 if __name__ == "__main__":

@@ -18,9 +18,12 @@ from tallyrill.models import (
     TopicModel,
 )
 from tallyrill.operators import ranking, series, windows
+from tallyrill.plans.batch import current_ranking, pending, run_batch
+from tallyrill.plans.layout import Job
 from tallyrill.session import scratch
 from tallyrill.sources import landed, offsets
 from tallyrill.sources.serving import Serving
+from tallyrill.sources.topics import Topics
 
 HOUR = "1 hour"
 
@@ -53,7 +56,11 @@ def active_exact_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def active_approx_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.windowed_active(b.events(spark, sf_dir), size=HOUR)
+    """Whether the approximate count keeps to its bound, per hour."""
+    ev = b.events(spark, sf_dir)
+    exact = windows.windowed_active(ev, size=HOUR, exact=True).withColumnRenamed("active_subreddits", "exact")
+    both = windows.windowed_active(ev, size=HOUR).join(exact, ["date", "window", "submissions_and_comments"])
+    return both.select("date", "window", "exact", b.within_bound("active_subreddits", "exact"))
 
 
 def active_approx_error_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,14 +115,16 @@ def trending_one_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records without a time give no ranking."""
-    sides = {
-        "submissions": b.documents(spark, sf_dir),
-        "comments": b.conversations(spark, sf_dir),
-    }
-    untimed = {k: s.withColumn("created_utc", F.lit(None).cast("timestamp_ntz"))
-               for k, s in sides.items()}
-    return ranking.trending(untimed)
+    """A batch run over records without a time ranks none, but saves its positions."""
+    root = scratch(spark)
+    job = Job(root, Topics("parquet", f"{root}/topics"))
+    for model, rows in ((SUBMISSION, b.documents(spark, sf_dir)), (COMMENT, b.conversations(spark, sf_dir))):
+        decoded = decode(topic_rows(rows, model), model, bucket_size=job.bucket_size)
+        landed.write_landed(decoded, model, f"{job.landed}/{model.source}")
+    run_batch(spark, job)
+    saved = offsets.latest(offsets.read_log(spark, job.offsets))
+    ranked = current_ranking(spark, job).agg(F.count(F.lit(1)).alias("ranked"))
+    return saved.select("source", "partition", "offset", ranked.scalar().alias("ranked"))
 
 
 def empty_side(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,9 +141,9 @@ def _no_comments(spark: SparkSession) -> DataFrame:
 
 
 def _landed(spark: SparkSession, ev: DataFrame, root: str, models: tuple[TopicModel, ...]):
-    size = b.directory_size(ev)
     for model in models:
-        landed.write_landed(b.decoded_events(ev, model, size), model, f"{root}/{model.source}")
+        decoded = b.decoded_events(ev, model, Job.bucket_size)
+        landed.write_landed(decoded, model, f"{root}/{model.source}")
 
 
 def _half_processed(spark: SparkSession, log: str, root: str, models, ev: DataFrame) -> None:
@@ -157,17 +166,13 @@ def scan_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def discover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of four known sources two have updates, one is fully processed, one never landed."""
+    """Of two sources one is processed to the middle, of the other half has been landed since."""
     ev, root = b.events(spark, sf_dir), scratch(spark)
-    log = f"{root}/offsets"
-    _landed(spark, ev, root, (SUBMISSION, COMMENT, SUBREDDIT))
-    _half_processed(spark, log, root, (SUBMISSION, COMMENT), ev)
-    done = landed.read_stored(spark, SUBREDDIT, f"{root}/subreddit")
-    offsets.append(spark, log, offsets.reached(done.withColumn("source", F.lit("subreddit"))), 3)
-    models = {m.source: m for m in (SUBMISSION, COMMENT, SUBREDDIT, REDDITOR)}
-    found = landed.discover(spark, models, root, offsets.positions(offsets.read_log(spark, log)))
-    tagged = ranking.tag_union(found, "offset")
-    return tagged.groupBy(F.col("kind").alias("source")).agg(F.count(F.lit(1)).alias("updates"))
+    job = Job(root, Topics("parquet", f"{root}/topics"))
+    _landed(spark, ev, job.landed, (SUBMISSION,))
+    _landed(spark, ev.where(b.second_half(ev)), job.landed, (COMMENT,))
+    _half_processed(spark, job.offsets, job.landed, (SUBMISSION,), ev)
+    return pending(spark, job)
 
 
 def _positions(ev: DataFrame) -> DataFrame:

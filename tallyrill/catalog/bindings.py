@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrill.functions.codec import decode, topic_rows
-from tallyrill.functions.scalars import BUCKET_SIZE
 from tallyrill.models import COMMENT, SUBMISSION, TopicModel
+from tallyrill.operators.windows import RSD
 
 PARTITIONS = 3
 KIND_OF = {"submission": "purchase", "comment": "view", "subreddit": "signup"}
@@ -51,17 +51,17 @@ def tagged(ev: DataFrame) -> DataFrame:
     return both.select("subreddit", "created_utc", kind.alias("kind"))
 
 
+def within_bound(approximate: str, exact: str) -> Column:
+    """Few keys may share a register, which alone exceeds the relative bound."""
+    off = F.abs(F.col(approximate) - F.col(exact))
+    return (off <= F.greatest(F.lit(2.0), 4 * RSD * F.col(exact))).alias("within_bound")
+
+
 def second_half(ev: DataFrame) -> Column:
     """True past the middle offset: what a second run finds."""
     return F.col("offset") > ev.agg((F.floor(F.max("offset") / 2))).scalar()
 
 
-def directory_size(ev: DataFrame) -> int:
-    """Bucket size, a power of ten, that makes at most ten buckets of these offsets."""
-    last = ev.agg(F.max("offset")).first()[0]
-    return max(BUCKET_SIZE, 10 ** (len(str(last)) - 1))
-
-
 def as_record(ev: DataFrame, model: TopicModel) -> DataFrame:
     """Events as records of a model, with the broker's columns beside them."""
     seconds = F.unix_micros(F.col("created_utc").cast("timestamp")) / 1e6

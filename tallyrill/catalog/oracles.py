@@ -57,7 +57,17 @@ _REFRESHED = f"""
           SELECT "window", count AS y1 FROM ({_counts("SELECT * FROM events", "1 hour")}))
     GROUP BY "window" ORDER BY "window" DESC LIMIT 100"""
 
+# Of two streams the slower one counts; record times are whole seconds.
+_WATERMARK = f"""(SELECT min(t) - INTERVAL 20 DAY FROM (
+    SELECT date_trunc('second', max(ts)) AS t FROM ({BOTH}) WHERE event_id > {HALF} GROUP BY event_type))"""
+
+
+def _exact(rows: str) -> str:
+    return _counts(rows, "1 hour", "count(DISTINCT user_id) AS exact, true AS within_bound")
+
+
 ORACLES = {
+    "active_approx_1h": _exact("SELECT * FROM events"),
     "win_submissions_5s": _counts(SUBMISSIONS, "5 seconds"),
     "win_comments_5s": _counts(COMMENTS, "5 seconds"),
     "win_all_1h": _counts("SELECT * FROM events", "1 hour"),
@@ -99,9 +109,9 @@ ORACLES = {
     "trending_since": _ranking(f"{BOTH} AND event_id > {HALF}"),
     "trending_one_kind": _ranking(SUBMISSIONS),
     "trending_null": """
-        SELECT source AS subreddit, count(*) AS submissions, CAST(0 AS BIGINT) AS comments,
-               count(*) AS total, CAST(NULL AS TIMESTAMP) AS last_update
-        FROM documents GROUP BY source HAVING max(CAST(NULL AS TIMESTAMP)) IS NOT NULL""",
+        SELECT 'submission' AS source, CAST(0 AS INTEGER) AS partition, max(doc_id) AS "offset",
+               CAST(0 AS BIGINT) AS ranked FROM documents
+        UNION ALL SELECT 'comment', 0, max(conv_id), 0 FROM conversations""",
     "empty_side": f"""
         SELECT CAST(user_id AS VARCHAR) AS subreddit, 'submissions' AS kind FROM ({SUBMISSIONS})""",
     "scan_since": f"""
@@ -177,7 +187,8 @@ ORACLES = {
         FROM ({SUBMISSIONS})""",
     "st_upsert": _counts(SUBMISSIONS, "5 seconds"),
     "st_late": _V,
-    "st_watermark": _counts(f"{COMMENTS} AND event_id > {HALF}", "1 hour"),
+    "st_watermark": _counts(f"{COMMENTS} AND {_end('1 hour')} > {_WATERMARK}", "1 hour"),
+    "st_active_bound": _exact(BOTH),
     "st_active": _counts(BOTH, "5 seconds", "count(user_id) AS submissions_and_comments"),
     "st_replay": _counts(SUBMISSIONS, "5 seconds"),
     "st_restart": _P,

@@ -6,9 +6,6 @@ layer over them and returns what the landed or serving tables then hold.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +19,7 @@ from tallyrill.models import (
     WINDOWED_SUBMISSIONS,
     ServingTable,
 )
+from tallyrill.operators.windows import both_kinds, windowed_active
 from tallyrill.plans.batch import current_ranking, run_batch
 from tallyrill.plans.layout import Job
 from tallyrill.plans.speed import (
@@ -33,12 +31,14 @@ from tallyrill.plans.speed import (
 from tallyrill.session import job_session, scratch
 from tallyrill.sources import files
 from tallyrill.sources.landed import read_landed
-from tallyrill.sources.serving import Serving
 from tallyrill.sources.topics import Topics
 
 
-# A micro-batch is the unit of recovery, so a large topic is read in several of them.
+# A micro-batch is the unit of recovery, so a large topic is read in several of them. No result
+# depends on where they are cut.
 BATCH_BYTES = str(1 << 40)
+# Longer than the half of the events that comes first spans, shorter than all of them.
+DELAY = "20 days"
 
 
 def _job(spark: SparkSession, ev: DataFrame, **settings) -> Job:
@@ -46,7 +46,6 @@ def _job(spark: SparkSession, ev: DataFrame, **settings) -> Job:
     return Job(
         root,
         Topics("parquet", f"{root}/topics", {"maxBytesPerTrigger": BATCH_BYTES}),
-        bucket_size=b.directory_size(ev),
         trigger={"availableNow": True},
         **settings,
     )
@@ -131,9 +130,9 @@ def st_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def st_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with a watermark: the first half comes too late and is dropped."""
+    """The same with a watermark: what is older than the delay when the first half comes is dropped."""
     ev = b.events(spark, sf_dir)
-    job = _job(spark, ev, size="1 hour", watermark="1 hour")
+    job = _job(spark, ev, size="1 hour", watermark=DELAY)
     streams, later = job_session(spark), b.second_half(ev)
     for wave in (ev.where(later), ev.where(~later)):
         _feed(job, wave)
@@ -152,31 +151,35 @@ def st_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(spark, job, UNIQUE_ACTIVE).drop("active_subreddits")
 
 
-@dataclass(frozen=True)
-class FailsOnce(Serving):
-    """A store that loses its writer once, after a write; ``marker`` remembers that it did."""
-
-    marker: str = ""
-
-    def upsert(self, df: DataFrame, table: ServingTable, version: int) -> None:
-        super().upsert(df, table, version)
-        spark = df.sparkSession
-        if table == WINDOWED_COMMENTS and not files.exists(spark, self.marker):
-            spark.range(1).write.parquet(self.marker)
-            raise RuntimeError("lost after the write, before the commit")
+def st_active_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the stream's approximate count keeps to its bound, per hour."""
+    ev = b.events(spark, sf_dir)
+    job, streams = _job(spark, ev, size="1 hour"), job_session(spark)
+    _feed(job, ev)
+    drain(start_stats(streams, job))
+    _drop_topics(spark, job)
+    exact = windowed_active(both_kinds(b.submissions(ev), b.comments(ev)), size="1 hour", exact=True)
+    exact = exact.select("date", "window", F.col("active_subreddits").alias("exact"))
+    both = _shown(spark, job, UNIQUE_ACTIVE).join(exact, ["date", "window"])
+    return both.select("date", "window", "exact", b.within_bound("active_subreddits", "exact"))
 
 
 def st_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch fails after its writes and is run again from the checkpoint."""
+    """The last batch is run again, as after a crash between its writes and its commit."""
     ev = b.events(spark, sf_dir)
-    streams = job_session(spark)
-    root = scratch(spark)
-    job = _job(spark, ev, store=FailsOnce(f"{root}/serving", marker=f"{root}/failed"))
+    job, streams = _job(spark, ev), job_session(spark)
     _feed(job, ev)
-    try:
-        drain(start_stats(streams, job))
-    except StreamingQueryException:
-        drain(start_stats(streams, job))
+    drain(start_stats(streams, job))
+    commits = f"{job.checkpoint('windowed_activity')}/generation=0/commits"
+    last = max((n for n in files.children(spark, commits) if n.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        files.remove(spark, f"{commits}/{name}")
+    before = job.serving.parts(spark, WINDOWED_SUBMISSIONS)
+    again = start_stats(streams, job)
+    drain(again)
+    # A replay leaves a part of its own in the place of the first attempt's.
+    if job.serving.parts(spark, WINDOWED_SUBMISSIONS) == before:
+        raise RuntimeError("the batch was not run again")
     _drop_topics(spark, job)
     return _shown(spark, job, WINDOWED_SUBMISSIONS)
 
@@ -231,7 +234,8 @@ def speed_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        st_decode, st_land, st_upsert, st_late, st_watermark, st_active, st_replay, st_restart, st_all,
+        st_decode, st_land, st_upsert, st_late, st_watermark, st_active,
+        st_active_bound, st_replay, st_restart, st_all,
         speed_and_batch,
     )
 }

@@ -19,6 +19,8 @@ TYPES = {
 
 EVENT_TIME = "created_utc"
 CORRUPT = "_corrupt_record"
+# Landed with each record: nothing of it could be read.
+UNREADABLE = "_unreadable"
 
 
 @dataclass(frozen=True)
@@ -123,6 +125,7 @@ def stored_schema(model: TopicModel) -> T.StructType:
         schema.add("offset_batch", T.LongType())
         .add(EVENT_TIME, T.TimestampType())
         .add(CORRUPT, T.StringType())
+        .add(UNREADABLE, T.BooleanType())
         .add("_partition", T.IntegerType())
         .add("_offset_batch", T.LongType())
     )

@@ -7,6 +7,8 @@ kept for good; production streams should set one.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,10 +71,17 @@ def both_kinds(
     watermark: str | None = None,
 ) -> DataFrame:
     """Time and key of two tables or streams; a watermark is set on each side first."""
-    sides = [side.select(ts, key) for side in (submissions, comments)]
+    return all_kinds([submissions, comments], ts, key, watermark)
+
+
+def all_kinds(
+    sides: list[DataFrame], ts: str = "created_utc", key: str = "subreddit", watermark: str | None = None
+) -> DataFrame:
+    """The same of any number of tables or streams."""
+    sides = [side.select(ts, key) for side in sides]
     if watermark:
         sides = [side.withWatermark(ts, watermark) for side in sides]
-    return sides[0].unionByName(sides[1])
+    return reduce(DataFrame.unionByName, sides)
 
 
 def windowed_activity(

@@ -32,7 +32,7 @@ def updates(spark: SparkSession, job: Job, cumulative: bool = False) -> DataFram
                 EVENT_TIME,
                 job.key,
             )
-            for source, model in job.models.items()
+            for source, model in job.ranked.items()
         ],
     )
 
@@ -46,12 +46,20 @@ def progress(found: DataFrame) -> DataFrame:
     )
 
 
+def pending(spark: SparkSession, job: Job) -> DataFrame:
+    """The sources that have landed records past their positions, and how many; from one scan."""
+    found = updates(spark, job)
+    return found.groupBy("source").agg(F.count(F.lit(1)).alias("updates"))
+
+
 def run_batch(spark: SparkSession, job: Job, cumulative: bool = False) -> int | None:
     """Process what has landed since the last run; return the run's id, None without updates.
 
     Two narrow scans: offsets and times shrink to one row per broker partition, which the
-    driver holds; keys are counted and ranked. The entry in the offset log commits the run.
-    After a crash before it the next run takes the same id and overwrites what was left.
+    driver holds; keys are counted and ranked. The run claims its id before it writes, and its
+    entry in the offset log commits it. A run that finds the id claimed fails and changes
+    nothing; a crashed run's claim is taken over once it is ``job.stale_claim`` seconds old,
+    and its version is written again.
     """
     run_id = offsets.last_run(spark, job.offsets) + 1
     found = updates(spark, job, cumulative)
@@ -59,27 +67,39 @@ def run_batch(spark: SparkSession, job: Job, cumulative: bool = False) -> int |
     if not reached:
         return None
 
-    latest = max((r["latest"] for r in reached if r["latest"] is not None), default=None)
-    if latest is not None:
-        kinds = tuple(job.kinds.values())
-        counts = kind_counts(found, job.key, kinds)
-        offsets.require_open(spark, job.offsets, run_id)
-        ranking = rank(counts, F.timestamp_micros(F.lit(latest)), job.key, kinds, job.top)
-        job.serving.upsert(ranking, TRENDING, run_id)
-
-    entry = [(r["source"], r["partition"], r["offset_batch"], r["offset"]) for r in reached]
-    schema = OFFSET_LOG_SCHEMA.removesuffix(", run_id bigint")
-    offsets.append(spark, job.offsets, spark.createDataFrame(entry, schema), run_id)
+    claim = offsets.claim(spark, job.offsets, run_id, job.stale_claim)
+    try:
+        latest = max((r["latest"] for r in reached if r["latest"] is not None), default=None)
+        if latest is not None:
+            kinds = tuple(job.kinds.values())
+            counts = kind_counts(found, job.key, kinds)
+            ranking = rank(counts, F.timestamp_micros(F.lit(latest)), job.key, kinds, job.top)
+            job.serving.upsert(ranking, TRENDING, run_id)
+
+        entry = [(r["source"], r["partition"], r["offset_batch"], r["offset"]) for r in reached]
+        schema = OFFSET_LOG_SCHEMA.removesuffix(", run_id bigint")
+        claim.require(spark)
+        offsets.append(spark, job.offsets, spark.createDataFrame(entry, schema), run_id)
+    finally:
+        claim.release(spark)
     return run_id
 
 
 def ranking_table(spark: SparkSession, job: Job) -> DataFrame:
-    """The ranking table: every key ever ranked, as of its last committed run."""
+    """The ranking table: every key ever ranked, as of its last committed run.
+
+    An external store keeps no versions: it shows what was written last, committed or not.
+    """
+    if job.serving.format:
+        return job.serving.latest(spark, TRENDING)
     return job.serving.latest(spark, TRENDING, upto=offsets.last_run(spark, job.offsets))
 
 
 def current_ranking(spark: SparkSession, job: Job) -> DataFrame:
-    """Only the keys ranked by the last run that ranked any."""
+    """Only the keys ranked by the last run that ranked any; in an external store, by the latest time."""
+    if job.serving.format:
+        rows = job.serving.latest(spark, TRENDING)
+        return rows.where(F.col("last_update") == rows.agg(F.max("last_update")).scalar())
     last = offsets.last_run(spark, job.offsets)
     rows = job.serving.versions(spark, TRENDING).where(F.col("version") <= last)
     newest = rows.agg(F.max("version")).scalar()

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyrill.functions.codec import decode
-from tallyrill.models import COMMENT, EVENT_TIME, SUBMISSION, TopicModel
+from tallyrill.models import EVENT_TIME, UNIQUE_ACTIVE, TopicModel
 from tallyrill.operators.windows import (
-    both_kinds,
+    all_kinds,
     split_activity,
     windowed_active,
     windowed_activity,
@@ -29,7 +29,7 @@ def start_landing(spark: SparkSession, job: Job) -> list[StreamingQuery]:
                 model,
                 f"{job.landed}/{source}",
                 job.checkpoint(f"land_{source}"),
-                job.land_trigger or job.trigger,
+                job.landing,
             )
         )
     return queries
@@ -42,7 +42,7 @@ def _activity(spark: SparkSession, job: Job, model: TopicModel) -> DataFrame:
 
 def start_stats(spark: SparkSession, job: Job) -> list[StreamingQuery]:
     """All windowed tables from one query: each topic is read, shuffled and kept in state once."""
-    sides = {kind: _activity(spark, job, job.models[s]) for s, kind in job.kinds.items()}
+    sides = {kind: _activity(spark, job, job.ranked[s]) for s, kind in job.kinds.items()}
     activity = windowed_activity(
         sides, EVENT_TIME, job.key, job.size, watermark=job.watermark, rsd=job.rsd
     )
@@ -52,6 +52,7 @@ def start_stats(spark: SparkSession, job: Job) -> list[StreamingQuery]:
             activity,
             job.serving,
             lambda batch: split_activity(batch, kinds),
+            [*(f"windowed_{kind}" for kind in kinds), UNIQUE_ACTIVE.name],
             "windowed_activity",
             job.checkpoint("windowed_activity"),
             job.generation,
@@ -62,22 +63,19 @@ def start_stats(spark: SparkSession, job: Job) -> list[StreamingQuery]:
 
 def start_stats_by_table(spark: SparkSession, job: Job) -> list[StreamingQuery]:
     """One query per windowed table, so that each can be stopped and restarted alone."""
-    submissions = _activity(spark, job, SUBMISSION)
-    comments = _activity(spark, job, COMMENT)
-    counted = dict(size=job.size, watermark=job.watermark)
-    union = both_kinds(submissions, comments, EVENT_TIME, job.key, job.watermark)
+    sides = {kind: _activity(spark, job, job.ranked[s]) for s, kind in job.kinds.items()}
     results = {
-        "windowed_submissions": windowed_count(submissions, EVENT_TIME, **counted),
-        "windowed_comments": windowed_count(comments, EVENT_TIME, **counted),
-        "unique_active_subreddits": windowed_active(
-            union, EVENT_TIME, job.key, job.size, rsd=job.rsd
-        ),
+        f"windowed_{kind}": windowed_count(side, EVENT_TIME, job.size, watermark=job.watermark)
+        for kind, side in sides.items()
     }
+    union = all_kinds(list(sides.values()), EVENT_TIME, job.key, job.watermark)
+    results[UNIQUE_ACTIVE.name] = windowed_active(union, EVENT_TIME, job.key, job.size, rsd=job.rsd)
     return [
         upsert_stream(
             updates,
             job.serving,
             lambda batch, name=name: {name: batch},
+            [name],
             name,
             job.checkpoint(name),
             job.generation,

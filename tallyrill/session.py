@@ -27,19 +27,17 @@ def build_session(app: str, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def job_session(spark: SparkSession) -> SparkSession:
+def job_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A session beside ``spark`` (same cluster, own SQL settings) for streams.
 
-    State holds one row per window, so it needs no more partitions than there are cores;
-    Spark fixes the number when a stateful query first starts.
+    Spark fixes the number of state partitions when a stateful query first starts. It is
+    ``state_partitions``, or else what the session shuffles into.
     """
     job = spark.newSession()
     for key, value in STREAM_CONF.items():
         job.conf.set(key, value)
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    job.conf.set(
-        "spark.sql.shuffle.partitions", str(min(shuffles, spark.sparkContext.defaultParallelism))
-    )
+    shuffles = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
+    job.conf.set("spark.sql.shuffle.partitions", str(shuffles))
     return job
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -23,6 +25,44 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jpath))
 
 
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file that did not exist, atomically; False if it does."""
+    fs, jpath = _open(spark, path)
+    try:
+        out = fs.create(jpath, False)
+    except Exception:
+        if fs.exists(jpath):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    fs, jpath = _open(spark, path)
+    if not fs.exists(jpath):
+        return None
+    opened = fs.open(jpath)
+    try:
+        return bytes(opened.readNBytes(1 << 16)).decode()
+    finally:
+        opened.close()
+
+
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was written."""
+    fs, jpath = _open(spark, path)
+    return time.time() - fs.getFileStatus(jpath).getModificationTime() / 1000
+
+
+def move(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename; False if there is nothing to rename."""
+    fs, jpath = _open(spark, path)
+    return fs.exists(jpath) and fs.rename(jpath, _open(spark, to)[1])
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, jpath = _open(spark, path)
     fs.delete(jpath, True)

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrill.functions.codec import good_records
-from tallyrill.models import EVENT_TIME, TopicModel, stored_schema
+from tallyrill.functions.codec import malformed
+from tallyrill.models import EVENT_TIME, UNREADABLE, TopicModel, stored_schema
 from tallyrill.sources import files
 from tallyrill.sources.offsets import Position
 
@@ -18,8 +18,13 @@ DIRECTORIES = ["_partition", "_offset_batch"]
 
 
 def to_stored(decoded: DataFrame, model: TopicModel) -> DataFrame:
-    """The columns kept on disk; directory columns are copies, so a leaf read keeps the values."""
-    return decoded.withColumn("_partition", F.col("partition")).select(stored_schema(model).names)
+    """The columns kept on disk; directory columns are copies, so a leaf read keeps the values.
+
+    Whether a record is unreadable is settled here, where it is parsed, so that readers need
+    one flag and not every field for it.
+    """
+    columns = {"_partition": F.col("partition"), UNREADABLE: malformed(model)}
+    return decoded.withColumns(columns).select(stored_schema(model).names)
 
 
 def write_landed(decoded: DataFrame, model: TopicModel, root: str) -> None:
@@ -44,7 +49,7 @@ def _flatten(stored: DataFrame, model: TopicModel) -> DataFrame:
 
 def read_landed(spark: SparkSession, model: TopicModel, root: str) -> DataFrame:
     """Landed records without the malformed ones."""
-    return good_records(read_stored(spark, model, root), model)
+    return read_stored(spark, model, root).where(~F.col(UNREADABLE))
 
 
 def empty_landed(spark: SparkSession, model: TopicModel) -> DataFrame:
@@ -82,19 +87,3 @@ def read_since(
 ) -> DataFrame:
     """Landed records not yet processed, malformed ones included: they have offsets too."""
     return read_stored(spark, model, root).where(since(positions))
-
-
-def discover(
-    spark: SparkSession,
-    models: dict[str, TopicModel],
-    root: str,
-    positions: dict[str, dict[int, Position]],
-) -> dict[str, DataFrame]:
-    """The updates of every source that has landed data past its position."""
-    found = {}
-    for source, model in models.items():
-        if files.exists(spark, f"{root}/{source}"):
-            updates = read_since(spark, model, f"{root}/{source}", positions.get(source, {}))
-            if not updates.isEmpty():
-                found[source] = updates
-    return found

@@ -1,12 +1,14 @@
 """Offset log: how far each source and partition has been processed, one entry per run.
 
 A run is committed by its log entry and by nothing else. Every entry carries the position
-of all partitions known so far, so older entries may be dropped at any time. Writers take
-turns: one batch run at a time.
+of all partitions known so far, so only the last one is ever read. A run first claims its id
+with a file that only one can create; who finds it taken stops. The claim of a crashed run
+may be taken over once it is old enough.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,14 @@ class RunCommitted(RuntimeError):
     """Another run has already committed this run id."""
 
 
+class RunClaimed(RuntimeError):
+    """Another run works under this run id."""
+
+
+# Seconds after which a claim counts as a crashed run's. Longer than any run may take.
+STALE = 6 * 3600.0
+
+
 @dataclass(frozen=True)
 class Position:
     offset_batch: int
@@ -36,11 +46,12 @@ def last_run(spark: SparkSession, path: str) -> int:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The entries of committed runs; an empty table of the same schema before the first."""
+    """The entry of the last committed run; an empty table of the same schema before the first."""
     last = last_run(spark, path)
     if not last:
         return spark.createDataFrame([], OFFSET_LOG_SCHEMA)
-    return spark.read.schema(OFFSET_LOG_SCHEMA).parquet(path).where(F.col("run_id") <= last)
+    reader = spark.read.schema(OFFSET_LOG_SCHEMA).option("basePath", path)
+    return reader.parquet(f"{path}/run_id={last}")
 
 
 def latest(log: DataFrame) -> DataFrame:
@@ -71,10 +82,53 @@ def require_open(spark: SparkSession, path: str, run_id: int) -> None:
         raise RunCommitted(f"run {run_id} is already in {path}")
 
 
+@dataclass(frozen=True)
+class Claim:
+    """A run id taken by this run."""
+
+    path: str
+    run_id: int
+    token: str
+
+    @property
+    def file(self) -> str:
+        return f"{self.path}/_claim-{self.run_id}"
+
+    def require(self, spark: SparkSession) -> None:
+        """Fail if the id has been committed, or the claim taken over."""
+        require_open(spark, self.path, self.run_id)
+        if files.read(spark, self.file) != self.token:
+            raise RunClaimed(f"the claim of run {self.run_id} was taken over")
+
+    def release(self, spark: SparkSession) -> None:
+        if files.read(spark, self.file) == self.token:
+            files.remove(spark, self.file)
+
+
+def claim(spark: SparkSession, path: str, run_id: int, stale: float = STALE) -> Claim:
+    """Take a run id, by one atomic create; fail while another run holds it or has committed it."""
+    taken = Claim(path, run_id, uuid.uuid4().hex)
+    if not files.create(spark, taken.file, taken.token):
+        # An old claim is moved aside under the name of its holder, so two that find it stale
+        # cannot both take it, and neither can move the other's new claim unseen.
+        holder = files.read(spark, taken.file)
+        old = holder is not None and files.age(spark, taken.file) > stale
+        if not old or not files.move(spark, taken.file, f"{path}/_stale-{holder}"):
+            raise RunClaimed(f"run {run_id} is under way in {path}")
+        if not files.create(spark, taken.file, taken.token):
+            raise RunClaimed(f"run {run_id} is under way in {path}")
+    try:
+        taken.require(spark)
+    except RunCommitted:
+        taken.release(spark)
+        raise
+    return taken
+
+
 def append(spark: SparkSession, path: str, current: DataFrame, run_id: int) -> None:
     """Commit a run: the positions in ``current``, and those of all other partitions as before."""
     require_open(spark, path, run_id)
-    known = read_log(spark, path).where(F.col("run_id") < run_id).drop("run_id")
+    known = read_log(spark, path).drop("run_id")
     # One row per broker partition: a single small file.
     latest(known.unionByName(current)).coalesce(1).write.mode("overwrite").parquet(
         f"{path}/run_id={run_id}"
@@ -82,8 +136,10 @@ def append(spark: SparkSession, path: str, current: DataFrame, run_id: int) -> N
 
 
 def prune(spark: SparkSession, path: str, keep: int = 10) -> None:
-    """Drop all but the last ``keep`` committed entries."""
+    """Drop all but the last ``keep`` committed entries, and claims that were taken over."""
     last = last_run(spark, path)
     for name in files.children(spark, path):
+        if name.startswith("_stale-"):
+            files.remove(spark, f"{path}/{name}")
         if name.startswith("run_id=") and int(name.split("=")[1]) <= last - keep:
             files.remove(spark, f"{path}/{name}")

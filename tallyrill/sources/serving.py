@@ -1,12 +1,14 @@
 """Keyed serving tables as versioned Parquet.
 
-Each write adds a directory ``part=<version>`` whose rows carry their version; the row of
-a key is the one with the highest version. Writing a version again replaces its directory,
-so a replayed batch changes nothing. One writer per table.
+Each write adds a directory ``part=<version>-<attempt>`` whose rows carry their version; the
+row of a key is the one with the highest version. Only directories that Spark has committed
+are read. Writing a version again adds a directory and then drops the version's older ones,
+so a replayed batch changes nothing and hides nothing meanwhile. One writer per table.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,11 @@ def stream_version(generation: int, batch_id: int) -> int:
     return generation * GENERATION + batch_id
 
 
+def _version(part: str) -> int | None:
+    """A part's version; None for a compacted part."""
+    return None if part.startswith("c") else int(part.split("-")[0])
+
+
 @dataclass(frozen=True)
 class Serving:
     """The serving tables below ``root``, or in an external keyed store.
@@ -46,23 +53,49 @@ class Serving:
             writer = keyed.write.format(self.format).options(**self.options)
             writer.option("table", table.name).mode("append").save()
             return
+        spark = df.sparkSession
+        part = f"{version}-{uuid.uuid4().hex[:8]}"
         stamped = keyed.withColumn("version", F.lit(version).cast("bigint"))
-        stamped.write.mode("overwrite").parquet(f"{self.path(table)}/part={version}")
+        stamped.write.parquet(f"{self.path(table)}/part={part}")
+        for old in self._all_parts(spark, table):
+            if old != part and _version(old) == version:
+                files.remove(spark, f"{self.path(table)}/part={old}")
+
+    def _all_parts(self, spark: SparkSession, table: ServingTable) -> list[str]:
+        names = files.children(spark, self.path(table))
+        return [n.removeprefix("part=") for n in names if n.startswith("part=")]
+
+    def parts(self, spark: SparkSession, table: ServingTable) -> list[str]:
+        """The committed parts. Few, once the table has been compacted."""
+        return [p for p in self._all_parts(spark, table)
+                if files.exists(spark, f"{self.path(table)}/part={p}/_SUCCESS")]
+
+    def next_generation(self, spark: SparkSession, tables: list[ServingTable]) -> int:
+        """A generation above those of all stored rows."""
+        if self.format:
+            return 0
+        newest = [self.versions(spark, t).agg(F.max("version")).first()[0] for t in tables]
+        return max((v // GENERATION + 1 for v in newest if v is not None), default=0)
 
     def versions(self, spark: SparkSession, table: ServingTable) -> DataFrame:
         """Every stored row with its version; empty before the first write."""
         schema = f"{table.schema}, version bigint, part string"
-        if not files.exists(spark, self.path(table)):
+        if self.format:
+            raise ValueError("an external store keeps no versions")
+        paths = [f"{self.path(table)}/part={p}" for p in self.parts(spark, table)]
+        if not paths:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self.path(table))
+        return spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
 
     def latest(
         self, spark: SparkSession, table: ServingTable, upto: int | None = None
     ) -> DataFrame:
-        """Current row per key, or the row as of version ``upto``.
+        """Current row per key, or the row as of version ``upto``, which an external store has not.
 
         Filters on key columns pass below the aggregate into the Parquet scan.
         """
+        if self.format and upto is not None:
+            raise ValueError("an external store keeps no versions")
         if self.format:
             reader = spark.read.format(self.format).options(**self.options)
             return reader.option("table", table.name).load().select(table.columns)
@@ -87,9 +120,8 @@ class Serving:
         """
         if self.format:
             return
-        parts = [n.split("=")[1] for n in files.children(spark, self.path(table))
-                 if n.startswith("part=")]
-        written = sorted((p for p in parts if not p.startswith("c")), key=int)
+        parts = self.parts(spark, table)
+        written = sorted((p for p in parts if not p.startswith("c")), key=_version)
         compacted = [p for p in parts if p.startswith("c")]
         covered = written[:-1] + compacted
         if len(covered) < 2:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tallyrill.models import SERVING, TopicModel
+from tallyrill.models import SERVING, ServingTable, TopicModel
+from tallyrill.sources import files
 from tallyrill.sources.landed import DIRECTORIES, to_stored
 from tallyrill.sources.serving import Serving, stream_version
 
@@ -50,23 +51,29 @@ def upsert_stream(
     updates: DataFrame,
     serving: Serving,
     split: Callable[[DataFrame], dict[str, DataFrame]],
+    tables: list[str],
     name: str,
     checkpoint: str,
-    generation: int = 0,
+    generation: int | None = None,
     trigger: Trigger | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> StreamingQuery:
     """Write the changed rows of every micro-batch into serving tables, by key.
 
-    ``split`` gives the rows of each table by its name. The checkpoint belongs to
-    ``generation``: a new one needs a higher number.
+    ``split`` gives the rows of each of ``tables`` by its name. A checkpoint belongs to a
+    generation, above all that are stored when it is made: by default the last one with a
+    checkpoint goes on, and where there is none the next one begins. One file holds about
+    ``rows_per_file`` rows.
     """
+    spark = updates.sparkSession
+    generation = _generation(spark, serving, [SERVING[t] for t in tables], checkpoint, generation)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         version = stream_version(generation, batch_id)
         batch.persist()
         try:
             # The cached rows fill as many partitions as the state; a batch needs few files.
-            n_files = math.ceil(batch.count() / ROWS_PER_FILE)
+            n_files = math.ceil(batch.count() / rows_per_file)
             if n_files:
                 for table_name, rows in split(batch.coalesce(n_files)).items():
                     serving.upsert(rows, SERVING[table_name], version)
@@ -77,6 +84,24 @@ def upsert_stream(
     return _start(writer, name, f"{checkpoint}/generation={generation}", trigger)
 
 
+def _generation(
+    spark: SparkSession,
+    serving: Serving,
+    tables: list[ServingTable],
+    checkpoint: str,
+    wanted: int | None,
+) -> int:
+    """The generation of a checkpoint that goes on, or of one that begins."""
+    names = [n for n in files.children(spark, checkpoint) if n.startswith("generation=")]
+    begun = {int(n.split("=")[1]) for n in names}
+    if wanted in begun or wanted is None and begun:
+        return max(begun) if wanted is None else wanted
+    following = serving.next_generation(spark, tables)
+    if wanted is not None and wanted < following:
+        raise ValueError(f"generation {wanted} has no checkpoint, and {following - 1} is stored already")
+    return following if wanted is None else wanted
+
+
 def to_console(updates: DataFrame, trigger: Trigger | None = None) -> StreamingQuery:
     """Print updates, for debugging."""
     writer = updates.writeStream.format("console").outputMode("update")

@@ -1,12 +1,13 @@
 import pytest
-from helpers import record, rows_of, topic_of
+from helpers import file_job, record, rows_of, topic_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyrill.functions.codec import decode
-from tallyrill.models import COMMENT, REDDITOR, SUBMISSION
-from tallyrill.sources import landed, offsets
+from tallyrill.models import COMMENT, SUBMISSION
+from tallyrill.plans.batch import pending
+from tallyrill.sources import files, landed, offsets
 from tallyrill.sources.offsets import Position, RunCommitted
 
 
@@ -80,13 +81,59 @@ def test_nothing_landed_yet(spark, root):
     assert empty.dtypes == landed.empty_landed(spark, COMMENT).dtypes
 
 
-def test_discover(spark, root):
+def test_pending_sources(spark, root):
+    job = file_job(root)
     for model in (SUBMISSION, COMMENT):
-        _land(spark, f"{root}/{model.source}", {0: [0, 5]}, model=model)
-    models = {m.source: m for m in (SUBMISSION, COMMENT, REDDITOR)}
-    found = landed.discover(spark, models, root, {"comment": {0: Position(0, 5)}})
-    assert list(found) == ["submission"]
-    assert found["submission"].count() == 2
+        _land(spark, f"{job.landed}/{model.source}", {0: [0, 5]}, model=model)
+    offsets.append(spark, job.offsets, _positions(spark, ("comment", 0, 0, 5), ("submission", 0, 0, 0)), 1)
+    assert rows_of(pending(spark, job)) == [("submission", 1)]
+
+
+def test_landed_reads_scan_the_key_and_one_flag(spark, root):
+    _land(spark, f"{root}/submission", {0: [0, 5]})
+    counted = landed.read_landed(spark, SUBMISSION, f"{root}/submission").groupBy("subreddit").count()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    read = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert read == "struct<value:struct<subreddit:string>,_unreadable:boolean>"
+
+
+def test_the_log_reads_its_last_entry_only(spark, root):
+    log = f"{root}/log"
+    for run_id in range(1, 5):
+        offsets.append(spark, log, _positions(spark, ("a", 0, 0, run_id)), run_id)
+    read = offsets.read_log(spark, log)
+    assert {f.split("/")[-2] for f in read.inputFiles()} == {"run_id=4"}
+    assert rows_of(read) == [("a", 0, 0, 4, 4)]
+
+
+def test_a_run_id_is_claimed_once(spark, root):
+    log = f"{root}/log"
+    first = offsets.claim(spark, log, 1)
+    with pytest.raises(offsets.RunClaimed):
+        offsets.claim(spark, log, 1)
+    first.release(spark)
+    second = offsets.claim(spark, log, 1)
+    first.release(spark)
+    second.require(spark)
+    offsets.append(spark, log, _positions(spark, ("a", 0, 0, 5)), 1)
+    second.release(spark)
+    with pytest.raises(RunCommitted):
+        offsets.claim(spark, log, 1)
+    offsets.claim(spark, log, 2).release(spark)
+
+
+def test_an_old_claim_is_taken_over(spark, root):
+    log = f"{root}/log"
+    crashed = offsets.claim(spark, log, 1)
+    taken = offsets.claim(spark, log, 1, stale=-1)
+    taken.require(spark)
+    with pytest.raises(offsets.RunClaimed):
+        crashed.require(spark)
+    crashed.release(spark)
+    taken.require(spark)
+    taken.release(spark)
+    offsets.prune(spark, log)
+    assert [n for n in files.children(spark, log) if n.startswith("_")] == []
 
 
 def _positions(spark, *rows):

@@ -3,17 +3,18 @@
 import random
 
 import pytest
-from helpers import at, feed, file_job, record, rows_of, run, seconds_of
+from helpers import at, feed, file_job, record, rows_of, run, seconds_of, topic_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import AnalysisException, StreamingQueryException
 
 from tallyrill.functions.codec import rejects
-from tallyrill.models import COMMENT, SUBMISSION, TRENDING, UNIQUE_ACTIVE
+from tallyrill.models import COMMENT, MODELS, SUBMISSION, TRENDING, UNIQUE_ACTIVE
 from tallyrill.models import WINDOWED_COMMENTS, WINDOWED_SUBMISSIONS
 from tallyrill.plans import batch, speed, upkeep
 from tallyrill.session import build_session, job_session, scratch, shared_folder
 from tallyrill.sources import files, landed, offsets
+from tallyrill.sources.serving import Serving
 from tallyrill.sources.topics import Topics
 from tallyrill.streaming.sinks import to_console
 
@@ -121,6 +122,53 @@ def test_a_new_generation_starts_over(spark, root):
     assert _table(spark, renewed, WINDOWED_SUBMISSIONS) == {5: 2}
 
 
+def test_a_lost_checkpoint_begins_the_next_generation(spark, root):
+    job, streams = file_job(root), job_session(spark)
+    feed(spark, job, _sub(("a", 1), ("a", 2)))
+    run(speed.start_stats(streams, job))
+    files.remove(spark, f"{root}/checkpoints")
+    with pytest.raises(ValueError):
+        speed.start_stats(streams, file_job(root, generation=0))
+    feed(spark, job, _sub(("a", 3)), first_offset=2)
+    run(speed.start_stats(streams, job))
+    assert _table(spark, job, WINDOWED_SUBMISSIONS) == {5: 3}
+    feed(spark, job, _sub(("a", 4)), first_offset=3)
+    run(speed.start_stats(streams, job))
+    assert _table(spark, job, WINDOWED_SUBMISSIONS) == {5: 4}
+    assert files.children(spark, job.checkpoint("windowed_activity")) == ["generation=1"]
+
+
+def test_four_topics_land_while_two_are_counted(spark, root):
+    every = {m.source: m for m in MODELS.values()}
+    job, streams = file_job(root, sources=tuple(every)), job_session(spark)
+    feed(spark, job, _sub(("a", 1)), _sub(("b", 2)))
+    for model in every.values():
+        topic_of(spark, ['{"id": "1", "created_utc": 1704067201.0}'], model).write.mode("append").parquet(job.topics.path(model))
+    run(speed.run_speed(streams, job))
+    landed_rows = {s: landed.read_landed(spark, m, f"{job.landed}/{s}").count() for s, m in every.items()}
+    assert landed_rows == {s: 2 if s in job.kinds else 1 for s in every}
+    assert batch.run_batch(streams, job) == 1
+    assert _ranking(batch.current_ranking(spark, job)) == [("a", 1, 0, 1), ("b", 0, 1, 1)]
+
+
+@pytest.mark.parametrize("wrong", [
+    {"sources": ("submission",)},
+    {"kinds": {"submission": "posts"}},
+    {"sources": ("submission", "redditor"), "kinds": {"redditor": "submissions"}},
+])
+def test_a_job_that_cannot_work_is_refused_at_once(root, wrong):
+    with pytest.raises(ValueError):
+        file_job(root, **wrong)
+
+
+def test_one_kind_alone_by_table(spark, root):
+    job = file_job(root, sources=("comment",), kinds={"comment": "comments"})
+    feed(spark, job, _sub(("a", 1)), _sub(("b", 2), ("c", 3)))
+    run(speed.start_stats_by_table(job_session(spark), job))
+    assert _table(spark, job, WINDOWED_COMMENTS) == {5: 2}
+    assert _table(spark, job, UNIQUE_ACTIVE) == {5: (2, 2)}
+
+
 def test_plan_of_the_counts(spark, root):
     job = file_job(root)
     feed(spark, job, _sub(("a", 1)), _sub(("b", 2)))
@@ -335,6 +383,63 @@ def test_a_run_overtaken_by_another_leaves_its_ranking_alone(spark, root, monkey
     assert batch.run_batch(streams, job) is None
 
 
+@pytest.mark.parametrize("gap", ["kind_counts", "rank"])
+def test_runs_that_overlap_after_the_check(spark, root, monkeypatch, gap):
+    """The second run fails and changes neither log nor ranking, wherever the first one is."""
+    job, streams = file_job(root), job_session(spark)
+    _land(spark, job, streams, _sub(("a", 1)))
+    inner = getattr(batch, gap)
+
+    def overlapped(*args):
+        monkeypatch.setattr(batch, gap, inner)
+        before = offsets.last_run(spark, job.offsets), job.serving.versions(spark, TRENDING).count()
+        with pytest.raises(offsets.RunClaimed):
+            batch.run_batch(streams, job)
+        assert (offsets.last_run(spark, job.offsets), job.serving.versions(spark, TRENDING).count()) == before
+        return inner(*args)
+
+    monkeypatch.setattr(batch, gap, overlapped)
+    assert batch.run_batch(streams, job) == 1
+    assert _ranking(batch.current_ranking(spark, job)) == [("a", 1, 0, 1)]
+
+
+def test_overlap_between_ranking_and_commit(spark, root, monkeypatch):
+    job, streams = file_job(root), job_session(spark)
+    _land(spark, job, streams, _sub(("a", 1)))
+    append = offsets.append
+
+    def overlapped(*args):
+        monkeypatch.setattr(offsets, "append", append)
+        with pytest.raises(offsets.RunClaimed):
+            batch.run_batch(streams, job)
+        append(*args)
+
+    monkeypatch.setattr(offsets, "append", overlapped)
+    assert batch.run_batch(streams, job) == 1
+    assert _ranking(batch.current_ranking(spark, job)) == [("a", 1, 0, 1)]
+
+
+def test_a_killed_run_is_recovered(spark, root, monkeypatch):
+    """A run that dies without clean-up keeps its claim until that is old enough."""
+    job, streams = file_job(root), job_session(spark)
+    _land(spark, job, streams, _sub(("a", 1)))
+    offsets.claim(spark, job.offsets, 1)
+    with pytest.raises(offsets.RunClaimed):
+        batch.run_batch(streams, job)
+    assert batch.run_batch(streams, file_job(root, stale_claim=-1)) == 1
+    assert _ranking(batch.current_ranking(spark, job)) == [("a", 1, 0, 1)]
+
+
+def test_ranking_in_an_external_store(spark, root):
+    job = file_job(root, store=Serving(format="parquet", options={"path": f"{root}/out"}))
+    streams = job_session(spark)
+    for i, key in enumerate("ab"):
+        _land(spark, job, streams, _sub((key, 10 * i)), first_offset=i)
+        batch.run_batch(streams, job)
+    assert _ranking(batch.current_ranking(spark, job)) == [("b", 1, 0, 1)]
+    assert _ranking(batch.ranking_table(spark, job)) == [("a", 1, 0, 1), ("b", 1, 0, 1)]
+
+
 def test_upkeep_changes_no_result(spark, root):
     job, streams = file_job(root), job_session(spark)
     for i in range(3):
@@ -369,7 +474,8 @@ def test_job_sessions_leave_the_callers_settings_alone(spark):
     streams = job_session(spark)
     assert "RocksDB" in streams.conf.get("spark.sql.streaming.stateStore.providerClass")
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    assert int(streams.conf.get("spark.sql.shuffle.partitions")) <= 4
+    assert streams.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert job_session(spark, 7).conf.get("spark.sql.shuffle.partitions") == "7"
 
 
 def test_scratch_lies_below_the_shared_folder(spark):
@@ -403,8 +509,9 @@ def test_a_micro_batch_writes_few_files_and_none_when_nothing_changed(spark, roo
     feed(spark, job, ["{"], first_offset=40)
     run(speed.start_stats(streams, job))
     path = job.serving.path(WINDOWED_SUBMISSIONS)
-    assert files.children(spark, path) == ["part=0"]
-    assert len([n for n in files.children(spark, f"{path}/part=0") if n.endswith(".parquet")]) == 1
+    [part] = files.children(spark, path)
+    assert part.startswith("part=0-")
+    assert len([n for n in files.children(spark, f"{path}/{part}") if n.endswith(".parquet")]) == 1
 
 
 def test_topics_can_be_read_in_several_batches(spark, root):

@@ -7,6 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tallyrill.catalog import batch_queries, stream_queries
@@ -53,21 +54,24 @@ def test_matches_sql(spark, duck, name):
     assert _rows(got.columns, got.collect()) == _rows(list(columns), expected)
 
 
-def test_every_query_has_sql_but_the_approximate_one():
+def test_every_query_has_sql():
     own = {**batch_queries.QUERIES, **stream_queries.QUERIES}
-    assert set(own) - set(ORACLES) == {"active_approx_1h"}
+    assert set(own) == set(ORACLES)
 
 
-def test_approximate_distinct_is_close(spark):
-    from tallyrill.operators.windows import RSD
+@pytest.mark.parametrize("name", sorted(stream_queries.QUERIES))
+def test_streams_do_not_depend_on_where_batches_are_cut(spark, duck, monkeypatch, name):
+    feed = stream_queries._feed
 
-    approx = queries()["active_approx_1h"](spark, SF)
-    exact = queries()["active_exact_1h"](spark, SF).withColumnRenamed("active_subreddits", "exact")
-    off = approx.join(exact, ["date", "window", "submissions_and_comments"])
-    rows = off.select("active_subreddits", "exact").collect()
-    assert len(rows) == exact.count()
-    # Hours hold few keys, where two of them sharing a register already exceeds the bound.
-    assert all(abs(a - e) <= max(2, 4 * RSD * e) for a, e in rows)
+    def in_many_files(job, ev):
+        feed(job, ev.repartition(4, F.xxhash64("event_id")))
+
+    monkeypatch.setattr(stream_queries, "_feed", in_many_files)
+    monkeypatch.setattr(stream_queries, "BATCH_BYTES", "1")
+    got = queries()[name](spark, SF)
+    want = duck.execute(ORACLES[name])
+    names = [d[0] for d in want.description]
+    assert _rows(got.columns, got.collect()) == _rows(names, want.fetchall())
 
 
 def test_entry(spark):

@@ -4,6 +4,7 @@ import pytest
 from helpers import at, seconds_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyrill.models import SERVING, TRENDING, UNIQUE_ACTIVE, WINDOWED_COMMENTS
 from tallyrill.operators.series import look_back
@@ -86,20 +87,57 @@ def test_empty_writes_are_harmless(spark, store):
     assert _now(spark, store) == {5: 1}
 
 
+def _parts(spark, path):
+    return [n.removeprefix("part=").split("-")[0] for n in files.children(spark, path)]
+
+
+def test_parts_that_are_not_committed_are_not_read(spark, store):
+    _put(spark, store, 1, {5: 1})
+    path = store.path(WINDOWED_COMMENTS)
+    rows = store.versions(spark, WINDOWED_COMMENTS).drop("part").withColumn("version", F.lit(9).cast("long"))
+    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/part=9-torn")
+    assert _now(spark, store) == {5: 1}
+
+
+def test_a_replay_hides_nothing_before_it_is_complete(spark, store, monkeypatch):
+    _put(spark, store, 1, {5: 1})
+    _put(spark, store, 2, {5: 2})
+    seen = []
+    remove = files.remove
+    monkeypatch.setattr(files, "remove", lambda s, path: (seen.append(_now(spark, store)), remove(s, path)))
+    _put(spark, store, 2, {5: 2})
+    assert seen == [{5: 2}] and _now(spark, store) == {5: 2}
+    assert _parts(spark, store.path(WINDOWED_COMMENTS)) == ["1", "2"]
+
+
+def test_the_next_generation_is_above_all_stored(spark, store):
+    tables = [WINDOWED_COMMENTS, UNIQUE_ACTIVE]
+    assert store.next_generation(spark, tables) == 0
+    _put(spark, store, stream_version(3, 7), {5: 1})
+    assert store.next_generation(spark, tables) == 4
+
+
+def test_external_stores_have_no_versions(spark, root):
+    store = Serving(format="parquet", options={"path": f"{root}/out"})
+    for read in (lambda: store.versions(spark, TRENDING), lambda: store.latest(spark, TRENDING, upto=1)):
+        with pytest.raises(ValueError):
+            read()
+
+
 def test_compaction_keeps_the_view_and_the_newest_part(spark, store):
     for version in range(1, 6):
         _put(spark, store, version, {5: version, 5 * version: version})
     before = _now(spark, store)
     store.compact(spark, WINDOWED_COMMENTS)
     path = store.path(WINDOWED_COMMENTS)
-    assert files.children(spark, path) == ["part=5", "part=c1"]
+    assert _parts(spark, path) == ["5", "c1"]
     assert _now(spark, store) == before
     _put(spark, store, 6, {5: 60})
     store.compact(spark, WINDOWED_COMMENTS)
-    assert files.children(spark, path) == ["part=6", "part=c2"]
+    assert _parts(spark, path) == ["6", "c2"]
     assert _now(spark, store) == {**before, 5: 60}
     store.compact(spark, WINDOWED_COMMENTS)
-    assert files.children(spark, path) == ["part=6", "part=c2"]
+    assert _parts(spark, path) == ["6", "c2"]
 
 
 def test_a_crash_while_dropping_compacted_parts(spark, store, monkeypatch):
