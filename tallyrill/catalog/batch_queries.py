@@ -20,7 +20,7 @@ from tallyrill.models import (
 from tallyrill.operators import ranking, series, windows
 from tallyrill.plans.batch import current_ranking, pending, run_batch
 from tallyrill.plans.layout import Job
-from tallyrill.session import scratch
+from tallyrill.session import scratch, sweeping
 from tallyrill.sources import landed, offsets
 from tallyrill.sources.serving import Serving
 from tallyrill.sources.topics import Topics
@@ -251,16 +251,17 @@ def decode_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records damaged in several ways, by event type: which are rejects, which stay records."""
-    whole = topic_rows(b.as_record(b.events(spark, sf_dir), SUBMISSION), SUBMISSION)
-    text = F.col("value").cast("string")
-    kind = F.get_json_object(text, "$.title")
+    records = b.as_record(b.events(spark, sf_dir), SUBMISSION)
+    whole = topic_rows(records, SUBMISSION, "title")
+    text, kind = F.col("value").cast("string"), F.col("title")
     damaged = (
         F.when(kind == "error", F.substring(text, 1, 30))
         .when(kind == "signup", F.lit(""))
         .when(kind == "click", F.regexp_replace(text, '"over_18":(true|false)', '"over_18":"x"'))
         .otherwise(text)
     )
-    decoded = decode(whole.withColumn("value", damaged.cast("binary")), SUBMISSION)
+    whole = whole.withColumn("value", damaged.cast("binary")).drop("title")
+    decoded = decode(whole, SUBMISSION)
     parts = F.array_compact(
         F.array(
             F.when(F.col(CORRUPT).isNotNull(), F.lit("reject")),
@@ -334,7 +335,7 @@ def view_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f
+    f.__name__: sweeping(f)
     for f in (
         win_submissions_5s, win_comments_5s, win_all_1h, win_sliding_1h_15m, win_lines_7d,
         active_exact_1h, active_approx_1h,

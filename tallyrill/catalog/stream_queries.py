@@ -28,7 +28,7 @@ from tallyrill.plans.speed import (
     start_landing,
     start_stats,
 )
-from tallyrill.session import job_session, scratch
+from tallyrill.session import job_session, scratch, sweeping
 from tallyrill.sources import files
 from tallyrill.sources.landed import read_landed
 from tallyrill.sources.topics import Topics
@@ -232,7 +232,7 @@ def speed_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f
+    f.__name__: sweeping(f)
     for f in (
         st_decode, st_land, st_upsert, st_late, st_watermark, st_active,
         st_active_bound, st_replay, st_restart, st_all,

@@ -25,8 +25,11 @@ def encode(df: DataFrame, model: TopicModel) -> DataFrame:
     return df.select(record_value(model).alias("value"), F.lit(model.topic).alias("topic"))
 
 
-def topic_rows(df: DataFrame, model: TopicModel) -> DataFrame:
-    """Kafka-shaped rows from records that bring their partition, offset and timestamp."""
+def topic_rows(df: DataFrame, model: TopicModel, *beside: str) -> DataFrame:
+    """Kafka-shaped rows from records that bring their partition, offset and timestamp.
+
+    The columns ``beside`` the record are kept as they are.
+    """
     return df.select(
         F.lit(None).cast("binary").alias("key"),
         record_value(model).alias("value"),
@@ -35,6 +38,7 @@ def topic_rows(df: DataFrame, model: TopicModel) -> DataFrame:
         F.col("offset").cast("bigint"),
         F.col("timestamp").cast("timestamp"),
         F.lit(0).alias("timestampType"),
+        *beside,
     )
 
 

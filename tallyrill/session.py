@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import SparkSession
 
+from tallyrill.sources import files
+
 # Changelog checkpoints upload a batch's changes instead of whole state files. Concurrent
 # writers let a landing task that meets few buckets write them without sorting its records.
 STREAM_CONF = {
@@ -56,6 +60,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tallyrill/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tallyrill/{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def sweeping(query: Callable) -> Callable:
+    """The query; each call removes what its last one left in scratch paths, since that is read by then."""
+    left: list[str] = []
+
+    @wraps(query)
+    def run(spark: SparkSession, *args):
+        for path in left:
+            files.remove(spark, path)
+        first = len(_made)
+        try:
+            return query(spark, *args)
+        finally:
+            left[:] = _made[first:]
+            del _made[first:]
+
+    return run
