@@ -12,17 +12,18 @@ from tallyrill.llm import decontaminate, grades, gram_join, html_text, impact_se
 from tallyrill.llm.packing import op9_bounded_space_packing
 from tallyrill.llm.store import ship
 from tallyrill.llm.token_files import op3_bit_packed_ids
+from tallyrill.session import sweeping
 
 
 def shipped(query: Callable) -> Callable:
-    """The query, with this library at hand in every task."""
+    """The query, with this library at hand in every task; tables of its last call are removed."""
 
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
         return query(spark, sf_dir)
 
-    return run
+    return sweeping(run)
 
 
 _QUERIES = {

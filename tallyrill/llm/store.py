@@ -20,7 +20,7 @@ from tallyrill.session import scratch
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a Parquet table in the shared folder: computed once, kept if executors go."""
-    path = f"{scratch(df.sparkSession)}-{name}"
+    path = f"{scratch(df.sparkSession)}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -33,7 +33,7 @@ class FileStore:
 
     @classmethod
     def fresh(cls, spark: SparkSession, name: str) -> FileStore:
-        return cls(f"{scratch(spark)}-{name}")
+        return cls(f"{scratch(spark)}/{name}")
 
     def _open(self):
         root = self.root if "://" in self.root or self.root.startswith("file:") else f"file://{self.root}"
