@@ -207,20 +207,25 @@ def _sum_counts(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table([owner, total], names=["key", "n_found"])
 
 
-def _held(key: tuple, table: pa.Table) -> pa.Table:
-    """For each class of a bucket, which of its tokens other classes hold too and how many do."""
-    if key[0].as_py() < 0:
-        owner = np.repeat(_column(table, "keys", np.int64), _column(table, "counts", np.int32))
-        tokens = _column(table, "tokens", np.uint64)
-        held = np.full(len(tokens), FREQUENT + 1, np.int32)
-    else:
-        owner, tokens, held = _repeated(table, np.uint64)
-    order = np.argsort(owner, kind="stable")
-    owner, tokens, held = owner[order], tokens[order], held[order]
-    begin, size = _runs(owner)
-    return pa.table([
-        owner[begin], *[pa.array([x[a : a + n].tobytes() for a, n in zip(begin, size)], pa.binary()) for x in (tokens, held)]],
-        names=["key", "tokens", "held"])
+def _held(ranges: int):
+    """Which tokens of a bucket other classes hold too, and how many do, packed by ranges of classes."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:
+            owner = np.repeat(_column(table, "keys", np.int64), _column(table, "counts", np.int32))
+            tokens = _column(table, "tokens", np.uint64)
+            held = np.full(len(tokens), FREQUENT + 1, np.int32)
+        else:
+            owner, tokens, held = _repeated(table, np.uint64)
+        part = owner & (ranges - 1)
+        order = np.argsort(part, kind="stable")
+        begin, size = _runs(part[order])
+        return pa.table([
+            part[order][begin],
+            *[pa.array([x[order][a : a + n].tobytes() for a, n in zip(begin, size)], pa.binary()) for x in (owner, held, tokens)],
+        ], schema=_PACKED)
+
+    return run
 
 
 def _bits(total: int, partitions: int) -> int:
@@ -273,42 +278,38 @@ def _sets_of(k: int):
     return run
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each class's prefix, one longer, without the tokens that no other class holds.
+def _prefixes(key: tuple, found: pa.Table, sizes: pa.Table) -> pa.Table:
+    """The prefix of each class of a range, one longer, without the tokens that no other class holds.
 
     own tokens come before the prefix listed, rest after it; often of those listed, the last, are
     frequent. star has some of all its repeated tokens, the same for sets that are much alike.
     """
+    owner, held, tokens = (_column(found, *c) for c in (("keys", np.int64), ("counts", np.int32), ("tokens", np.uint64)))
+    order = np.lexsort((tokens, owner))
+    owner, held, tokens = owner[order], held[order], tokens[order]
+    again = np.concatenate([[False], (tokens[1:] == tokens[:-1]) & (owner[1:] == owner[:-1])])
+    owner, held, tokens = owner[~again], held[~again], tokens[~again]
+    n_of = dict(zip(sizes["key"].to_pylist(), sizes["n"].to_pylist()))
     out = []
-    for row in (r for batch in batches for r in batch.to_pylist()):
-        key, n, found = row["key"], row["n"], row["found"]
-        tokens = np.frombuffer(b"".join(f["tokens"] for f in found), np.uint64)
-        held = np.frombuffer(b"".join(f["held"] for f in found), np.int32)
-        tokens, first = np.unique(tokens, return_index=True)
-        held = held[first]
-        own = n - len(tokens)
+    for a, size in zip(*_runs(owner)):
+        name, mine, many = int(owner[a]), tokens[a : a + size], held[a : a + size]
+        n = n_of[name]
+        own = n - len(mine)
         longer = n - (n * PERCENT + 99) // 100 + 2
         if own + 1 >= longer:  # even the last token of the prefix proper is the class's own
             continue
-        use = np.lexsort((tokens, held))[: longer - own]
-        out.append((key, n, own, max(0, n - longer), int((held[use] > FREQUENT).sum()),
-                    tokens[:STAR].view(np.int64), tokens[use].view(np.int64)))
-        if len(out) >= 1_000:
-            yield _prefix_batch(out)
-            out = []
-    if out:
-        yield _prefix_batch(out)
+        use = np.lexsort((mine, many))[: longer - own]
+        out.append((name, n, own, max(0, n - longer), int((many[use] > FREQUENT).sum()),
+                    mine[:STAR].view(np.int64), mine[use].view(np.int64)))
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
+    columns = list(zip(*out)) or [[]] * 7
+    return pa.table(
+        [pa.array(c, t) for c, t in zip(columns, kinds)], names=["key", "n", "own", "rest", "often", "star", "prefix"])
 
 
 _PREFIX_DDL = "key long, n long, own long, rest long, often long, star array<long>, prefix array<long>"
 
 
-def _prefix_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
-    return pa.record_batch(
-        [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["key", "n", "own", "rest", "often", "star", "prefix"])
-
-
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose whole sets are similar enough."""
     for batch in batches:
@@ -432,10 +433,10 @@ def near_links(docs: DataFrame, described: DataFrame, classes: DataFrame, k: int
 
     total = sets.agg(F.sum("n")).first()[0] or 0
     sent = sets.select("key", "tokens").mapInArrow(_send_sets(_bits(total, partitions)), _PACKED_DDL)
-    held = sent.groupBy("bucket").applyInArrow(_held, "key long, tokens binary, held binary")
-    held = held.groupBy("key").agg(F.collect_list(F.struct("tokens", "held")).alias("found"))
-    held = held.join(sets.select("key", "n"), "key").select("key", "n", "found")
-    prefixes = written(held.mapInArrow(_prefixes, _PREFIX_DDL), "prefixes")
+    held = sent.groupBy("bucket").applyInArrow(_held(ranges), _PACKED_DDL)
+    sizes = sets.select(F.col("key").bitwiseAND(F.lit(ranges - 1)).alias("bucket"), "key", "n")
+    prefixes = written(
+        held.groupBy("bucket").cogroup(sizes.groupBy("bucket")).applyInArrow(_prefixes, _PREFIX_DDL), "prefixes")
 
     tried = written(_stars(prefixes), "pairs")
     links = written(_verified(tried, sets), "links")
@@ -454,7 +455,8 @@ def similar_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     classes = written(classes, "classes")
     labels = written(components(near_links(docs, described, classes, k)), "labels")
     lowest = classes.join(labels, "key").groupBy("label").agg(F.min("rep").alias("lowest"))
-    named = classes.join(labels, "key", "left").join(lowest, "label", "left")
+    lowest = labels.join(lowest, "label").select("key", "lowest")
+    named = classes.join(lowest, "key", "left")
     named = written(named.select("key", F.coalesce("lowest", "rep").alias("component_id")), "named")
     return described.join(named, "key", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
