@@ -43,7 +43,7 @@ STAR = 8
 #: Bits of the filter of classes that are asked for, at most; beyond that it lets more rows through.
 FILTER_BITS = 1 << 27
 #: Tokens a task packs before it sends them, and tokens of one bucket, both about.
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 BUCKET = 1 << 20
 #: Classes whose counts are added up together, about.
 RANGE = 1 << 14

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrill.llm.store import written
-from tallyrill.llm.tokens import encoder
+from tallyrill.llm.tokens import Encoder, encoder
 
 WINDOW = 1024
 #: Open windows per task, and tasks whose left-over windows are merged at once.
@@ -85,10 +85,14 @@ class Windows:
 
 def _pack_task(path: str, end_id: int, window: int, most: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with encoder(path) as tokens:
+            yield from pack_all(tokens, batches)
+
+    def pack_all(tokens: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        tokens, rows, sequence = encoder(path), [], task * _SHIFT
+        rows, sequence = [], task * _SHIFT
         end = np.uint32(end_id).tobytes()
 
         def emit(content: list, still_open: bool = False) -> None:

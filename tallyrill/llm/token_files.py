@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyrill.llm.store import FileStore, written
-from tallyrill.llm.tokens import encoder
+from tallyrill.llm.tokens import Encoder, encoder
 
 MAGIC = b"FWTOK1\n\0"
 BLOCK = 1 << 16
@@ -140,9 +140,12 @@ class TokenFile:
 
 def _write_task(store: FileStore, path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with encoder(path) as tokens:
+            yield from write_all(tokens, batches)
+
+    def write_all(tokens: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens = encoder(path)
         bits = max(1, (max(tokens.vocabulary, end_id + 1) - 1).bit_length())
         end, out = np.uint32(end_id).tobytes(), None
         for batch in batches:

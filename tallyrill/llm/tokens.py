@@ -9,14 +9,21 @@ those of ``Tokenizer.encode(text, add_special_tokens=False)`` in every case.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
+import threading
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 #: Pieces in one of the two halves of an encoder's memory; the older half goes when the newer is full.
 PIECES = 700_000
 
+#: Seconds after which a worker without texts to encode forgets its pieces.
+IDLE = 2.0
+
 #: A space or line break is a cut only between two of these: ASCII that shows, and Latin letters.
 _IRREGULAR = re.compile(r"[ \n](?![!-~À-ɏ])|(?<![!-~À-ɏ])[ \n]")
 #: Letters that either kind of tokenizer takes as one run and lower-cases one by one.
@@ -119,10 +126,29 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+_idle: threading.Timer | None = None
+
+
+def _forget() -> None:
+    _ENCODERS.clear()
+    gc.collect()  # an encoder and its pieces refer to one another
+
 
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """This Python worker's encoder for a tokenizer file.
 
-def encoder(path: str) -> Encoder:
-    """This Python worker's encoder for a tokenizer file."""
+    Workers live on for tasks of any kind, so what the encoder remembers goes IDLE seconds after
+    its last task.
+    """
+    global _idle
+    if _idle is not None:
+        _idle.cancel()
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    try:
+        yield _ENCODERS[path]
+    finally:
+        _idle = threading.Timer(IDLE, _forget)
+        _idle.daemon = True
+        _idle.start()
