@@ -26,6 +26,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -244,6 +245,18 @@ def _bitmap(keys: DataFrame):
     return keys.sparkSession.sparkContext.broadcast(bitmap)
 
 
+def _may_hold(bitmap):
+    """A column function: whether a key may be one of those in the filter."""
+
+    @F.pandas_udf("boolean")
+    def test(keys: pd.Series) -> pd.Series:
+        words = bitmap.value
+        place = keys.to_numpy(np.int64) & (len(words) * 32 - 1)
+        return pd.Series((words[place >> 5] >> (place & 31).astype(np.uint32)) & 1 > 0)
+
+    return test
+
+
 def _texts_of(k: int, bitmap):
     """(key, text) of rows whose class passes the filter, once per task."""
 
@@ -471,13 +484,19 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     stay = groups.where("n_shingles > 0 and doc_id = component_id").select(F.col("doc_id").alias("stay")).distinct()
     alone = groups.where("n_shingles = 0 and doc_id is not null").select(F.col("doc_id").alias("stay")).distinct()
     stay = written(stay.withColumn("words", F.lit(True)).unionByName(alone.withColumn("words", F.lit(False))), "stay")
+    # Only rows that may go, or whose id is there again, are shuffled; a bounded filter finds them.
+    again = groups.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.max(F.expr("n_shingles > 0 and doc_id <> component_id")).alias("goes"))
+    doubtful = written(again.where("rows > 1 or goes").select(F.xxhash64("doc_id").alias("key")), "doubtful")
+    doubt = _may_hold(_bitmap(doubtful))
     has_words = F.coalesce(docs[text], F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     rows = docs.select(F.struct("*").alias("row"), docs[doc_id].cast("long").alias("id"), has_words.alias("words"))
-    kept = rows.join(stay, (F.col("id") == F.col("stay")) & (rows["words"] == stay["words"]), "left_semi")
+    rows = rows.withColumn("doubt", F.col("id").isNotNull() & doubt(F.xxhash64("id")))
+    kept = rows.where("doubt").join(stay, (F.col("id") == F.col("stay")) & (rows["words"] == stay["words"]), "left_semi")
     # Repeated rows: the join has brought the rows of one id together already.
     turn = F.row_number().over(Window.partitionBy("id", F.xxhash64(F.col("row").getField(text))).orderBy(F.lit(0)))
     kept = kept.withColumn("turn", F.when(F.col("words"), turn).otherwise(1)).where("turn = 1")
-    return kept.select("row.*").unionByName(rows.where("id is null").select("row.*"))
+    return kept.select("row.*").unionByName(rows.where("not doubt").select("row.*"))
 
 
 def op10_gram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
