@@ -2,8 +2,9 @@
 
 Markup is stripped into lines, one per block element. What is no part of an article by its element,
 role or class (menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-reader comments) is left as blank lines, and so is all that lies outside an article or main element
-where a page has one with text in it. The lengths of lines are summed over a sliding window of
+reader comments) leaves nothing, so that text before and after it stays together. All that lies
+outside an article or main element where a page has one with text in it is left as blank lines, and
+so are menus' lines elsewhere. The lengths of lines are summed over a sliding window of
 WINDOW lines; text surges where the sum rises from nothing and dives where it falls back to nothing.
 The lines between a surge and its dive are kept if the sum reaches SURGE in between; if none does,
 those with most text are.
@@ -92,17 +93,16 @@ class _Lines:
         if linked:
             self.links += len(text.strip())
 
-    def end(self, in_article: bool, blanks: int = 0) -> None:
+    def end(self, in_article: bool) -> None:
         if self.parts:
             line = " ".join(html.unescape("".join(self.parts)).split())
             if line:
                 self.lines.append((line, in_article, self.links))
         self.parts, self.links = [], 0
-        self.lines.extend([("", False, 0)] * blanks)
 
 
 def lines_of(page: str) -> list[tuple[str, bool, int]]:
-    """The page's lines, blank where something that is no article's was."""
+    """The page's lines, without what is no article's."""
     out = _Lines()
     stack: list[tuple[str, bool, bool, bool]] = []  # name, other, in article, in link
     open_names: Counter[str] = Counter()
@@ -133,7 +133,7 @@ def lines_of(page: str) -> list[tuple[str, bool, int]]:
                 was = other
                 other, article, linked = pop_from(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
                 if was and not other:
-                    out.end(article, 1 if article else WINDOW)
+                    out.end(article)
             continue
         attributes = m["attributes"] if m["attributes"] is not None else m["attributes2"] or ""
         if name in _CLOSES_P:
@@ -153,7 +153,7 @@ def lines_of(page: str) -> list[tuple[str, bool, int]]:
         now_article = article or name in ("article", "main")
         now_other = other or _is_other(name, attributes, article)
         if now_other and not other:
-            out.end(article, 1 if article else WINDOW)
+            out.end(article)
         open_names[name] += 1
         stack.append((name, now_other, now_article, linked or name == "a"))
         other, article, linked = stack[-1][1:]

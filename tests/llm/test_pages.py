@@ -29,6 +29,9 @@ CASES = [
     ("<article>a<script>if (1 < 2) { x('</p>') }</script>b<!-- <p>c --> <textarea><p>d</textarea></article>", "ab"),
     ("<article><table><tr><td>a<td>b</table><ul><li>c<li>d</ul></article>", "a\nb\nc\nd"),
     ("<article></p></div>x</b></article></article>", "x"),
+    (page(f"<h1>Title</h1><div class=ad>Buy</div><p>{LONG}</p><p>{LONG}</p>"), f"Title\n{LONG.strip()}\n{LONG.strip()}"),
+    (page(f"<article><h1>Head</h1><p>{LONG}</p><div class=ad>Buy</div><aside>More</aside><div class=ad>Buy</div><p>End.</p></article>"),
+     f"Head\n{LONG.strip()}\nEnd."),
 ]
 
 
