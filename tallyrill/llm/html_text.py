@@ -9,6 +9,12 @@ WINDOW lines; text surges where the sum rises from nothing and dives where it fa
 The lines between a surge and its dive are kept if the sum reaches SURGE in between; if none does,
 those with most text are.
 
+Elements, roles and classes thus choose most of the text; surge and dive only part it where menus'
+lines or text outside articles lie in between. Two of these are taken back where they would cost a
+page its text: a class or id removes nothing that holds more than half of the page's text, unless it
+names replies and what is left reaches SURGE; and articles (a main element always counts) with less
+text than lies outside them, links aside, are lines like all others.
+
 A null or empty html gives an empty text. Unclosed and crossed tags, unfinished comments and tags,
 and markup of any length are read as far as they go. Repeated rows and null ids each give a row. An
 empty table gives none. Other columns are ignored.
@@ -57,34 +63,39 @@ _ALWAYS = frozenset(
 #: these need to stand without a word of an article's own parts.
 _UNLESS = frozenset("header footer nav navigation menu masthead topbar notice banner alert search skip".split())
 _OWN = frozenset("article entry post content story title headline main".split())
+#: What readers wrote may be more than the article.
+_REPLIES = frozenset("comment comments disqus respond reply replies".split())
+#: Why an element is no part of an article.
+_SURE, _NAMED, _REPLY = 1, 2, 3
 
 
-def _is_other(name: str, attributes: str, in_article: bool) -> bool:
-    """True for an element that is no part of an article."""
+def _is_other(name: str, attributes: str, in_article: bool) -> int:
+    """Why an element is no part of an article; 0 if it may be one."""
     if name in _NO_TEXT or name == "header" and not in_article:
-        return True
+        return _SURE
     if name in ("body", "html", "article", "main") or not attributes.strip():
-        return False
+        return 0
+    why = 0
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return _SURE
         if key == "role" and value in _ROLES:
-            return True
+            return _SURE
         if key == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return _SURE
         if key in ("class", "id"):
             words = set(re.split(r"[^a-z]+", value))
             if words & _ALWAYS or words & _UNLESS and not words & _OWN:
-                return True
-    return False
+                why = _REPLY if why == _REPLY or words & _REPLIES else _NAMED
+    return why
 
 
 class _Lines:
     """Lines of a page: text, whether it lies in an article, and how much of it is links."""
 
     def __init__(self):
-        self.lines: list[tuple[str, bool, int]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.parts: list[str] = []
         self.links = 0
 
@@ -93,7 +104,7 @@ class _Lines:
         if linked:
             self.links += len(text.strip())
 
-    def end(self, in_article: bool) -> None:
+    def end(self, in_article: int) -> None:
         if self.parts:
             line = " ".join(html.unescape("".join(self.parts)).split())
             if line:
@@ -101,24 +112,35 @@ class _Lines:
         self.parts, self.links = [], 0
 
 
-def lines_of(page: str) -> list[tuple[str, bool, int]]:
-    """The page's lines, without what is no article's."""
+def lines_of(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, int]], int]:
+    """The page's lines, without what is no article's; place, why and length of what a class or id names; the length of all.
+
+    What begins at a place in ``spared`` stays, whatever its class or id.
+    """
     out = _Lines()
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, other, in article, in link
+    stack: list[tuple[str, int, int, bool]] = []  # name, other, in article or (2) main, in link
     open_names: Counter[str] = Counter()
+    named: list[tuple[int, int, int, int]] = []  # depth, place, why, text before
+    sizes: list[tuple[int, int, int]] = []
+    seen = 0
 
-    def pop_from(place: int) -> tuple[bool, bool, bool]:
+    def pop_from(place: int) -> tuple[int, int, bool]:
         open_names.subtract(x[0] for x in stack[place:])
         del stack[place:]
-        return stack[-1][1:] if stack else (False, False, False)
+        while named and named[-1][0] >= place:
+            _, begin, why, before = named.pop()
+            sizes.append((begin, why, seen - before))
+        return stack[-1][1:] if stack else (0, 0, False)
 
-    other = article = linked = False
+    other, article, linked = 0, 0, False
     at = 0
     while at < len(page):
         m = _TOKEN.match(page, at)
         at = m.end()
         text = m["text"]
         if text is not None:
+            if other != _SURE:
+                seen += len(text.strip())
             if not other:
                 out.text(text, linked)
             continue
@@ -150,24 +172,40 @@ def lines_of(page: str) -> list[tuple[str, bool, int]]:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        now_article = article or name in ("article", "main")
-        now_other = other or _is_other(name, attributes, article)
+        now_article = max(article, 2 if name == "main" else int(name == "article"))
+        why = 0 if other == _SURE else _is_other(name, attributes, article > 0)
+        if why > _SURE:
+            named.append((len(stack), m.start(), why, seen))
+            if m.start() in spared:
+                why = 0
+        now_other = _SURE if why == _SURE else other or why
         if now_other and not other:
             out.end(article)
         open_names[name] += 1
         stack.append((name, now_other, now_article, linked or name == "a"))
         other, article, linked = stack[-1][1:]
     out.end(article)
-    return out.lines
+    pop_from(0)
+    return out.lines, sizes, seen
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks, one to a line."""
-    lines = lines_of(page or "")
-    if any(inside for text, inside, _ in lines if text):
-        lines = [line if line[1] else ("", False, 0) for line in lines]
+    page = page or ""
+    lines, sizes, total = lines_of(page)
+    spared: frozenset[int] = frozenset()
+    for why in (_NAMED, _REPLY):
+        large = {place for place, w, n in sizes if w == why and n >= SURGE and 2 * n > total}
+        if large and (why == _NAMED or sum(len(text) for text, *_ in lines) < SURGE):
+            spared |= large
+            lines = lines_of(page, spared)[0]
+    menus = [not inside and links > LINKS * len(text) for text, inside, links in lines]
+    within = sum(len(text) for text, inside, _ in lines if inside)
+    beside = sum(len(text) for (text, inside, _), menu in zip(lines, menus) if not inside and not menu)
+    if any(inside == 2 for _, inside, _ in lines) or within and beside < max(SURGE, within + 1):
+        lines = [line if line[1] else ("", 0, 0) for line in lines]
     else:
-        lines = [("", False, 0) if text and links > LINKS * len(text) else (text, inside, links) for text, inside, links in lines]
+        lines = [("", 0, 0) if menu else line for line, menu in zip(lines, menus)]
     lengths = [len(text) for text, *_ in lines]
     sums = [sum(lengths[max(0, i - WINDOW + 1) : i + 1]) for i in range(len(lengths))]
     found: list[tuple[int, int, int]] = []  # peak, surge, dive

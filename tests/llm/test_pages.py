@@ -32,6 +32,11 @@ CASES = [
     (page(f"<h1>Title</h1><div class=ad>Buy</div><p>{LONG}</p><p>{LONG}</p>"), f"Title\n{LONG.strip()}\n{LONG.strip()}"),
     (page(f"<article><h1>Head</h1><p>{LONG}</p><div class=ad>Buy</div><aside>More</aside><div class=ad>Buy</div><p>End.</p></article>"),
      f"Head\n{LONG.strip()}\nEnd."),
+    (page(f"<article>Teaser</article><div><p>{LONG}</p><p>{LONG}</p></div>"), f"Teaser\n{LONG.strip()}\n{LONG.strip()}"),
+    (page(f"<div class='content with-sidebar'><h1>Title</h1><p>{LONG}</p><div class=sidebar>{LONG[:40]}</div></div>"), f"Title\n{LONG.strip()}"),
+    (page(f"<div class=no-social><div class='post no-comments'><p>{LONG}</p></div></div>"), LONG.strip()),
+    (page(f"<p>{LONG}</p><div class=comments><p>{LONG}</p><p>{LONG}</p></div>"), LONG.strip()),
+    (page(f"<article>Few</article><div class=ad>{LONG[:60]}</div>"), "Few"),
 ]
 
 
