@@ -6,9 +6,11 @@ on texts that hold one; nothing is looked at position by position but the candid
 
 Candidates for the entropy scan are runs of CANDIDATE. The window of WIDTH characters moves over one
 with counts per character: the sum of n * log2(n) changes by the character that enters and the one
-that leaves, and the entropy is log2(WIDTH) less that sum over WIDTH. Its class (hexadecimal, or
-letters and digits with +/_-) sets the threshold. Windows over it join to spans. Allow-listed
-candidates are left out: runs without a digit or without a letter, UUIDs, words of letters with
+that leaves, and the entropy is log2(WIDTH) less that sum over WIDTH. Its class (hexadecimal in
+one case or both, base32, base36, or base62 and base64) sets the threshold: what all but one in 200
+random windows of that alphabet reach. Letters of one case in parts between +/_- are like words of a
+path and need more. Up to four words with _ or - before a string don't change its class. Windows over
+the threshold join to spans. Allow-listed candidates are left out: runs without a digit or without a letter, UUIDs, words of letters with
 digits only behind them, and what is named an example or a placeholder.
 
 Nulls: a null text is empty and has no spans; a null id stays. Repeated rows are scanned alike. An
@@ -36,8 +38,19 @@ HINTS = {
 }
 WIDTH = 20
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
-#: Bits per character that a window needs: what random strings of the class reach and words don't.
-THRESHOLDS = {"entropy_hex": 3.0, "entropy_mixed": 3.9}
+#: Bits per character that a window needs: what 199 of 200 random windows of the class reach; of parts, what words don't.
+THRESHOLDS = {
+    "entropy_hex": 2.82, "entropy_any_hex": 2.96, "entropy_base32": 3.28, "entropy_base36": 3.34, "entropy_parts": 3.9,
+    "entropy_mixed": 3.58}
+_WORDS = r"(?:[A-Za-z]{1,16}[_-]){0,4}"
+#: The first that a whole candidate matches is its class; entropy_mixed if none.
+CLASSES = (
+    ("entropy_hex", rf"[0-9a-f-]+|[0-9A-F-]+|{_WORDS}(?:[0-9a-f]{{20,}}|[0-9A-F]{{20,}})"),
+    ("entropy_any_hex", rf"[0-9A-Fa-f-]+|{_WORDS}[0-9A-Fa-f]{{20,}}"),
+    ("entropy_base32", rf"{_WORDS}(?:[a-z2-7]{{20,}}|[A-Z2-7]{{20,}})"),
+    ("entropy_base36", rf"{_WORDS}(?:[a-z0-9]{{20,}}|[A-Z0-9]{{20,}})"),
+    ("entropy_parts", r"[a-z0-9+/_-]+|[A-Z0-9+/_-]+"),
+)
 ALLOWED = (
     r"[^0-9]*", r"[^A-Za-z]*", r"[A-Za-z/_-]+[0-9]{1,4}",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
@@ -81,9 +94,16 @@ def _bits(n: Column) -> Column:
     return F.when(n > 1, n * F.log2(n)).otherwise(0.0)
 
 
-def hot_windows(candidate: Column, mixed: Column) -> Column:
-    """Starts of the windows whose entropy reaches the threshold of the candidate's class."""
-    least = F.when(mixed, THRESHOLDS["entropy_mixed"]).otherwise(THRESHOLDS["entropy_hex"])
+def needed(candidate: Column) -> Column:
+    """The threshold of the candidate's class."""
+    least = F.lit(THRESHOLDS["entropy_mixed"])
+    for kind, pattern in reversed(CLASSES):
+        least = F.when(F.regexp_like(candidate, F.lit(f"^(?:{pattern})$")), THRESHOLDS[kind]).otherwise(least)
+    return least
+
+
+def hot_windows(candidate: Column, least: Column) -> Column:
+    """Starts of the windows whose entropy reaches ``least``."""
     chars = F.split(candidate, "")
     n_windows = F.char_length(candidate) - WIDTH + 1
 
@@ -115,7 +135,6 @@ def entropy_spans(text: Column) -> Column:
         matches(text, CANDIDATE, "entropy"), lambda s: ~F.regexp_like(s["text"], F.lit(f"^(?:{allowed})$")))
 
     def windows(s: Column) -> Column:
-        mixed = ~F.regexp_like(s["text"], F.lit("^(?:[0-9a-f-]+|[0-9A-F-]+)$"))
         empty = F.array().cast("array<struct<start:long,end:long>>")
 
         def join(out: Column, i: Column) -> Column:
@@ -126,7 +145,7 @@ def entropy_spans(text: Column) -> Column:
             new = F.concat(out, F.array(F.struct(begin.alias("start"), (begin + WIDTH).alias("end"))))
             return F.when((F.size(out) > 0) & (begin <= last["end"]), longer).otherwise(new)
 
-        spans = F.aggregate(hot_windows(s["text"], mixed), empty, join)
+        spans = F.aggregate(hot_windows(s["text"], needed(s["text"])), empty, join)
         return F.transform(spans, lambda w: F.struct(
             F.lit("entropy").alias("kind"), w["start"].alias("start"), w["end"].alias("end"),
             F.lit("").alias("text")))

@@ -4,11 +4,13 @@ import hashlib
 import itertools
 import random
 import re
+import string
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyrill.llm import decontaminate, gram_join, grades, secret_scan, toxicity
 from tests.llm.test_words import shingles
@@ -209,6 +211,31 @@ def test_secrets_match_brute_force(spark, docs):
     assert any(entropy_spans(t) for _, t in rows)
 
 
+ALPHABETS = {
+    "hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "any hex": "0123456789abcdefABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base36": "0123456789abcdefghijklmnopqrstuvwxyz", "base62": string.digits + string.ascii_letters,
+    "base64": string.digits + string.ascii_letters + "+/",
+}
+
+
+def test_random_strings_of_each_class_and_length_are_found(spark, docs):
+    r = random.Random(7)
+    rows, made = [], []
+    for name, alphabet in ALPHABETS.items():
+        for size in (20, 32, 40):
+            for before in ("", "sk_live_"):
+                for _ in range(100):
+                    s = ""
+                    while not re.search("[0-9]", s) or not re.search("[A-Za-z]", s):
+                        s = "".join(r.choice(alphabet) for _ in range(size))
+                    rows.append((len(rows), f"see {before}{s} here"))
+                    made.append((name, size, before))
+    found = Counter(made[x["doc_id"]] for x in secret_scan.scan(docs(rows).repartition(4)).where(F.size("entropy") > 0).select("row.doc_id").collect())
+    assert {k: found[k] for k in Counter(made) if found[k] < 95} == {}
+    words = "see over-the-hills-and-far-away-in-2024-again-and-again or path/to/some/file/of/2024/the-last-one"
+    assert secret_scan.scan(docs([(1, words)])).where(F.size("entropy") > 0).count() == 0
+
+
 def test_the_query_lists_spans_as_asked(spark, tmp_path, docs):
     docs(list(enumerate(SECRETS))).write.parquet(str(tmp_path / "documents.parquet"))
     for r in secret_scan.op6_entropy_secrets(spark, str(tmp_path)).collect():
