@@ -5,7 +5,8 @@ first six bytes, these to the first four, and these to shared counts. Each level
 class takes a fixed discount off the documents of the class that hold the expression, and gives what
 is taken to the next level. How an expression's share is split below is told by shared backoff
 counts: in how many documents of the whole corpus, labelled or not, it occurs (its distinct
-contexts). Expressions that neither class holds differ by a constant only, whatever they are.
+contexts). An expression that a single text holds has estimates of its own like any other.
+Expressions that neither class holds differ by a constant only, whatever they are.
 
 A text is described by its length-normalised difference of toxic and ordinary log-likelihood, by the
 largest such difference of any RUN words in a row, and by its TOP largest ones; a logistic curve over
@@ -175,7 +176,7 @@ def estimate(table: list[dict], shared: list[np.ndarray], totals: dict) -> tuple
     """Differences of log probabilities, level by level from the last, and what each fall to the next adds."""
     values: list[np.ndarray] = [np.zeros(0)] * len(table)
     falls = [0.0] * len(table)
-    below: dict[int, int] = {}
+    below = np.zeros(0, np.uint64)
     probability = None
     for n in range(len(table) - 1, -1, -1):
         rows, share = table[n], shared[n]
@@ -187,8 +188,9 @@ def estimate(table: list[dict], shared: list[np.ndarray], totals: dict) -> tuple
             if probability is None:
                 lower = own
             else:
-                at = np.array([below.get(p, -1) for p in rows["parent"].tolist()], np.int64)
-                known = at >= 0
+                at = np.searchsorted(below, rows["parent"])
+                known = at < len(below)
+                known[known] = below[at[known]] == rows["parent"][known]
                 lower = own * fall_below[c]
                 if known.any():
                     whole = np.maximum(shared[n + 1][:-1], 1)[at[known]]
@@ -198,7 +200,7 @@ def estimate(table: list[dict], shared: list[np.ndarray], totals: dict) -> tuple
         probability = {c: p for c, p, _ in parts}
         values[n] = np.log(probability["toxic"]) - np.log(probability["ordinary"])
         falls[n] = float(np.log(max(fall_below["toxic"], 1e-12)) - np.log(max(fall_below["ordinary"], 1e-12)))
-        below = {h: i for i, h in enumerate(rows["hash"].tolist())}
+        below = rows["hash"]
     return values, falls
 
 
@@ -227,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
         *[F.sum(c).alias(c) for c in ("ordinary", "toxic")],
         *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in ("ordinary", "toxic")]).collect()
     totals = {(r["level"], c): (r[c], r[f"{c}_kinds"]) for r in sums for c in ("ordinary", "toxic")}
-    known = counted.where("ordinary + toxic > 1").toArrow()
+    known = counted.toArrow()
     counted.unpersist()
     if not all(totals.get((0, c), (0, 0))[0] for c in ("ordinary", "toxic")):
         return None
@@ -244,8 +246,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     seen = docs.select(docs[text].alias("text")).mapInArrow(
         _occurrences(sc.broadcast(model.keys)), "level long, place long, n long")
     shared = [np.zeros(len(k) + 1) for k in model.keys]
-    for r in seen.groupBy("level", "place").agg(F.sum("n").alias("n")).toArrow().to_pylist():
-        shared[r["level"]][r["place"]] = r["n"]
+    seen = seen.groupBy("level", "place").agg(F.sum("n").alias("n")).toArrow()
+    for level, own in enumerate(shared):
+        part = seen.filter(pa.compute.equal(seen["level"], level))
+        own[part["place"].to_numpy()] = part["n"].to_numpy()
     model.values, model.falls = estimate(table, shared, totals)
 
     marked = rows.where(fold(F.col("id")) == CURVE).select("toxic", "text")

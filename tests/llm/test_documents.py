@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import string
+import zlib
 from collections import Counter
 
 import duckdb
@@ -301,6 +302,20 @@ def test_unheld_labels_are_never_learned_from(spark, labelled):
     assert np.array_equal(a.curve, b.curve) and all(np.array_equal(x, y) for x, y in zip(a.values, b.values))
 
 
+def test_words_of_one_labelled_text_have_estimates_of_their_own(spark, docs):
+    r = random.Random(4)
+    rows = [(i, " ".join([f"word{r.randrange(50)}" for _ in range(20)] + [f"{'qz' if i % 2 else 'xk'}{i:04d}rare"])) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs(rows), labels)
+    counted = [i for i, _ in rows if zlib.crc32(str(i).encode()) % toxicity.FOLDS not in (toxicity.HELD_OUT, toxicity.CURVE)]
+    for i in counted:
+        raw = np.frombuffer(rows[i][1].split()[-1].encode(), np.uint8)
+        levels = toxicity._levels(raw, np.array([0]), np.array([len(raw)]))
+        assert all(levels[n][0] in model.keys[n] for n in range(3))
+        own = model.differences(levels)[0] - sum(model.falls)
+        assert own > 0 if i % 2 else own < 0
+
+
 def test_without_labels_nothing_is_toxic_and_grades_are_0(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     some = docs([(1, "a"), (None, None)])
