@@ -14,8 +14,9 @@ best per query; the k best of all tasks follow by Spark's grouped limit.
 
 Vectors that are null, or hold null or non-finite components, take no part; others may differ in
 length, missing components count as 0. Rows with a null id are neither queries nor candidates; rows
-with the query's id are not its candidates; of other repeated rows each takes part. Ties go to the
-smaller id. Scores must fit 64 bits. Without queries or vectors there are no rows.
+with the query's id are not its candidates; of other repeated rows each takes part. A query id that
+several rows hold asks once, with the first of their vectors in ascending order of components, a
+shorter one filled up with 0. Ties go to the smaller id. Scores must fit 64 bits. Without queries or vectors there are no rows.
 """
 
 from __future__ import annotations
@@ -133,8 +134,10 @@ def _search(queries, k: int):
                 index = ImpactIndex(block)
                 for b in range(0, len(query_ids), BATCH):
                     part = widened(query_rows[b : b + BATCH], width)
-                    # One more than k: the query's own row may be among them.
-                    for q, rows in index.possible(part, k + 1, floor[b : b + BATCH]):
+                    # More than k: the query's own rows, however many the block holds, may be among them.
+                    own = np.isin(block_ids, query_ids[b : b + BATCH])
+                    most = int(np.unique(block_ids[own], return_counts=True)[1].max(initial=0))
+                    for q, rows in index.possible(part, k + most, floor[b : b + BATCH]):
                         rows = rows[block_ids[rows] != query_ids[b + q]]
                         if not len(rows):
                             continue
@@ -165,8 +168,9 @@ def search(
         ids, wholes = np.zeros(0, np.int64), np.zeros((0, 0), np.int64)
         if part.num_rows:
             ids, wholes = whole(part["vec_id"].chunk(0), part["embedding"].chunk(0))
-            ids, first = np.unique(ids, return_index=True)
-            wholes = wholes[first]
+            order = np.lexsort((*wholes.T[::-1], ids))
+            ids, first = np.unique(ids[order], return_index=True)
+            wholes = wholes[order][first]
         some = rows.mapInArrow(
             _search(spark.sparkContext.broadcast((ids, wholes)), k), "query_id long, vec_id long, score long")
         found = some if found is None else found.unionByName(some)

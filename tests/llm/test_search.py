@@ -39,6 +39,21 @@ def test_matches_brute_force(spark, monkeypatch, block, levels, queries, few):
     assert got == brute(rows, 10, 5)
 
 
+@pytest.mark.parametrize("times", [2, 9])
+def test_repeated_query_ids(spark, monkeypatch, times):
+    monkeypatch.setattr(impact_search, "FEW", 1)
+    r = random.Random(times)
+    rows = [(i, [float(np.float32(r.gauss(0, 1))) for _ in range(6)]) for i in range(1, 200)]
+    rows = [x for x in rows if x[0] % 50]
+    lower, upper = [3.0, -2.0, 1.0, 2.0, 1.5, 2.5], [3.5, -2.0, 1.0, 2.0, 1.5, 2.5]
+    rows += [(100, upper), *[(100, lower)] * (times - 1)]
+    want = sorted((-sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(lower, v)), i) for i, v in rows if i != 100)[:5]
+    for turn in (rows, rows[::-1]):
+        df = spark.createDataFrame(turn, "vec_id long, embedding array<float>").coalesce(1)
+        got = impact_search.search(df, F.col("vec_id") % 50 == 0, k=5).orderBy("rank").collect()
+        assert [(-x["score"], x["vec_id"]) for x in got] == want and {x["query_id"] for x in got} == {100}
+
+
 def test_few_or_no_candidates(spark):
     def of(rows):
         return spark.createDataFrame(rows, "vec_id long, embedding array<float>")
