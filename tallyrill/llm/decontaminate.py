@@ -6,8 +6,9 @@ are searched together: a table over hashes of blocks of two words says how far t
 the patterns whose last block stands at a position are taken from buckets of that block's hash, and
 the bytes of the words confirm each occurrence. Long texts are searched in many lanes side by side.
 
-The patterns are broadcast in blocks of at most MAX_PATTERNS, each with a pass of its own over the
-rows, so memory does not grow with the benchmark.
+Spark makes the patterns from the items and drops repeated ones. They are broadcast in blocks of about
+MAX_PATTERNS, each with a pass of its own over the rows; what a block has found is written to the
+shared folder before the next is broadcast, so memory does not grow with the number of patterns.
 
 Nulls: a null text has no words and is clean; items with a null text or id give no patterns, nor do
 items without words. Repeated items count once. Repeated rows each get their result. An empty
@@ -25,7 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyrill.llm.store import written
 from tallyrill.llm.words import PUNCTUATION, chunks, grams, grams_at, hashes, spans
+from tallyrill.session import scratch
+from tallyrill.sources import files
 
 WINDOW = 10
 MAX_PATTERNS = 200_000
@@ -109,18 +113,31 @@ def tables(windows: dict[tuple[str, ...], list[int]]) -> list[Patterns]:
     return [Patterns(ws, [windows[w] for w in ws]) for _, ws in sorted(by.items())]
 
 
+def _windows(window: int) -> object:
+    """(words, item) of each window, the words with a space between."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = words_of(text)
+                n = max(1, len(words) - window + 1) if words else 0
+                for a in range(0, n, 50_000):
+                    some = [" ".join(words[i : i + window]) for i in range(a, min(n, a + 50_000))]
+                    yield pa.record_batch(
+                        [pa.array(some, pa.string()), pa.array([item] * len(some), pa.int64())], names=["words", "item"])
+
+    return run
+
+
 def pattern_blocks(benchmark: DataFrame, window: int, item_id: str, text: str) -> Iterator[dict]:
-    """Windows to item ids, at most MAX_PATTERNS at a time; the items come to the driver one by one."""
-    out: dict[tuple[str, ...], list[int]] = {}
+    """Windows to item ids, about MAX_PATTERNS at a time, dealt by a hash; the driver holds one block."""
     items = benchmark.select(benchmark[item_id].cast("long").alias("item"), benchmark[text].alias("text"))
-    for row in items.dropna().distinct().toLocalIterator():
-        words = words_of(row["text"])
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            out.setdefault(tuple(words[i : i + window]), []).append(row["item"])
-            if len(out) >= MAX_PATTERNS:
-                yield out
-                out = {}
-    yield out
+    rows = items.dropna().distinct().mapInArrow(_windows(window), "words string, item long")
+    rows = written(rows.groupBy("words").agg(F.collect_set("item").alias("items")), "windows")
+    blocks = max(1, -(-rows.count() // MAX_PATTERNS))
+    for block in range(blocks):
+        part = rows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block).toArrow()
+        yield {tuple(w.split(" ")): i for w, i in zip(part["words"].to_pylist(), part["items"].to_pylist())}
 
 
 def _find(block) -> object:
@@ -187,8 +204,18 @@ def find_windows(
         F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.lit(None).cast(_SPANS_DDL).alias("spans"), F.lit(None).cast("array<bigint>").alias("items"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema])
+    sent = last = None
     for windows in pattern_blocks(benchmark, window, item_id, item_text):
-        out = out.mapInArrow(_find(spark.sparkContext.broadcast(windows)), schema)
+        if sent:  # the block before this one is searched for now
+            path = f"{scratch(spark)}/found"
+            out.write.parquet(path)
+            out = spark.read.schema(schema).parquet(path)
+            sent.unpersist()
+            if last:
+                files.remove(spark, last)
+            last = path
+        sent = spark.sparkContext.broadcast(windows)
+        out = out.mapInArrow(_find(sent), schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return out.select("row", "n_words", hit.alias("n_hit"), "spans", "items")
 

@@ -135,6 +135,17 @@ def test_windows_match_brute_force(spark, docs, monkeypatch, most):
         assert sum(s["end"] - s["start"] for s in g["spans"]) == hit
 
 
+def test_a_task_holds_the_tables_of_one_block(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_PATTERNS", 5)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(13))) for i in range(4)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    blocks = list(decontaminate.pattern_blocks(benchmark, 10, "item_id", "text"))
+    assert len(blocks) == 4 and sum(map(len, blocks)) == 16
+    found = decontaminate.find_windows(docs(items), benchmark, keep=["doc_id"])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r["row"]["doc_id"], r["n_hit"], r["items"]) for r in found.collect()) == [(i, 13, [i]) for i in range(4)]
+
+
 def test_windows_of_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate.find_windows(docs([(1, "a b"), (None, None)]), none, keep=["doc_id"]).collect()
