@@ -8,7 +8,19 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyrill.llm import decontaminate, grades, gram_join, html_text, impact_search, secret_scan, toxicity, warc
+from tallyrill.llm import (
+    alignment,
+    decontaminate,
+    grades,
+    gram_join,
+    html_text,
+    impact_search,
+    repair,
+    repeats,
+    secret_scan,
+    toxicity,
+    warc,
+)
 from tallyrill.llm.packing import op9_bounded_space_packing
 from tallyrill.llm.store import ship
 from tallyrill.llm.token_files import op3_bit_packed_ids
@@ -29,6 +41,9 @@ def shipped(query: Callable) -> Callable:
 _QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op10_gram_jaccard_join": gram_join.op10_gram_jaccard_join,
+    "op11_external_alignment": alignment.op11_external_alignment,
+    "op12_column_wise_repeats": repeats.op12_column_wise_repeats,
+    "op13_conversation_repair": repair.op13_conversation_repair,
     "op1_line_blocks": html_text.op1_line_blocks,
     "op2_wu_manber_windows": decontaminate.op2_wu_manber_windows,
     "op3_bit_packed_ids": op3_bit_packed_ids,
