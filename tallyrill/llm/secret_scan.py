@@ -1,43 +1,49 @@
 """Secrets in texts: patterns, and Shannon entropy in a window that slides over candidate strings.
 
 All of it is DataFrame functions. A pattern's matches come from regexp_extract_all, their places
-from what split leaves between them, as code points with the end exclusive. Patterns are tried only
+from running sums over what split leaves between them, as code points with the end exclusive. Patterns are tried only
 on texts that hold one; nothing is looked at position by position but the candidate strings.
 
 Candidates for the entropy scan are runs of CANDIDATE. The window of WIDTH characters moves over one
-with counts per character: the sum of n * log2(n) changes by the character that enters and the one
-that leaves, and the entropy is log2(WIDTH) less that sum over WIDTH. Its class (hexadecimal in
+with its counts per character, five bits each in six numbers: the character that leaves takes one off its count, the one
+that enters adds one, and the sum of n * log2(n), in whole numbers, changes by these two. The entropy is log2(WIDTH) less that sum over WIDTH.
+A candidate is scanned in pieces of PIECE windows, and lists that grow are built in blocks of BLOCK,
+so time and memory are in proportion to the text, with one long candidate or many matches too. Its class (hexadecimal in
 one case or both, base32, base36, or base62 and base64) sets the threshold: what all but one in 200
 random windows of that alphabet reach. Letters of one case in parts between +/_- are like words of a
 path and need more. Up to four words with _ or - before a string don't change its class. Windows over
 the threshold join to spans. Allow-listed candidates are left out: runs without a digit or without a letter, UUIDs, words of letters with
 digits only behind them, and what is named an example or a placeholder.
 
-Nulls: a null text is empty and has no spans; a null id stays. Repeated rows are scanned alike. An
-empty table gives no rows. Characters outside the basic plane count as one.
+Nulls: a null text is empty and has no spans; a null id stays. Repeated rows are scanned alike. Very long texts are
+scanned whole, in one task each. An empty table gives no rows. Characters outside the basic plane count as one.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Kind, pattern, and which group of how many characters a match needs.
+#: Kind, pattern, and which group of how many characters a match needs. Where a shorter match can't hide a longer
+#: one, the pattern asks for the length itself.
 PATTERNS = (
     ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    ("access", r"AKIA[A-Z0-9]+", 0, 20),
-    ("hex", r"[0-9a-f]+", 0, 24),
+    ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", r"(?<![0-9a-f])[0-9a-f]{24,}", 0, 24),
 )
 #: Texts without one of these have no match long enough.
 HINTS = {
     "assign": r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]""",
     "access": r"AKIA[A-Z0-9]{16}",
-    "hex": r"[0-9a-f]{24}",
+    "hex": r"(?<![0-9a-f])[0-9a-f]{24}",
 }
 WIDTH = 20
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+#: Windows of a candidate that are scanned at once, and items of a list that are added up at once.
+PIECE, BLOCK = 256, 128
 #: Bits per character that a window needs: what 199 of 200 random windows of the class reach; of parts, what words don't.
 THRESHOLDS = {
     "entropy_hex": 2.82, "entropy_any_hex": 2.96, "entropy_base32": 3.28, "entropy_base36": 3.34, "entropy_parts": 3.9,
@@ -56,25 +62,73 @@ ALLOWED = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"(?i).*(example|placeholder|x{6}|0{8}|1234567|abcdef).*",
 )
-_SPAN = "array<struct<kind:string,start:long,end:long,text:string>>"
+_SPAN = "array<struct<kind:string,start:long,end:long,at:long,to:long>>"
+_SCALE = 1 << 40
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+_PER_NUMBER = 12
 
 
-def matches(text: Column, pattern: str, kind: str) -> Column:
-    """Leftmost matches that do not overlap, as kind, start, end, text."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    lengths = F.transform(F.arrays_zip(between.alias("gap"), found.alias("hit")), lambda x: F.struct(
-        F.coalesce(F.char_length(x["gap"]), F.lit(0)).cast("long").alias("gap"),
-        F.coalesce(F.char_length(x["hit"]), F.lit(0)).cast("long").alias("size"), x["hit"].alias("hit")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("spans"))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), 0)
 
-    def step(s: Column, x: Column) -> Column:
-        begin = s["at"] + x["gap"]
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), (begin + x["size"]).alias("end"), x["hit"].alias("text"))
-        return F.struct((begin + x["size"]).alias("at"), F.when(
-            x["hit"].isNotNull(), F.concat(s["spans"], F.array(span))).otherwise(s["spans"]).alias("spans"))
 
-    return F.aggregate(lengths, start, step, lambda s: s["spans"])
+def _running(items: Column, zero: Column, add: Callable[[Column, Column], Column], depth: int = 2) -> Column:
+    """For each item what ``add`` makes of all items before it, in time proportional to their number.
+
+    ``items`` must be a lambda's variable. Blocks are added up, then blocks of blocks, so that no list
+    of more than BLOCK items is built one by one until there are BLOCK**3.
+    """
+
+    def one_by_one(part: Column, first: Column) -> Column:
+        start = F.struct(first.alias("sum"), F.filter(F.array(first), lambda _: F.lit(False)).alias("out"))
+        return F.aggregate(part, start, lambda s, x: F.struct(
+            add(s["sum"], x).alias("sum"), F.concat(s["out"], F.array(s["sum"])).alias("out")), lambda s: s["out"])
+
+    if depth == 0:
+        return one_by_one(items, zero)
+    starts = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+
+    def block(i: Column) -> Column:
+        return F.slice(items, i * BLOCK + 1, BLOCK)
+
+    blocks = _let(
+        F.transform(starts, lambda i: F.aggregate(block(i), zero, add)),
+        lambda sums: _let(_running(sums, zero, add, depth - 1), lambda before: F.flatten(
+            F.transform(starts, lambda i: one_by_one(block(i), F.get(before, i))))))
+    return F.when(F.size(items) <= BLOCK, one_by_one(items, zero)).otherwise(blocks)
+
+
+def _joined(spans: Column) -> Column:
+    """Spans (start, end), sorted and alike in length or apart, with those that touch made one."""
+    starts = F.filter(spans, lambda s, i: F.coalesce(s["start"] > F.get(spans, i - 1)["end"], F.lit(True)))
+    ends = F.filter(spans, lambda s, i: F.coalesce(F.get(spans, i + 1)["start"] > s["end"], F.lit(True)))
+    return F.zip_with(starts, ends, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end")))
+
+
+def matches(text: Column, pattern: str) -> Column:
+    """Leftmost matches that do not overlap: start and end in code points, at and to in bytes, and the text."""
+
+    def placed(gaps: Column, hits: Column) -> Column:
+        def size(x: Column) -> Column:
+            return F.struct(F.char_length(x).cast("long").alias("n"), F.octet_length(x).cast("long").alias("bytes"))
+
+        def add(a: Column, b: Column) -> Column:
+            return F.struct((a["n"] + b["n"]).alias("n"), (a["bytes"] + b["bytes"]).alias("bytes"))
+
+        zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("bytes"))
+        sizes = F.transform(hits, lambda h, i: add(size(F.get(gaps, i)), size(h)))
+        return _let(sizes, lambda sizes: _let(_running(sizes, zero, add), lambda before: F.transform(
+            hits, lambda h, i: _let(add(F.get(before, i), F.get(sizes, i)), lambda end: F.struct(
+                (end["n"] - F.char_length(h)).alias("start"), end["n"].alias("end"),
+                (end["bytes"] - F.octet_length(h)).alias("at"), end["bytes"].alias("to"), h.alias("text"))))))
+
+    return _let(F.split(text, pattern, -1), lambda gaps: _let(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda hits: placed(gaps, hits)))
+
+
+def _span(kind: str, start: Column, end: Column, at: Column, to: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), at.alias("at"), to.alias("to"))
 
 
 def base_spans(text: Column) -> list[Column]:
@@ -82,18 +136,13 @@ def base_spans(text: Column) -> list[Column]:
 
     def of(kind: str, pattern: str, group: int, least: int) -> Column:
         spans = F.filter(
-            matches(text, pattern, kind),
-            lambda s: F.char_length(F.regexp_extract(s["text"], pattern, group)) >= least)
+            matches(text, pattern), lambda s: F.char_length(F.regexp_extract(s["text"], pattern, group)) >= least)
+        spans = F.transform(spans, lambda s: _span(kind, s["start"], s["end"], s["at"], s["to"]))
         return F.when(F.regexp_like(text, F.lit(HINTS[kind])), spans).otherwise(F.array().cast(_SPAN))
 
     return [of(*p) for p in PATTERNS]
 
 
-def _bits(n: Column) -> Column:
-    """n * log2(n), nothing for a count of 0 or 1."""
-    return F.when(n > 1, n * F.log2(n)).otherwise(0.0)
-
-
 def needed(candidate: Column) -> Column:
     """The threshold of the candidate's class."""
     least = F.lit(THRESHOLDS["entropy_mixed"])
@@ -102,57 +151,89 @@ def needed(candidate: Column) -> Column:
     return least
 
 
-def hot_windows(candidate: Column, least: Column) -> Column:
-    """Starts of the windows whose entropy reaches ``least``."""
-    chars = F.split(candidate, "")
-    n_windows = F.char_length(candidate) - WIDTH + 1
+def _bits(n: int) -> int:
+    """n * log2(n) in whole numbers."""
+    return round(n * math.log2(n) * _SCALE) if n > 1 else 0
+
 
-    def count(within: Column, char: Column) -> Column:
-        return F.aggregate(within, F.lit(0), lambda n, c: n + (c == char).cast("int"))
+def _places() -> Column:
+    """For each ASCII character where its count is: the number, how far it is shifted, and one of it."""
+    place = {c: divmod(i, _PER_NUMBER) for i, c in enumerate(_ALPHABET)}
+    rows = [place.get(chr(i), (0, 0)) for i in range(128)]
+    return F.array(*[F.struct(F.lit(k).alias("number"), F.lit(5 * i).alias("shift"), F.lit(1 << 5 * i).cast("long").alias("one"))
+                     for k, i in rows])
 
-    first = F.slice(chars, 1, WIDTH)
-    total = F.aggregate(
-        F.array_distinct(first), F.lit(0.0), lambda s, c: s + _bits(count(first, c)))
-    start = F.struct(total.alias("sum"), F.array().cast("array<int>").alias("hot"))
 
-    def step(s: Column, i: Column) -> Column:
-        window = F.slice(chars, i, WIDTH)
-        left = F.element_at(chars, i)
-        entering = F.element_at(chars, i + WIDTH)
-        hot = F.when((math.log2(WIDTH) - s["sum"] / WIDTH) >= least, F.concat(s["hot"], F.array(i))).otherwise(s["hot"])
-        gone = count(window, left)
-        come = count(window, entering) - (left == entering).cast("int")
-        moved = s["sum"] - _bits(gone) + _bits(gone - 1) - _bits(come) + _bits(come + 1)
-        return F.struct(F.when(i < n_windows, moved).otherwise(s["sum"]).alias("sum"), hot.alias("hot"))
+def _hot_piece(piece: Column, most: Column) -> Column:
+    """Starts in a short string of the windows whose sum of n * log2(n) is at most ``most``.
 
-    return F.aggregate(F.sequence(F.lit(1), n_windows), start, step, lambda s: s["hot"])
+    The state is the window's counts and sum; a character that leaves and one that enters change them.
+    """
+    numbers = range(-(-len(_ALPHABET) // _PER_NUMBER))
+    # What the sum grows by as a count reaches n.
+    growth = F.array(*[F.lit(_bits(n) - _bits(n - 1)).cast("long") for n in range(1, WIDTH + 1)])
+
+    def count(counts: Column, place: Column) -> Column:
+        held = F.call_function("shiftright", F.get(counts, place["number"]), place["shift"])
+        return held.bitwiseAND(F.lit(31).cast("long")).cast("int")
+
+    def scan(places: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            come, gone = F.get(places, i), F.get(places, i - WIDTH)
+
+            def moved(k: int) -> Column:
+                more = F.when(come["number"] == k, come["one"]).otherwise(0)
+                return F.get(s["counts"], k) + more - F.when(gone["number"] == k, gone["one"]).otherwise(0)
+
+            same = F.when((come["number"] == gone["number"]) & (come["shift"] == gone["shift"]), 1).otherwise(0)
+            less = F.coalesce(F.get(growth, count(s["counts"], gone) - 1), F.lit(0).cast("long"))
+            hot = (i >= WIDTH) & (s["sum"] <= most)  # the window that the last step has filled
+            return F.struct(
+                F.array(*[moved(k) for k in numbers]).alias("counts"),
+                (s["sum"] - less + F.get(growth, count(s["counts"], come) - same)).alias("sum"),
+                F.when(hot, F.concat(s["hot"], F.array(i - WIDTH))).otherwise(s["hot"]).alias("hot"))
+
+        zero = F.lit(0).cast("long")
+        start = F.struct(F.array(*[zero for _ in numbers]).alias("counts"), zero.alias("sum"),
+                         F.array().cast("array<int>").alias("hot"))
+        size = F.size(places)
+        return F.aggregate(
+            F.sequence(F.lit(0), size - 1), start, step,
+            lambda s: F.when(s["sum"] <= most, F.concat(s["hot"], F.array(size - WIDTH))).otherwise(s["hot"]))
+
+    places = _places()
+    return _let(F.transform(F.split(piece, ""), lambda c: F.get(places, F.ascii(c))), scan)
+
+
+def hot_spans(candidate: Column, least: Column) -> Column:
+    """Start and end of the joined windows whose entropy reaches ``least``, in a string of CANDIDATE."""
+    most = F.floor((math.log2(WIDTH) - least) * WIDTH * _SCALE + 8).cast("long")
+
+    def of(raw: Column, most: Column) -> Column:
+        pieces = F.sequence(F.lit(0), F.floor((F.octet_length(raw) - WIDTH) / PIECE).cast("int"))
+
+        def piece(k: Column) -> Column:
+            part = F.substring(raw, k * PIECE + 1, F.lit(PIECE + WIDTH - 1)).cast("string")
+            return _let(F.transform(_hot_piece(part, most), lambda i: F.struct(
+                (k * PIECE + i).alias("start"), (k * PIECE + i + WIDTH).alias("end"))), _joined)
+
+        return _let(F.flatten(F.transform(pieces, piece)), _joined)
+
+    return _let(candidate.cast("binary"), lambda raw: _let(most, lambda most: of(raw, most)))
 
 
 def entropy_spans(text: Column) -> Column:
     """Joined hot windows of the candidates that are not allow-listed."""
     allowed = "|".join(f"(?:{p})" for p in ALLOWED)
-    found = F.filter(
-        matches(text, CANDIDATE, "entropy"), lambda s: ~F.regexp_like(s["text"], F.lit(f"^(?:{allowed})$")))
+    found = F.filter(matches(text, CANDIDATE), lambda s: ~F.regexp_like(s["text"], F.lit(f"^(?:{allowed})$")))
 
     def windows(s: Column) -> Column:
-        empty = F.array().cast("array<struct<start:long,end:long>>")
-
-        def join(out: Column, i: Column) -> Column:
-            begin = s["start"] + i - 1
-            last = F.element_at(out, -1)
-            longer = F.concat(
-                F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), (begin + WIDTH).alias("end"))))
-            new = F.concat(out, F.array(F.struct(begin.alias("start"), (begin + WIDTH).alias("end"))))
-            return F.when((F.size(out) > 0) & (begin <= last["end"]), longer).otherwise(new)
-
-        spans = F.aggregate(hot_windows(s["text"], needed(s["text"])), empty, join)
-        return F.transform(spans, lambda w: F.struct(
-            F.lit("entropy").alias("kind"), w["start"].alias("start"), w["end"].alias("end"),
-            F.lit("").alias("text")))
+        return F.transform(hot_spans(s["text"], needed(s["text"])), lambda w: _span(
+            "entropy", s["start"] + w["start"], s["start"] + w["end"], s["at"] + w["start"], s["at"] + w["end"]))
 
     hot = F.flatten(F.transform(found, windows))
-    digits = r"[A-Za-z+/_-]*[0-9]"
-    hint = F.regexp_like(text, F.lit(CANDIDATE)) & F.regexp_like(text, F.lit(digits))
+    # A text without a digit in a run of that length is passed over.
+    hint = F.regexp_like(text, F.lit(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20}"))
     return F.when(hint, hot).otherwise(F.array().cast(_SPAN))
 
 
@@ -179,18 +260,24 @@ def masked(docs: DataFrame, text: str = "text", mark: str = "<secret>") -> DataF
     """
     found = scan(docs, text)
     spans = F.array_sort(F.transform(
-        F.concat(*[p[0] for p in PATTERNS], "entropy"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(s: Column, x: Column) -> Column:
-        new = x["start"] >= s["at"]
-        kept = F.substring(F.col("text"), (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
-        return F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(new, F.concat(s["parts"], F.array(kept, F.lit(mark)))).otherwise(s["parts"]).alias("parts"))
-
-    clean = F.aggregate("spans", start, step, lambda s: F.concat(
-        F.array_join(s["parts"], ""), F.substring(F.col("text"), (s["at"] + 1).cast("int"), F.char_length("text"))))
+        F.concat(*[p[0] for p in PATTERNS], "entropy"), lambda s: F.struct(s["at"].alias("at"), s["to"].alias("to"))))
+
+    def cleaned(spans: Column, raw: Column) -> Column:
+        def part(begin: Column, end: Column) -> Column:
+            return F.substring(raw, (begin + 1).cast("int"), (end - begin).cast("int")).cast("string")
+
+        def put(before: Column) -> Column:
+            # A span that begins behind the end of all before it is masked apart from them.
+            heads = F.filter(F.transform(spans, lambda s, i: F.struct(s["at"].alias("at"), F.get(before, i).alias("after"))),
+                             lambda h: h["at"] >= h["after"])
+            end = F.greatest(F.get(before, F.size(before) - 1), F.get(spans, F.size(spans) - 1)["to"])
+            parts = F.transform(heads, lambda h: F.concat(part(h["after"], h["at"]), F.lit(mark)))
+            return F.concat(F.array_join(parts, ""), part(end, F.octet_length(raw).cast("long")))
+
+        ends = F.transform(spans, lambda s: s["to"])
+        return _let(ends, lambda ends: _let(_running(ends, F.lit(0).cast("long"), lambda a, b: F.greatest(a, b)), put))
+
+    clean = _let(F.col("text").cast("binary"), lambda raw: _let(F.col("spans"), lambda spans: cleaned(spans, raw)))
     found = found.select("row", "text", spans.alias("spans"))
     value = F.when(F.size("spans") > 0, clean).otherwise(F.col(f"row.{text}"))
     out = found.select("row", value.alias("value"), (F.size("spans") > 0).alias("changed"))
