@@ -27,6 +27,7 @@ import hashlib
 import heapq
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,19 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - _starts(sizes)[:-1], sizes)
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All values one after the other, and the number in each list."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of an almost sorted array, and how often each is there."""
+    keys = np.sort(keys, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(first, append=len(keys))
+
+
 class Units:
     """Pieces of text that tokens of neither side cross, each with its tokens, groups and links.
 
@@ -95,6 +109,9 @@ class Units:
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
             raise ValueError("a vocabulary has more than 65,536 ids")
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes))
+        # Ids as they are written, with what may follow.
+        ids = list(map(str, range(max(len(self.a_bytes), len(self.b_bytes)))))
+        self.texts = np.array([[i + after for i in ids] for after in ",|;\n"], object)
         # Words can be told apart only if no B piece goes on behind a space or line break.
         self.splits = not any(b" " in t.lstrip(b" ") or (b"\n" in t and len(t) > 1) for t in self.b_bytes)
         self.clear()
@@ -136,19 +153,17 @@ class Units:
 
     def find(self, texts: list[list[str]]) -> list[np.ndarray]:
         """The places of each text's units, which are made where they are new."""
-        new, known = {}, self.places
-        for units in texts:
-            for u in units:
-                if u not in known and u not in new:
-                    new[u] = len(self.strings) + len(new)
+        known = self.places
+        new = list(dict.fromkeys(u for units in texts for u in units if u not in known))
         if new:
-            self._make(list(new))
-            for u, place in new.items():
-                if len(u) <= _LONG:
-                    known[u] = place
-                else:
-                    self.extra += 4 * len(u)
-        return [np.array([known[u] if u in known else new[u] for u in units], np.int64) for units in texts]
+            known.update(zip(new, range(len(self.strings), len(self.strings) + len(new))))
+            self._make(new)
+        out = [np.fromiter(map(known.__getitem__, units), np.int64, len(units)) for units in texts]
+        for u in new:
+            if len(u) > _LONG:
+                self.extra += 4 * len(u)
+                del known[u]
+        return out
 
     def _encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
@@ -159,26 +174,36 @@ class Units:
     def _make(self, units: list[str]) -> None:
         a, b = self._encode(units)
         raw = [u.encode() for u in units]
-        good = [b"".join(map(self.a_bytes.__getitem__, x)) == r == b"".join(map(self.b_bytes.__getitem__, y))
-                for x, y, r in zip(a, b, raw)]
-        n = np.array(good)
+        good = self._whole(a, b, raw)
         counts = np.zeros((len(units), 5), np.int64)
         strings: list[str | None] = [None] * len(units)
-        if n.any():
-            a, b = [x for x, g in zip(a, good) if g], [y for y, g in zip(b, good) if g]
-            made, texts = self._links(a, b, np.array([len(r) for r, g in zip(raw, good) if g]))
-            counts[n] = made
-            for place, text in zip(np.flatnonzero(n).tolist(), texts):
+        if good.any():
+            if not good.all():
+                keep = np.flatnonzero(good).tolist()
+                a, b, raw = [a[i] for i in keep], [b[i] for i in keep], [raw[i] for i in keep]
+            made, texts = self._links(a, b, np.array([len(r) for r in raw]))
+            counts[good] = made
+            for place, text in zip(np.flatnonzero(good).tolist(), texts):
                 strings[place] = text
         self.counts.append(counts)
         self.strings += strings
 
+    def _whole(self, a: list[list[int]], b: list[list[int]], raw: list[bytes]) -> np.ndarray:
+        """Which units both sides tokenize to their own bytes."""
+        known, sizes = b"".join(raw), np.array([len(r) for r in raw])
+        for ids, own, kinds in ((a, self.a_bytes, self.a_sizes), (b, self.b_bytes, self.b_sizes)):
+            flat, n = _flat(ids)
+            ends = np.concatenate([[0], np.cumsum(kinds[flat])])[np.cumsum(n)]
+            if not np.array_equal(ends, np.cumsum(sizes)) or b"".join(map(own.__getitem__, flat.tolist())) != known:
+                return np.array([b"".join(map(self.a_bytes.__getitem__, x)) == r == b"".join(map(self.b_bytes.__getitem__, y))
+                                 for x, y, r in zip(a, b, raw)])
+        return np.ones(len(raw), bool)
+
     def _links(self, a: list[list[int]], b: list[list[int]], sizes: np.ndarray) -> tuple[np.ndarray, list[str]]:
         """Counts and written groups of units that both sides tokenize to their own bytes; pairs are added."""
-        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-        ids_a, ids_b = np.concatenate([np.array(x, np.int64) for x in a]), np.concatenate([np.array(x, np.int64) for x in b])
+        (ids_a, n_a), (ids_b, n_b) = _flat(a), _flat(b)
         ends_a, ends_b = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b])
-        common = np.intersect1d(ends_a, ends_b)
+        common = ends_a[ends_b[np.searchsorted(ends_b, ends_a)] == ends_a]  # both rise to the same end
         in_a, in_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
         last = np.searchsorted(common, np.cumsum(sizes))  # the last group of each unit
         n_groups = np.diff(last, prepend=-1)
@@ -186,8 +211,7 @@ class Units:
         links = np.bincount(in_a, minlength=len(common)) * np.bincount(in_b, minlength=len(common))
 
         # Distinct ids of a group and how often each occurs there, so that large groups stay small.
-        own_a, times_a = np.unique(in_a << 16 | ids_a, return_counts=True)
-        own_b, times_b = np.unique(in_b << 16 | ids_b, return_counts=True)
+        (own_a, times_a), (own_b, times_b) = _distinct(in_a << 16 | ids_a), _distinct(in_b << 16 | ids_b)
         kinds_b = np.bincount(own_b >> 16, minlength=len(common))
         partners = kinds_b[own_a >> 16]
         other = _ranges(_starts(kinds_b)[own_a >> 16], partners)
@@ -201,25 +225,19 @@ class Units:
             return out
 
         counts = np.stack([n_a, n_b, n_groups, per_unit(unit, links), per_unit(unit[own_a >> 16], partners)], 1)
-        return counts, _written_groups(a, b, in_a, in_b, n_groups)
-
+        ends = np.zeros(len(common), bool)
+        ends[last] = True
+        return counts, self._written(ids_a, ids_b, in_a, in_b, ends)
 
-def _written_groups(a, b, in_a: np.ndarray, in_b: np.ndarray, n_groups: np.ndarray) -> list[str]:
-    """a1,a2|b1;a3|b2,b3 of each unit."""
-    out, at_a, at_b, base = [], 0, 0, 0
-    in_a, in_b = in_a.tolist(), in_b.tolist()
-    for x, y, n in zip(a, b, n_groups.tolist()):
-        if n == 1:
-            out.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-        else:
-            left, right = [[] for _ in range(n)], [[] for _ in range(n)]
-            for i, g in zip(x, in_a[at_a : at_a + len(x)]):
-                left[g - base].append(str(i))
-            for i, g in zip(y, in_b[at_b : at_b + len(y)]):
-                right[g - base].append(str(i))
-            out.append(";".join([f"{','.join(p)}|{','.join(q)}" for p, q in zip(left, right)]))
-        at_a, at_b, base = at_a + len(x), at_b + len(y), base + n
-    return out
+    def _written(self, ids_a, ids_b, in_a: np.ndarray, in_b: np.ndarray, ends: np.ndarray) -> list[str]:
+        """a1,a2|b1;a3|b2,b3 of each unit; ``ends`` are the groups that end one."""
+        of_a, of_b = np.bincount(in_a, minlength=len(ends)), np.bincount(in_b, minlength=len(ends))
+        last_a, last_b = (np.append(g[1:] != g[:-1], True) for g in (in_a, in_b))
+        parts = np.empty(len(ids_a) + len(ids_b), object)
+        parts[np.arange(len(ids_a)) + _starts(of_b)[in_a]] = self.texts[np.where(last_a, 1, 0), ids_a]
+        after_b = np.where(last_b, np.where(ends[in_b], 3, 2), 0)
+        parts[np.arange(len(ids_b)) + _starts(of_a)[in_b + 1]] = self.texts[after_b, ids_b]
+        return "".join(parts.tolist()).split("\n")[:-1]
 
 
 def _pack(*arrays: np.ndarray) -> list[bytes]:
@@ -390,7 +408,9 @@ def merge_runs(frames: DataFrame, store: FileStore) -> DataFrame:
         groups = -(-many // FAN_IN)
         # Groups of about FAN_IN files each; the last round has one group a radix.
         group = F.pmod(F.xxhash64("file"), F.lit(max(1, 2 * groups if groups > 1 else 1)))
-        merged = frames.withColumn("group", group).groupBy("radix", "group").applyInArrow(_merge_task(store), _FRAME_DDL)
+        # So many tasks, however few rows: a row stands for a frame.
+        dealt = frames.withColumn("group", group).repartition(RADIX, "radix", "group")
+        merged = dealt.groupBy("radix", "group").applyInArrow(_merge_task(store), _FRAME_DDL)
         frames = written(merged, "merged")
         if groups <= 1:
             return frames
