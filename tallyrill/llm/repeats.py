@@ -41,6 +41,8 @@ LENGTH = 400
 GRAM = 96
 #: Places of one anchor beyond which its windows are counted one by one.
 HOT = 10_000
+#: Places of one anchor that meet its segments' verdicts in one part of a join.
+SPREAD = 2_000
 #: Bytes of texts cut at once; longer texts are cut in slices of so many.
 SLICE = 1 << 19
 #: Bytes of segments laid out at once.
@@ -349,7 +351,8 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = LENGTH,
     places = written(named.mapInArrow(_cut_task(length, gram), _PLACES_DDL), "places")
     anchors = places.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("h1").alias("low"), F.max("h1").alias("high"))
-    anchors = anchors.where("n > 1").select("anchor", F.expr("low <> high").alias("mixed"), (F.col("n") > hot).alias("hot"))
+    anchors = anchors.where("n > 1").select("anchor", F.expr("low <> high").alias("mixed"), (F.col("n") > hot).alias("hot"),
+        F.ceil(F.col("n") / SPREAD).cast("int").alias("parts"))
     anchors = written(anchors, "anchors")
     shared = written(places.join(anchors, "anchor"), "shared")
 
@@ -366,17 +369,19 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = LENGTH,
         verdicts = verdicts.unionByName(_hot_verdicts(fetched.where("hot"), length))
     verdicts = written(verdicts, "verdicts")
 
-    # A segment that two places have repeats as a whole.
+    # A segment that two places have repeats as a whole. Segments that many places have come once for each part of them.
     keys = ["anchor", "h1", "h2"]
-    copied = shared.where("mixed").groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys)
+    known = shared.where("mixed").groupBy(*keys).agg(F.count("*").alias("n"), F.max("parts").alias("parts"))
+    known = known.join(verdicts, keys, "left").where("n > 1 or `from` is not null")
+    known = known.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     own = shared.dropDuplicates(["k1", "k2", "start"])
     whole = F.array(F.struct(F.col("start").alias("from"), (F.col("start") + F.col("windows") + (length - 1)).alias("to")))
-    parts = F.transform(F.arrays_zip("from", "to"), lambda s: F.struct(
+    some = F.transform(F.arrays_zip("from", "to"), lambda s: F.struct(
         (F.col("start") + s["from"]).alias("from"), (F.col("start") + s["to"] + (length - 1)).alias("to")))
     alike = own.where("not mixed").select("k1", "k2", whole.alias("spans"))
-    twice = own.where("mixed").join(copied, keys, "left_semi").select("k1", "k2", whole.alias("spans"))
-    partly = own.where("mixed").join(verdicts, keys).select("k1", "k2", parts.alias("spans"))
-    spans = alike.unionByName(twice).unionByName(partly)
+    spread = own.where("mixed").withColumn("part", F.pmod(F.xxhash64("k1", "k2"), F.col("parts")).cast("int"))
+    partly = spread.join(known, [*keys, "part"]).select("k1", "k2", F.when(F.col("n") > 1, whole).otherwise(some).alias("spans"))
+    spans = alike.unionByName(partly)
     return spans.groupBy("k1", "k2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 

@@ -59,7 +59,7 @@ def test_texts_longer_than_a_slice(docs, texts, monkeypatch):
     assert sorted(windows) == list(range(len(raw) - 23))
 
 
-def test_a_passage_in_a_third_of_all_texts(docs):
+def test_a_passage_in_a_third_of_all_texts(docs, monkeypatch):
     pick = random.Random(2)
 
     def noise(n):
@@ -69,6 +69,8 @@ def test_a_passage_in_a_third_of_all_texts(docs):
     texts = [noise(60) + (passage if i % 3 == 0 else "") + noise(40) for i in range(90)]
     check(docs, texts, hot=10)
     check(docs, texts)
+    monkeypatch.setattr(R, "SPREAD", 4)
+    check(docs, texts)
 
 
 def test_columns_like_brute_force():
