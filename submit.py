@@ -14,7 +14,7 @@ import argparse
 from tallyrill.models import MODELS, SERVING
 from tallyrill.plans.batch import run_batch
 from tallyrill.plans.layout import Job
-from tallyrill.plans.speed import drain, run_speed
+from tallyrill.plans.speed import drain, renew_full, run_speed, tend
 from tallyrill.plans.upkeep import run_upkeep
 from tallyrill.plans.view import follow
 from tallyrill.session import build_session
@@ -78,8 +78,9 @@ def main() -> None:
         queries = run_speed(spark, job, args.by_table)
         if args.once:
             drain(queries)
+            renew_full(spark, job, queries)
         else:
-            spark.streams.awaitAnyTermination()
+            tend(spark, job, queries)
     elif args.job == "batch":
         print("run", run_batch(spark, job, args.cumulative))
     elif args.job == "upkeep":

@@ -57,9 +57,10 @@ def run_batch(spark: SparkSession, job: Job, cumulative: bool = False) -> int |
 
     Two narrow scans: offsets and times shrink to one row per broker partition, which the
     driver holds; keys are counted and ranked. The run claims its id before it writes, and its
-    entry in the offset log commits it. A run that finds the id claimed fails and changes
-    nothing; a crashed run's claim is taken over once it is ``job.stale_claim`` seconds old,
-    and its version is written again.
+    entry in the offset log commits it and names its part of the ranking. A run that finds the
+    id claimed fails and changes nothing; a crashed run's claim is taken over once it is
+    ``job.stale_claim`` seconds old. Should the crashed one go on after all, its entry finds the
+    place taken, and its part of the ranking has no name.
     """
     run_id = offsets.last_run(spark, job.offsets) + 1
     found = updates(spark, job, cumulative)
@@ -69,17 +70,19 @@ def run_batch(spark: SparkSession, job: Job, cumulative: bool = False) -> int |
 
     claim = offsets.claim(spark, job.offsets, run_id, job.stale_claim)
     try:
+        named = job.serving.written(spark, TRENDING, offsets.parts(spark, job.offsets), run_id - 1)
         latest = max((r["latest"] for r in reached if r["latest"] is not None), default=None)
         if latest is not None:
             kinds = tuple(job.kinds.values())
             counts = kind_counts(found, job.key, kinds)
             ranking = rank(counts, F.timestamp_micros(F.lit(latest)), job.key, kinds, job.top)
-            job.serving.upsert(ranking, TRENDING, run_id)
+            part = job.serving.upsert(ranking, TRENDING, run_id, replace=False)
+            named = [*named, part] if part else named
 
         entry = [(r["source"], r["partition"], r["offset_batch"], r["offset"]) for r in reached]
         schema = OFFSET_LOG_SCHEMA.removesuffix(", run_id bigint")
         claim.require(spark)
-        offsets.append(spark, job.offsets, spark.createDataFrame(entry, schema), run_id)
+        offsets.append(spark, job.offsets, spark.createDataFrame(entry, schema), run_id, named)
     finally:
         claim.release(spark)
     return run_id
@@ -92,7 +95,8 @@ def ranking_table(spark: SparkSession, job: Job) -> DataFrame:
     """
     if job.serving.format:
         return job.serving.latest(spark, TRENDING)
-    return job.serving.latest(spark, TRENDING, upto=offsets.last_run(spark, job.offsets))
+    last, named = offsets.last_run(spark, job.offsets), offsets.parts(spark, job.offsets)
+    return job.serving.latest(spark, TRENDING, upto=last, only=named)
 
 
 def current_ranking(spark: SparkSession, job: Job) -> DataFrame:
@@ -100,7 +104,7 @@ def current_ranking(spark: SparkSession, job: Job) -> DataFrame:
     if job.serving.format:
         rows = job.serving.latest(spark, TRENDING)
         return rows.where(F.col("last_update") == rows.agg(F.max("last_update")).scalar())
-    last = offsets.last_run(spark, job.offsets)
-    rows = job.serving.versions(spark, TRENDING).where(F.col("version") <= last)
+    last, named = offsets.last_run(spark, job.offsets), offsets.parts(spark, job.offsets)
+    rows = job.serving.versions(spark, TRENDING, named).where(F.col("version") <= last)
     newest = rows.agg(F.max("version")).scalar()
     return rows.where(F.col("version") == newest).select(TRENDING.columns)

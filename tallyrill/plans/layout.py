@@ -21,7 +21,8 @@ class Job:
     how many offsets share a landing directory; choose it so that a directory holds about
     a gigabyte or more, since every directory and file costs the driver listing time.
     ``land_trigger`` (by default five minutes, or ``trigger`` where that runs once) sets how much
-    one landed file can hold. Without a ``generation`` a new checkpoint takes the next one.
+    one landed file can hold. After ``root_batches`` micro-batches landing goes on in a new root,
+    which bounds what Spark lists. Without a ``generation`` a new checkpoint takes the next one.
     A batch run's claim is a crashed run's after ``stale_claim`` seconds.
     ``mode='FAILFAST'`` stops landing at a record that does not fit its model.
     """
@@ -35,6 +36,7 @@ class Job:
     generation: int | None = None
     trigger: dict[str, object] | None = None
     land_trigger: dict[str, object] | None = None
+    root_batches: int = 1000
     mode: str = "PERMISSIVE"
     top: int = TOP
     stale_claim: float = STALE

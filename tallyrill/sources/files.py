@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths that match a pattern, in one call; none if there are none."""
+    fs, jpath = _open(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(jpath) or [])
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path``; none if it does not exist."""
     fs, jpath = _open(spark, path)
@@ -46,7 +52,7 @@ def read(spark: SparkSession, path: str) -> str | None:
         return None
     opened = fs.open(jpath)
     try:
-        return bytes(opened.readNBytes(1 << 16)).decode()
+        return bytes(opened.readAllBytes()).decode()
     finally:
         opened.close()
 
@@ -63,6 +69,23 @@ def move(spark: SparkSession, path: str, to: str) -> bool:
     return fs.exists(jpath) and fs.rename(jpath, _open(spark, to)[1])
 
 
+def move_new(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename to a name that nothing has, atomically where the file system can; False if something has it."""
+    jvm = spark._jvm
+    fs, jpath = _open(spark, path)
+    target = _open(spark, to)[1]
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(jpath, target, options)
+    except Exception:
+        if fs.exists(target):
+            return False
+        raise
+    return True
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, jpath = _open(spark, path)
     fs.delete(jpath, True)

@@ -1,11 +1,14 @@
 """Landed tables: Parquet below ``root/<source>/_partition=P/_offset_batch=N``.
 
 The files hold each record's struct once. Reading adds the flattened fields as
-projections, so a query still scans only the fields it names.
+projections, so a query still scans only the fields it names. A table that has landed for
+long has several roots (see ``roots``), which are read as one.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from tallyrill.functions.codec import malformed
 from tallyrill.models import EVENT_TIME, UNREADABLE, TopicModel, stored_schema
 from tallyrill.sources import files
 from tallyrill.sources.offsets import Position
+from tallyrill.sources.roots import Root, roots
 
 DIRECTORIES = ["_partition", "_offset_batch"]
 
@@ -33,13 +37,24 @@ def write_landed(decoded: DataFrame, model: TopicModel, root: str) -> None:
 
 
 def read_stored(spark: SparkSession, model: TopicModel, root: str) -> DataFrame:
-    """Every landed record, malformed ones included; empty before the first landing.
+    """Every landed record, malformed ones included; empty before the first landing."""
+    return _read_roots(spark, model, roots(spark, root))
+
+
+def _read_roots(spark: SparkSession, model: TopicModel, some: list[Root]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [read_root(spark, model, root) for root in some])
+
+
+def read_root(spark: SparkSession, model: TopicModel, root: Root) -> DataFrame:
+    """The records of one root.
 
     Reading the root honours the file sink's commit log and still prunes directories.
     """
-    if not files.exists(spark, root):
+    if not files.exists(spark, root.path):
         return empty_landed(spark, model)
-    return _flatten(spark.read.schema(stored_schema(model)).parquet(root), model)
+    rows = _flatten(spark.read.schema(stored_schema(model)).parquet(root.path), model)
+    held = root.holds()
+    return rows if held is None else rows.where(held)
 
 
 def _flatten(stored: DataFrame, model: TopicModel) -> DataFrame:
@@ -85,5 +100,11 @@ def since(positions: dict[int, Position]) -> Column:
 def read_since(
     spark: SparkSession, model: TopicModel, root: str, positions: dict[int, Position]
 ) -> DataFrame:
-    """Landed records not yet processed, malformed ones included: they have offsets too."""
-    return read_stored(spark, model, root).where(since(positions))
+    """Landed records not yet processed, malformed ones included: they have offsets too.
+
+    Closed roots that are processed to their end are not listed, so the time this takes depends
+    on the open root and on what is new, not on all that ever landed.
+    """
+    known = {p: x.offset for p, x in positions.items()}
+    left = [r for r in roots(spark, root) if not r.done(known)]
+    return _read_roots(spark, model, left).where(since(positions))

@@ -1,9 +1,11 @@
 """Offset log: how far each source and partition has been processed, one entry per run.
 
 A run is committed by its log entry and by nothing else. Every entry carries the position
-of all partitions known so far, so only the last one is ever read. A run first claims its id
-with a file that only one can create; who finds it taken stops. The claim of a crashed run
-may be taken over once it is old enough.
+of all partitions known so far, so only the last one is ever read. An entry is written aside
+and takes its name by a rename that replaces nothing, so of two runs with one id one commits.
+It also names the parts of the ranking that count, so what a run that was overtaken writes is
+never read. A run first claims its id with a file that only one can create; who finds it taken
+stops. The claim of a crashed run may be taken over once it is old enough.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ class RunClaimed(RuntimeError):
     """Another run works under this run id."""
 
 
+# Holds the names of the ranking's parts, in an entry.
+_PARTS = "_parts"
 # Seconds after which a claim counts as a crashed run's. Longer than any run may take.
 STALE = 6 * 3600.0
 
@@ -38,11 +42,8 @@ class Position:
 
 def last_run(spark: SparkSession, path: str) -> int:
     """Id of the last committed run, 0 before the first."""
-    names = [n for n in files.children(spark, path) if n.startswith("run_id=")]
-    for run_id in sorted((int(n.split("=")[1]) for n in names), reverse=True):
-        if files.exists(spark, f"{path}/run_id={run_id}/_SUCCESS"):
-            return run_id
-    return 0
+    entries = [p.split("/")[-2] for p in files.matching(spark, f"{path}/run_id=*/_SUCCESS")]
+    return max((int(e.split("=")[1]) for e in entries), default=0)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -125,21 +126,47 @@ def claim(spark: SparkSession, path: str, run_id: int, stale: float = STALE) ->
     return taken
 
 
-def append(spark: SparkSession, path: str, current: DataFrame, run_id: int) -> None:
-    """Commit a run: the positions in ``current``, and those of all other partitions as before."""
+def append(
+    spark: SparkSession, path: str, current: DataFrame, run_id: int, parts: list[str] | None = None
+) -> None:
+    """Commit a run: the positions in ``current``, and those of all other partitions as before.
+
+    ``parts`` are the parts of the ranking that count from now on; without it, all do.
+    """
     require_open(spark, path, run_id)
     known = read_log(spark, path).drop("run_id")
+    aside, entry = f"{path}/_attempt-{uuid.uuid4().hex}", f"{path}/run_id={run_id}"
     # One row per broker partition: a single small file.
-    latest(known.unionByName(current)).coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/run_id={run_id}"
-    )
+    latest(known.unionByName(current)).coalesce(1).write.parquet(aside)
+    if parts is not None:
+        files.create(spark, f"{aside}/{_PARTS}", "\n".join(parts))
+    if not files.move_new(spark, aside, entry):
+        _set_aside(spark, path, entry)
+        if not files.move_new(spark, aside, entry):
+            files.remove(spark, aside)
+            raise RunCommitted(f"run {run_id} is already in {path}")
+
+
+def _set_aside(spark: SparkSession, path: str, entry: str) -> None:
+    """Make room where an entry was begun in its own place and never finished."""
+    stray = f"{path}/_stale-{uuid.uuid4().hex}"
+    if not files.exists(spark, f"{entry}/_SUCCESS") and files.move(spark, entry, stray):
+        if files.exists(spark, f"{stray}/_SUCCESS"):  # finished in between
+            files.move_new(spark, stray, entry)
+
+
+def parts(spark: SparkSession, path: str) -> list[str] | None:
+    """The ranking's parts that the last committed run names; None if it names none."""
+    text = files.read(spark, f"{path}/run_id={last_run(spark, path)}/{_PARTS}")
+    return None if text is None else text.split()
 
 
 def prune(spark: SparkSession, path: str, keep: int = 10) -> None:
-    """Drop all but the last ``keep`` committed entries, and claims that were taken over."""
+    """Drop all but the last ``keep`` committed entries, claims that were taken over and entries
+    that never took their place. Run while no batch run is under way."""
     last = last_run(spark, path)
     for name in files.children(spark, path):
-        if name.startswith("_stale-"):
+        if name.startswith(("_stale-", "_attempt-")):
             files.remove(spark, f"{path}/{name}")
         if name.startswith("run_id=") and int(name.split("=")[1]) <= last - keep:
             files.remove(spark, f"{path}/{name}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyrill.functions.codec import encode, topic_rows
@@ -28,12 +28,23 @@ class Topics:
     def path(self, model: TopicModel) -> str:
         return f"{self.root}/{model.topic}"
 
-    def read_stream(self, spark: SparkSession, model: TopicModel) -> DataFrame:
-        """The topic's raw records; from the latest offset unless the options say otherwise."""
+    def read_stream(
+        self, spark: SparkSession, model: TopicModel, after: Column | None = None,
+        source_offsets: str | None = None,
+    ) -> DataFrame:
+        """The topic's raw records; from the latest offset unless the options say otherwise.
+
+        A new checkpoint that goes on where another one ended begins at ``source_offsets``, as a
+        broker's stream reports them, and takes the rows that meet ``after``.
+        """
         reader = spark.readStream.format(self.format).options(**self.options)
         if self.format == "kafka":
-            return reader.option("subscribe", model.topic).load()
-        return reader.schema(TOPIC_SCHEMA).load(self.path(model))
+            if source_offsets:
+                reader = reader.option("startingOffsets", source_offsets)
+            rows = reader.option("subscribe", model.topic).load()
+        else:
+            rows = reader.schema(TOPIC_SCHEMA).load(self.path(model))
+        return rows if after is None else rows.where(after)
 
     def publish(
         self, df: DataFrame, model: TopicModel, checkpoint: str | None = None

@@ -62,14 +62,16 @@ def upsert_stream(
 
     ``split`` gives the rows of each of ``tables`` by its name. A checkpoint belongs to a
     generation, above all that are stored when it is made: by default the last one with a
-    checkpoint goes on, and where there is none the next one begins. One file holds about
-    ``rows_per_file`` rows.
+    checkpoint goes on, and where there is none the next one begins. A checkpoint below the
+    newest generation stored is refused, and a query that runs stops at its next batch once there
+    is a newer one: its rows would never be shown. One file holds about ``rows_per_file`` rows.
     """
-    spark = updates.sparkSession
-    generation = _generation(spark, serving, [SERVING[t] for t in tables], checkpoint, generation)
+    spark, served = updates.sparkSession, [SERVING[t] for t in tables]
+    generation = _generation(spark, serving, served, checkpoint, generation)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         version = stream_version(generation, batch_id)
+        _require_newest(spark, serving, served, generation)
         batch.persist()
         try:
             # The cached rows fill as many partitions as the state; a batch needs few files.
@@ -95,13 +97,23 @@ def _generation(
     names = [n for n in files.children(spark, checkpoint) if n.startswith("generation=")]
     begun = {int(n.split("=")[1]) for n in names}
     if wanted in begun or wanted is None and begun:
-        return max(begun) if wanted is None else wanted
+        chosen = max(begun) if wanted is None else wanted
+        _require_newest(spark, serving, tables, chosen)
+        return chosen
     following = serving.next_generation(spark, tables)
     if wanted is not None and wanted < following:
         raise ValueError(f"generation {wanted} has no checkpoint, and {following - 1} is stored already")
     return following if wanted is None else wanted
 
 
+def _require_newest(
+    spark: SparkSession, serving: Serving, tables: list[ServingTable], generation: int
+) -> None:
+    newest = serving.next_generation(spark, tables) - 1
+    if generation < newest:
+        raise ValueError(f"generation {newest} is stored already, so {generation} cannot go on")
+
+
 def to_console(updates: DataFrame, trigger: Trigger | None = None) -> StreamingQuery:
     """Print updates, for debugging."""
     writer = updates.writeStream.format("console").outputMode("update")

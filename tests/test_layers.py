@@ -523,3 +523,70 @@ def test_topics_can_be_read_in_several_batches(spark, root):
     versions = bounded.serving.versions(spark, WINDOWED_SUBMISSIONS)
     assert versions.select("version").distinct().count() == 3
     assert _table(spark, bounded, WINDOWED_SUBMISSIONS) == {5: 3}
+
+
+# Fences
+
+
+def test_an_overtaken_run_cannot_replace_a_committed_ranking(spark, root, monkeypatch):
+    job, streams = file_job(root), job_session(spark)
+    _land(spark, job, streams, _sub(("a", 1)))
+    inner = batch.rank
+
+    def stalled(*args):
+        ranking = inner(*args)
+        monkeypatch.setattr(batch, "rank", inner)
+        _land(spark, job, streams, _sub(("b", 2)), first_offset=1)
+        assert batch.run_batch(streams, file_job(root, stale_claim=-1)) == 1
+        return ranking
+
+    monkeypatch.setattr(batch, "rank", stalled)
+    with pytest.raises(offsets.RunCommitted):
+        batch.run_batch(streams, job)
+    both = [("a", 1, 0, 1), ("b", 1, 0, 1)]
+    assert _ranking(batch.current_ranking(spark, job)) == _ranking(batch.ranking_table(spark, job)) == both
+    assert len(job.serving.parts(spark, TRENDING)) == 2
+    # Upkeep drops what the overtaken run wrote, and later runs leave it out too.
+    _land(spark, job, streams, _sub(("c", 3)), first_offset=2)
+    assert batch.run_batch(streams, job) == 2
+    upkeep.run_upkeep(spark, job)
+    assert len(job.serving.parts(spark, TRENDING)) == 2
+    assert _ranking(batch.ranking_table(spark, job)) == [*both, ("c", 1, 0, 1)]
+
+
+def test_only_one_of_two_entries_with_one_id_commits(spark, root, monkeypatch):
+    log = f"{root}/log"
+    schema = "source string, partition int, offset_batch bigint, offset bigint"
+    monkeypatch.setattr(offsets, "require_open", lambda *args: None)
+    offsets.append(spark, log, spark.createDataFrame([("a", 0, 0, 5)], schema), 1, ["1-x"])
+    with pytest.raises(offsets.RunCommitted):
+        offsets.append(spark, log, spark.createDataFrame([("a", 0, 0, 9)], schema), 1, ["1-y"])
+    assert offsets.parts(spark, log) == ["1-x"]
+    assert offsets.positions(offsets.read_log(spark, log)) == {"a": {0: offsets.Position(0, 5)}}
+    assert [n for n in files.children(spark, log) if n.startswith("_")] == []
+
+
+def test_a_checkpoint_below_the_newest_generation_is_refused(spark, root):
+    job, streams = file_job(root), job_session(spark)
+    feed(spark, job, _sub(("a", 1), ("a", 2)))
+    run(speed.start_stats(streams, job))
+    run(speed.start_stats(streams, file_job(root, generation=1)))
+    feed(spark, job, _sub(("a", 3), ("a", 4)), first_offset=2)
+    with pytest.raises(ValueError, match="generation 1 is stored"):
+        speed.start_stats(streams, file_job(root, generation=0))
+    run(speed.start_stats(streams, job))
+    assert _table(spark, job, WINDOWED_SUBMISSIONS) == {5: 4}
+
+
+def test_a_running_query_stops_once_there_is_a_newer_generation(spark, root):
+    job, streams = file_job(root, trigger={"processingTime": "100 milliseconds"}), job_session(spark)
+    feed(spark, job, _sub(("a", 1)))
+    [old] = speed.start_stats(streams, job)
+    old.processAllAvailable()
+    elsewhere = file_job(root, store=job.serving, topics=job.topics)
+    object.__setattr__(elsewhere, "root", f"{root}/other")
+    run(speed.start_stats(job_session(spark), elsewhere))
+    feed(spark, job, _sub(("a", 2)), first_offset=1)
+    with pytest.raises(StreamingQueryException, match="generation 1 is stored"):
+        old.processAllAvailable()
+    assert _table(spark, job, WINDOWED_SUBMISSIONS) == {5: 1}

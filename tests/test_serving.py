@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from helpers import at, seconds_of
@@ -195,3 +196,28 @@ def test_latest_against_python(spark, tmp_path_factory, writes):
     assert _now(spark, store) == expected
 
 
+
+
+def test_a_thousand_parts_are_found_in_one_call(spark, store, monkeypatch):
+    _put(spark, store, 1, {5: 1})
+    path = store.path(WINDOWED_COMMENTS)
+    for version in range(2, 1002):
+        part = Path(path) / f"part={version}-x"
+        part.mkdir()
+        if version % 2:
+            (part / "_SUCCESS").touch()
+    calls, opened = [], files._open
+    monkeypatch.setattr(files, "_open", lambda s, p: (calls.append(p), opened(s, p))[1])
+    assert len(store.parts(spark, WINDOWED_COMMENTS)) == 501
+    assert len(calls) == 1
+
+
+def test_parts_that_are_not_named_are_left_out(spark, store):
+    _put(spark, store, 1, {5: 1})
+    named = store.upsert(_windows(spark, {5: 2}), WINDOWED_COMMENTS, 2, replace=False)
+    other = store.upsert(_windows(spark, {5: 3}), WINDOWED_COMMENTS, 2, replace=False)
+    first = next(p for p in store.parts(spark, WINDOWED_COMMENTS) if p.startswith("1-"))
+    assert seconds_of(store.latest(spark, WINDOWED_COMMENTS, only=[first, named])) == {5: 2}
+    assert seconds_of(store.latest(spark, WINDOWED_COMMENTS, only=[first, other])) == {5: 3}
+    store.compact(spark, WINDOWED_COMMENTS, [first, named])
+    assert sorted(store.parts(spark, WINDOWED_COMMENTS)) == sorted([first, named])
