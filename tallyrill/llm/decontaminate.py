@@ -6,30 +6,32 @@ are searched together: a table over hashes of blocks of two words says how far t
 the patterns whose last block stands at a position are taken from buckets of that block's hash, and
 the bytes of the words confirm each occurrence. Long texts are searched in many lanes side by side.
 
-Spark makes the patterns from the items and drops repeated ones. They are broadcast in blocks of about
-MAX_PATTERNS, each with a pass of its own over the rows; what a block has found is written to the
-shared folder before the next is broadcast, so memory does not grow with the number of patterns.
+Spark makes the patterns from the items and drops repeated ones. Blocks of about MAX_PATTERNS are written
+as tables of numbers to the shared folder, some twenty megabytes each. The rows are passed over once: a task
+searches each batch of texts for one block after the other and holds one block's tables, so memory does
+not grow with the number of patterns and no text is written.
 
 Nulls: a null text has no words and is clean; items with a null text or id give no patterns, nor do
-items without words. Repeated items count once. Repeated rows each get their result. An empty
+items without words. Item ids are whole numbers. Repeated items count once. Repeated rows each get their result. An empty
 benchmark leaves every text clean; empty documents give no rows.
 """
 
 from __future__ import annotations
 
+import io
 import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.types import _parse_datatype_string
 
-from tallyrill.llm.store import written
+from tallyrill.llm.store import FileStore, written
 from tallyrill.llm.words import PUNCTUATION, chunks, grams, grams_at, hashes, spans
-from tallyrill.session import scratch
-from tallyrill.sources import files
 
 WINDOW = 10
 MAX_PATTERNS = 200_000
@@ -45,25 +47,44 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Patterns:
-    """Patterns of one length with their shift table and suffix buckets."""
-
-    def __init__(self, windows: list[tuple[str, ...]], items: list[list[int]]):
-        self.length = len(windows[0])
-        self.block = min(2, self.length)
-        raw = np.frombuffer(" ".join(w for words in windows for w in words).encode(), np.uint8)
+    """Patterns of one length with their shift table and suffix buckets, all as arrays of numbers."""
+
+    ARRAYS = ("suffix", "whole", "shift", "text", "text_at", "items", "items_at")
+
+    def __init__(self, length: int, arrays: dict[str, np.ndarray]):
+        self.length, self.block = length, min(2, length)
+        for name in self.ARRAYS:
+            setattr(self, name, arrays[name])
+        self.mask = np.uint64(len(self.shift) - 1)
+
+    @classmethod
+    def of(cls, windows: list[tuple[str, ...]], items: list[list[int]]) -> Patterns:
+        length = len(windows[0])
+        block = min(2, length)
+        texts = [" ".join(w).encode() for w in windows]
+        raw = np.frombuffer(b" ".join(texts), np.uint8)
         start, end, _ = spans(raw, np.array([0, len(raw)]), PUNCTUATION)
-        self.words = hashes(raw, start, end).reshape(len(windows), self.length)
-        blocks = [grams(row, self.block) for row in self.words]
-        suffix = np.array([b[-1] for b in blocks], np.uint64)
+        words = hashes(raw, start, end)
+        first = np.arange(len(windows)) * length
+        suffix = grams_at(words, first + length - block, block)
         order = np.argsort(suffix, kind="stable")
-        self.suffix, self.words = suffix[order], self.words[order]
-        self.bytes = [[w.encode() for w in windows[i]] for i in order]
-        self.items = [items[i] for i in order]
-        self.mask = np.uint64((1 << max(10, (8 * len(windows) * self.length).bit_length())) - 1)
-        self.shift = np.full(int(self.mask) + 1, self.length - self.block + 1, np.int64)
-        distance = np.arange(self.length - self.block, -1, -1)
-        for b in blocks:
-            np.minimum.at(self.shift, (b & self.mask).astype(np.int64), distance)
+        mask = (1 << max(10, (8 * len(words)).bit_length())) - 1
+        shift = np.full(mask + 1, min(length - block + 1, 255), np.uint8)
+        for back in range(length - block + 1):
+            at = (grams_at(words, first + length - block - back, block) & np.uint64(mask)).astype(np.int64)
+            np.minimum.at(shift, at, np.uint8(min(back, 255)))
+
+        def ends(values: list) -> np.ndarray:
+            return np.cumsum([0, *map(len, values)])
+
+        texts, items = [texts[i] for i in order], [items[i] for i in order]
+        return cls(length, {
+            "suffix": suffix[order], "whole": grams_at(words, first, length)[order], "shift": shift,
+            "text": np.frombuffer(b"".join(texts), np.uint8), "text_at": ends(texts),
+            "items": np.array([i for some in items for i in some], np.int64), "items_at": ends(items)})
+
+    def items_of(self, pattern: int) -> list[int]:
+        return self.items[self.items_at[pattern] : self.items_at[pattern + 1]].tolist()
 
     def search(self, raw, words, start, end, first, last) -> Iterator[tuple[int, int]]:
         """(place of the first word, pattern) of each occurrence; words of text t are first[t] to last[t]."""
@@ -92,15 +113,15 @@ class Patterns:
         count = np.searchsorted(self.suffix, block, "right") - low
         pattern = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         at = np.repeat(at, count) - self.length + 1
-        for j in range(self.length):
-            same = words[at + j] == self.words[pattern, j]
-            at, pattern = at[same], pattern[same]
+        same = grams_at(words, at, self.length) == self.whole[pattern]
+        at, pattern = at[same], pattern[same]
         known: dict[tuple[int, bytes], bool] = {}
         text = raw.tobytes() if len(at) else b""
         for a, p in zip(at.tolist(), pattern.tolist()):
             key = p, text[start[a] : end[a + self.length - 1]]
             if key not in known:
-                known[key] = [text[start[i] : end[i]].lower() for i in range(a, a + self.length)] == self.bytes[p]
+                found = b" ".join([text[start[i] : end[i]].lower() for i in range(a, a + self.length)])
+                known[key] = found == self.text[self.text_at[p] : self.text_at[p + 1]].tobytes()
             if known[key]:
                 yield a, p
 
@@ -110,7 +131,25 @@ def tables(windows: dict[tuple[str, ...], list[int]]) -> list[Patterns]:
     by: dict[int, list[tuple[str, ...]]] = {}
     for w in windows:
         by.setdefault(len(w), []).append(w)
-    return [Patterns(ws, [windows[w] for w in ws]) for _, ws in sorted(by.items())]
+    return [Patterns.of(ws, [windows[w] for w in ws]) for _, ws in sorted(by.items())]
+
+
+def save(made: list[Patterns], store: FileStore) -> str:
+    """The name of a new file with the tables."""
+    name, out = store.create(".patterns")
+    with out:
+        arrays = {f"{p.length}:{a}": getattr(p, a) for p in made for a in p.ARRAYS}
+        held = io.BytesIO()
+        np.savez(held, **arrays)
+        out.write(held.getbuffer())
+    return name
+
+
+def load(store: FileStore, name: str) -> list[Patterns]:
+    with store.read(name) as file:
+        arrays = np.load(io.BytesIO(file.read()))
+        lengths = sorted({int(k.split(":")[0]) for k in arrays.files})
+        return [Patterns(n, {a: arrays[f"{n}:{a}"] for a in Patterns.ARRAYS}) for n in lengths]
 
 
 def _windows(window: int) -> object:
@@ -140,37 +179,53 @@ def pattern_blocks(benchmark: DataFrame, window: int, item_id: str, text: str) -
         yield {tuple(w.split(" ")): i for w, i in zip(part["words"].to_pylist(), part["items"].to_pylist())}
 
 
-def _find(block) -> object:
+#: The tables that this Python worker used last, by file.
+_held: dict[str, list[Patterns]] = {}
+
+
+def _tables_of(store: FileStore, name: str) -> list[Patterns]:
+    if name not in _held:
+        _held.clear()
+        _held[name] = load(store, name)
+    return _held[name]
+
+
+def search(texts: pa.Array, store: FileStore, blocks: list[str]) -> tuple[list[int], list[list], list[list[int]]]:
+    """Number of words, spans of words in any window, and item ids, of each text; one block's tables at a time."""
+    n_words = [0] * len(texts)
+    found: list[list] = [[] for _ in n_words]
+    items: list[set[int]] = [set() for _ in n_words]
+    for name in blocks or [""]:
+        made = _tables_of(store, name) if name else []
+        for base, raw, at in chunks(texts):
+            start, end, place = spans(raw, at, PUNCTUATION)
+            words = hashes(raw, start, end)
+            first, last = place[:-1], place[1:]
+            hit = np.zeros(len(words) + 1, np.int64)
+            of: set[int] = set()
+            for p in made:
+                for a, which in p.search(raw, words, start, end, first, last):
+                    hit[a] += 1
+                    hit[a + p.length] -= 1
+                    doc = int(np.searchsorted(place, a, "right")) - 1
+                    of.add(doc)
+                    items[base + doc].update(p.items_of(which))
+            inside = np.cumsum(hit[:-1]) > 0
+            n_words[base : base + len(first)] = (last - first).tolist()
+            for t in of:
+                found[base + t] = _merged(found[base + t] + _true_runs(inside[first[t] : last[t]]))
+    return n_words, found, [sorted(i) for i in items]
+
+
+def _find(store: FileStore, blocks: list[str]) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = tables(block.value)
         for batch in batches:
-            texts, before = batch.column("text"), batch.column("spans").to_pylist()
-            items_before = batch.column("items").to_pylist()
-            n_words, found, items = [], [], []
-            for base, raw, at in chunks(texts):
-                start, end, place = spans(raw, at, PUNCTUATION)
-                words = hashes(raw, start, end)
-                first, last = place[:-1], place[1:]
-                hit = np.zeros(len(words) + 1, np.int64)
-                of: dict[int, set[int]] = {}
-                for p in made:
-                    for a, which in p.search(raw, words, start, end, first, last):
-                        hit[a] += 1
-                        hit[a + p.length] -= 1
-                        doc = int(np.searchsorted(place, a, "right")) - 1
-                        of.setdefault(doc, set()).update(p.items[which])
-                inside = np.cumsum(hit[:-1]) > 0
-                for t in range(len(at) - 1):
-                    n_words.append(int(last[t] - first[t]))
-                    mine = set(of.get(t, ())) | set(items_before[base + t] or ())
-                    items.append(sorted(mine))
-                    runs = _true_runs(inside[first[t] : last[t]]) if t in of else []
-                    found.append(_merged(runs + [(s["start"], s["end"]) for s in before[base + t] or ()]))
+            n_words, found, items = search(batch.column("text"), store, blocks)
             yield pa.record_batch([
-                batch.column("row"), texts, pa.array(n_words, pa.int64()),
+                batch.column("row"), pa.array(n_words, pa.int64()),
                 pa.array([[{"start": a, "end": b} for a, b in s] for s in found], _SPANS),
                 pa.array(items, pa.list_(pa.int64())),
-            ], names=["row", "text", "n_words", "spans", "items"])
+            ], names=["row", "n_words", "spans", "items"])
 
     return run
 
@@ -199,30 +254,30 @@ def find_windows(
     window: int = WINDOW, item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """For every row: row (a struct of the columns in ``keep``), n_words, n_hit, spans of words, items."""
-    spark = docs.sparkSession
-    out = docs.select(
-        F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].alias("text"), F.lit(0).cast("long").alias("n_words"),
-        F.lit(None).cast(_SPANS_DDL).alias("spans"), F.lit(None).cast("array<bigint>").alias("items"))
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema])
-    sent = last = None
-    for windows in pattern_blocks(benchmark, window, item_id, item_text):
-        if sent:  # the block before this one is searched for now
-            path = f"{scratch(spark)}/found"
-            out.write.parquet(path)
-            out = spark.read.schema(schema).parquet(path)
-            sent.unpersist()
-            if last:
-                files.remove(spark, last)
-            last = path
-        sent = spark.sparkContext.broadcast(windows)
-        out = out.mapInArrow(_find(sent), schema)
+    store, blocks = _written_blocks(docs.sparkSession, benchmark, window, item_id, item_text)
+    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].alias("text"))
+    schema = T.StructType([rows.schema["row"], *_parse_datatype_string(f"n_words long, spans {_SPANS_DDL}, items array<bigint>").fields])
+    out = rows.mapInArrow(_find(store, blocks), schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return out.select("row", "n_words", hit.alias("n_hit"), "spans", "items")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without any benchmark window."""
-    return find_windows(docs, benchmark, keep=docs.columns).where("n_hit = 0").select("row.*")
+def _written_blocks(
+    spark: SparkSession, benchmark: DataFrame, window: int, item_id: str, item_text: str
+) -> tuple[FileStore, list[str]]:
+    store = FileStore.fresh(spark, "patterns")
+    return store, [save(tables(w), store) for w in pattern_blocks(benchmark, window, item_id, item_text) if w]
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without any benchmark window. Only the text goes to Python, only a number comes back."""
+    store, blocks = _written_blocks(docs.sparkSession, benchmark, WINDOW, "item_id", "text")
+
+    @F.pandas_udf("long")
+    def n_spans(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(s) for s in search(pa.array(texts, pa.string(), from_pandas=True), store, blocks)[1]])
+
+    return docs.where(n_spans(docs[text]) == 0)
 
 
 def op2_wu_manber_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
