@@ -3,10 +3,11 @@
 An expression is a word ([^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+, A-Z in lower case); it backs off to its
 first six bytes, these to the first four, and these to shared counts. Each level's estimate for a
 class takes a fixed discount off the documents of the class that hold the expression, and gives what
-is taken to the next level. How an expression's share is split below is told by shared backoff
-counts: in how many documents of the whole corpus, labelled or not, it occurs (its distinct
-contexts). An expression that a single text holds has estimates of its own like any other.
-Expressions that neither class holds differ by a constant only, whatever they are.
+is taken to the next level. How an expression's share is split below is told by shared backoff counts, the
+continuation counts of Kneser-Ney: how many different words precede it in the whole corpus, labelled or not. They are
+gathered as bits of CONTEXTS classes of preceding words, by hash, and corrected for words that share a class. An expression that a single
+text holds has estimates of its own like any other. Expressions that neither class holds differ by a
+constant only, whatever they are.
 
 A text is described by its length-normalised difference of toxic and ordinary log-likelihood, by the
 largest such difference of any RUN words in a row, and by its TOP largest ones; a logistic curve over
@@ -15,7 +16,9 @@ SAMPLE rows are used, chosen by a hash of the id; counts over the corpus cover e
 
 Nulls: a null or empty text has no words and gets the score of a text with a difference of nothing. A
 null id is never held out. Rows of labels with a null are left out; of several labels the highest
-counts. Repeated rows are scored alike. Without labels of both classes every score is 0.
+counts. Repeated rows are scored alike. Very long texts are scored whole, in time proportional to their length. Without
+labels of both classes every score is 0; an empty table of documents gives no rows. Other columns
+stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,12 +27,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyrill.llm.words import PUNCTUATION, chunks, hashes, spans
+from tallyrill.llm.words import PUNCTUATION, chunks, hashes, mix, spans
 
 #: Labelled rows that are learned from, about; the fold that is never learned from.
 SAMPLE = 24_000
@@ -40,6 +43,8 @@ CURVE = 4
 DISCOUNT = 0.75
 #: Bytes of an expression at each level; the first is the whole.
 LEVELS = (1 << 62, 6, 4)
+#: Classes of preceding words, as bits.
+CONTEXTS = 256
 RUN = 24
 TOP = 3
 
@@ -51,26 +56,53 @@ def _levels(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndar
                       for n in LEVELS[1:]]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _before(words: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The hash of the word before each one; 0 where a text begins."""
+    out = np.zeros(len(words), np.uint64)
+    out[1:] = words[:-1]
+    out[place[:-1][place[:-1] < len(words)]] = 0
+    return out
+
+
+def _new(keys: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Places of the first occurrence of each key in each text."""
+    order = np.lexsort((keys, text))
+    a, b = keys[order], text[order]
+    first = np.ones(len(a), bool)
+    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order[first]
+
+
+_COUNTED_DDL = "level int, hash long, parent long, ordinary int, toxic int"
+
+
+def _summed(level: int, keys: np.ndarray, parents: np.ndarray, toxic: np.ndarray) -> pa.RecordBatch:
+    keys, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    bad = np.bincount(inverse, toxic, len(keys)).astype(np.int32)
+    good = (np.bincount(inverse, minlength=len(keys)) - bad).astype(np.int32)
+    columns = [np.full(len(keys), level, np.int32), keys.view(np.int64), parents[first].view(np.int64), good, bad]
+    return pa.record_batch([pa.array(c) for c in columns], names=["level", "hash", "parent", "ordinary", "toxic"])
+
+
+def _count(batches: Iterator[pa.RecordBatch], most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """In how many texts of each class each expression occurs, with what it backs off to."""
-    found: dict[tuple[int, int, int], list[int]] = {}
+    held: list[list[tuple]] = [[] for _ in range(len(LEVELS))]
+    size = 0
     for batch in batches:
-        toxic = batch.column(1).to_pylist()
+        toxic = batch.column(1).to_numpy(zero_copy_only=False)
         for base, raw, at in chunks(batch.column(0)):
             start, end, place = spans(raw, at, PUNCTUATION)
+            text = np.repeat(np.arange(len(at) - 1), np.diff(place))
             levels = _levels(raw, start, end)
-            for t in range(len(at) - 1):
-                words = [x[place[t] : place[t + 1]].view(np.int64) for x in levels]
-                for n, x in enumerate(words):
-                    unique, first = np.unique(x, return_index=True)
-                    parent = words[n + 1][first] if n + 1 < len(words) else np.zeros(len(first), np.int64)
-                    for key in zip([n] * len(unique), unique.tolist(), parent.tolist()):
-                        found.setdefault(key, [0, 0])[toxic[base + t]] += 1
-    rows = [(*k, *v) for k, v in found.items()]
-    for a in range(0, len(rows), 50_000):
-        yield pa.record_batch(
-            [pa.array(c, pa.int64()) for c in zip(*rows[a : a + 50_000])],
-            names=["level", "hash", "parent", "ordinary", "toxic"])
+            for n, x in enumerate(levels):
+                new = _new(x, text)
+                parent = levels[n + 1][new] if n + 1 < len(LEVELS) else np.zeros(len(new), np.uint64)
+                held[n].append((x[new], parent, toxic[base + text[new]]))
+                size += len(new)
+            if size > most:
+                yield from (_summed(n, *(np.concatenate(c) for c in zip(*h))) for n, h in enumerate(held) if h)
+                held, size = [[] for _ in range(len(LEVELS))], 0
+    yield from (_summed(n, *(np.concatenate(c) for c in zip(*h))) for n, h in enumerate(held) if h)
 
 
 @dataclass
@@ -93,47 +125,57 @@ class Model:
         return out
 
 
-def _occurrences(block) -> object:
-    """In how many texts each known expression occurs, and how many occurrences a level has, per task."""
+_BITS_DDL = "level int, place long, " + ", ".join(f"b{i} long" for i in range(CONTEXTS // 64))
+
+
+def _contexts(block) -> object:
+    """For each known expression the classes of words that precede it, as bits, per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = block.value
-        counts = [np.zeros(len(k) + 1, np.int64) for k in keys]
+        bits = [np.zeros((len(k), CONTEXTS // 8), np.uint8) for k in keys]
         for batch in batches:
             for _, raw, at in chunks(batch.column(0)):
                 start, end, place = spans(raw, at, PUNCTUATION)
-                text = np.repeat(np.arange(len(at) - 1), np.diff(place))
-                for n, x in enumerate(_levels(raw, start, end)):
-                    order = np.lexsort((x, text))
-                    a, b = x[order], text[order]
-                    new = np.ones(len(a), bool)
-                    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                    a = a[new]
-                    counts[n][-1] += len(a)
-                    if len(keys[n]):
-                        p = np.minimum(np.searchsorted(keys[n], a), len(keys[n]) - 1)
-                        counts[n][:-1] += np.bincount(p[keys[n][p] == a], minlength=len(keys[n]))
-        for n, c in enumerate(counts):
-            held = np.flatnonzero(c)
-            yield pa.record_batch(
-                [pa.array(np.full(len(held), n)), pa.array(held), pa.array(c[held])], names=["level", "place", "n"])
+                levels = _levels(raw, start, end)
+                kinds = (mix(_before(levels[0], place)) % np.uint64(CONTEXTS)).astype(np.int64)
+                for n, x in enumerate(levels):
+                    if not len(keys[n]):
+                        continue
+                    p = np.minimum(np.searchsorted(keys[n], x), len(keys[n]) - 1)
+                    known = keys[n][p] == x
+                    seen = np.unique(p[known] * CONTEXTS + kinds[known])
+                    np.bitwise_or.at(bits[n].reshape(-1), seen >> 3, (1 << (seen & 7)).astype(np.uint8))
+        for n, b in enumerate(bits):
+            held = np.flatnonzero(b.any(axis=1))
+            numbers = b[held].view("<i8")
+            for a in range(0, len(held), 50_000):
+                part = slice(a, a + 50_000)
+                yield pa.record_batch(
+                    [pa.array(np.full(len(held[part]), n, np.int32)), pa.array(held[part]),
+                     *[pa.array(np.ascontiguousarray(numbers[part, i])) for i in range(numbers.shape[1])]],
+                    names=["level", "place", *[f"b{i}" for i in range(numbers.shape[1])]])
 
     return run
 
 
-def _describe(block) -> object:
-    """(key, features) of each text."""
+def distinct(classes: np.ndarray) -> np.ndarray:
+    """About how many different words leave so many of CONTEXTS classes occupied."""
+    return -CONTEXTS * np.log(1 - np.minimum(classes, CONTEXTS - 0.5) / CONTEXTS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _scores(block) -> object:
+    """A column function: features and score of texts."""
+
+    @F.pandas_udf("mean double, run double, top double, score double")
+    def test(texts: pd.Series) -> pd.DataFrame:
         model = block.value
-        for batch in batches:
-            rows = np.concatenate([np.zeros((0, 3))] + [features(model, raw, at) for _, raw, at in chunks(batch.column(1))])
-            score = np.zeros(len(rows)) if model.curve is None else curve(model.curve, rows)
-            yield pa.record_batch([
-                batch.column(0), *[pa.array(rows[:, i]) for i in range(3)], pa.array(score)],
-                names=["row", "mean", "run", "top", "score"])
+        column = pa.array(texts, pa.string(), from_pandas=True)
+        rows = np.concatenate([np.zeros((0, 3))] + [features(model, raw, at) for _, raw, at in chunks(column)])
+        score = np.zeros(len(rows)) if model.curve is None else curve(model.curve, rows)
+        return pd.DataFrame({"mean": rows[:, 0], "run": rows[:, 1], "top": rows[:, 2], "score": score})
 
-    return run
+    return test
 
 
 def features(model: Model, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -172,34 +214,34 @@ def fit_curve(rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return w
 
 
+BOTH = ("ordinary", "toxic")
+
+
 def estimate(table: list[dict], shared: list[np.ndarray], totals: dict) -> tuple[list[np.ndarray], list[float]]:
-    """Differences of log probabilities, level by level from the last, and what each fall to the next adds."""
+    """Differences of log probabilities, level by level from the last, and what each fall to the next adds.
+
+    ``table`` has hash, parent, ordinary and toxic of each level's expressions, ``shared`` how many words precede
+    them, and ``totals`` the sum of counts and the number of expressions of each level and class.
+    """
     values: list[np.ndarray] = [np.zeros(0)] * len(table)
     falls = [0.0] * len(table)
     below = np.zeros(0, np.uint64)
-    probability = None
+    probability: dict[str, np.ndarray] = {}
     for n in range(len(table) - 1, -1, -1):
-        rows, share = table[n], shared[n]
-        own = np.maximum(share[:-1], 1) / max(share[-1], 1)
+        rows, share = table[n], np.maximum(shared[n], 1)
         parts = []
-        for c in ("ordinary", "toxic"):
+        for c in BOTH:
             total, kinds = totals[n, c]
             fall = DISCOUNT * kinds / max(total, 1)
-            if probability is None:
-                lower = own
-            else:
+            lower = share / max(share.sum(), 1)
+            if n + 1 < len(table):  # every expression's parent is known one level below
                 at = np.searchsorted(below, rows["parent"])
-                known = at < len(below)
-                known[known] = below[at[known]] == rows["parent"][known]
-                lower = own * fall_below[c]
-                if known.any():
-                    whole = np.maximum(shared[n + 1][:-1], 1)[at[known]]
-                    lower[known] = probability[c][at[known]] * np.minimum(1, np.maximum(share[:-1][known], 1) / whole)
-            parts.append((c, np.maximum(rows[c] - DISCOUNT, 0) / max(total, 1) + fall * lower, fall))
-        fall_below = {c: f for c, _, f in parts}
+                lower = probability[c][at] * np.minimum(1, share / np.maximum(shared[n + 1], 1)[at])
+            parts.append((c, np.maximum(rows[c] - DISCOUNT, 0) / max(total, 1) + fall * lower, max(fall, 1e-12)))
         probability = {c: p for c, p, _ in parts}
         values[n] = np.log(probability["toxic"]) - np.log(probability["ordinary"])
-        falls[n] = float(np.log(max(fall_below["toxic"], 1e-12)) - np.log(max(fall_below["ordinary"], 1e-12)))
+        fall = {c: f for c, _, f in parts}
+        falls[n] = float(np.log(fall["toxic"]) - np.log(fall["ordinary"]))
         below = rows["hash"]
     return values, falls
 
@@ -220,41 +262,46 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     marks = F.broadcast(marks.groupBy("id").agg(F.least(F.max("toxic"), F.lit(1)).alias("toxic")))
     rows = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text")).join(marks, "id")
 
-    counted = rows.where(fold(F.col("id")) != CURVE).select("text", "toxic").mapInArrow(
-        _count, "level long, hash long, parent long, ordinary long, toxic long")
+    counted = rows.where(fold(F.col("id")) != CURVE).select("text", "toxic").mapInArrow(_count, _COUNTED_DDL)
     counted = counted.groupBy("level", "hash").agg(
-        F.min("parent").alias("parent"), F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+        F.max("parent").alias("parent"), *[F.sum(c).cast("int").alias(c) for c in BOTH])
     counted = counted.cache()
     sums = counted.groupBy("level").agg(
-        *[F.sum(c).alias(c) for c in ("ordinary", "toxic")],
-        *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in ("ordinary", "toxic")]).collect()
-    totals = {(r["level"], c): (r[c], r[f"{c}_kinds"]) for r in sums for c in ("ordinary", "toxic")}
+        *[F.sum(c).alias(c) for c in BOTH], *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in BOTH]).collect()
+    totals = {(r["level"], c): (r[c], r[f"{c}_kinds"]) for r in sums for c in BOTH}
     known = counted.toArrow()
     counted.unpersist()
-    if not all(totals.get((0, c), (0, 0))[0] for c in ("ordinary", "toxic")):
+    if not all(totals.get((0, c), (0, 0))[0] for c in BOTH):
         return None
 
     table = []
     for level in range(len(LEVELS)):
         part = known.filter(pa.compute.equal(known["level"], level))
-        columns = {c: part[c].to_numpy() for c in ("hash", "parent", "ordinary", "toxic")}
-        columns["hash"] = columns["hash"].view(np.uint64)
-        order = np.argsort(columns["hash"])
-        table.append({c: x[order] for c, x in columns.items()})
-        table[-1]["parent"] = table[-1]["parent"].view(np.uint64)
+        order = np.argsort(part["hash"].to_numpy().view(np.uint64))
+        table.append({c: part[c].to_numpy()[order] for c in known.column_names})
+        table[-1] |= {c: table[-1][c].view(np.uint64) for c in ("hash", "parent")}
+    del known
     model = Model([t["hash"] for t in table])
-    seen = docs.select(docs[text].alias("text")).mapInArrow(
-        _occurrences(sc.broadcast(model.keys)), "level long, place long, n long")
-    shared = [np.zeros(len(k) + 1) for k in model.keys]
-    seen = seen.groupBy("level", "place").agg(F.sum("n").alias("n")).toArrow()
+    keys = sc.broadcast(model.keys)
+    # The classes that precede an expression anywhere come together as bits; the driver gets a number for each known one.
+    seen = docs.select(docs[text].alias("text")).mapInArrow(_contexts(keys), _BITS_DDL)
+    numbers = [f"b{i}" for i in range(CONTEXTS // 64)]
+    seen = seen.groupBy("level", "place").agg(*[F.bit_or(c).alias(c) for c in numbers])
+    seen = seen.select("level", "place", sum((F.bit_count(c) for c in numbers), F.lit(0)).cast("int").alias("n")).toArrow()
+    shared = [np.zeros(len(k)) for k in model.keys]
     for level, own in enumerate(shared):
         part = seen.filter(pa.compute.equal(seen["level"], level))
-        own[part["place"].to_numpy()] = part["n"].to_numpy()
-    model.values, model.falls = estimate(table, shared, totals)
+        own[part["place"].to_numpy()] = distinct(part["n"].to_numpy())
+    keys.unpersist()
+    values, model.falls = estimate(table, shared, totals)
+    model.values = [v.astype(np.float32) for v in values]
+    del table, shared, seen
 
     marked = rows.where(fold(F.col("id")) == CURVE).select("toxic", "text")
-    seen = marked.mapInArrow(_describe(sc.broadcast(model)), "row int, mean double, run double, top double, score double")
+    block = sc.broadcast(model)
+    seen = marked.select(F.col("toxic").alias("row"), _scores(block)("text").alias("of")).select("row", "of.*")
     seen = seen.orderBy("row", "mean", "run", "top").toArrow().to_pandas()
+    block.unpersist()
     if seen["row"].nunique() < 2:
         return None
     model.curve = fit_curve(seen[["mean", "run", "top"]].to_numpy(), seen["row"].to_numpy(float))
@@ -263,12 +310,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 
 def score(docs: DataFrame, model: Model | None, keep: list[str], text: str = "text") -> DataFrame:
     """row (a struct of the columns in ``keep``), score and predicted for every row."""
-    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].alias("text"))
+    row = F.struct(*[docs[c] for c in keep]).alias("row")
     if model is None:
-        return rows.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    double = [T.StructField(c, T.DoubleType()) for c in ("mean", "run", "top", "score")]
-    block = docs.sparkSession.sparkContext.broadcast(model)
-    out = rows.mapInArrow(_describe(block), T.StructType([T.StructField("row", rows.schema["row"].dataType), *double]))
+        return docs.select(row, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    # Only the text goes to Python and only numbers come back.
+    of = _scores(docs.sparkSession.sparkContext.broadcast(model))(docs[text])["score"]
+    out = docs.select(row, of.alias("score"))
     return out.select("row", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
