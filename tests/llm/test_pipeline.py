@@ -8,7 +8,7 @@ from tests.llm.test_documents import base_spans, brute_windows, components
 
 def test_the_subpackage_is_registered():
     names = set(queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")and n[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")and n[2].isdigit()}
     assert "pipeline" in names and set(oracle_sql()) <= names
 
 
