@@ -25,6 +25,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of files that one task reads back, about.
+READ_BYTES = 64 << 20
+
+
+def reading_tasks(spark: SparkSession, n_rows: int, n_bytes: int) -> int:
+    """Tasks that read files back: by their size, but so many at least that all cores have some, and a row each at most."""
+    return max(1, min(n_rows, max(-(-n_bytes // READ_BYTES), spark.sparkContext.defaultParallelism)))
+
+
 class FileStore:
     """A folder by path or URI, usable on the driver and in tasks."""
 

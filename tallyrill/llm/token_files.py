@@ -10,7 +10,8 @@ before it: document ids (i64), the end of each document in ids (u64), and which
 
 Documents are dealt by ranges of their id, so files follow one another in ascending order; the
 committed table of files says which count. Nulls: a null text is empty, a null id comes first.
-Repeated rows are all written, ties in id ordered by a hash of the text. An empty table makes no files.
+Repeated rows are all written, ties in id ordered by a hash of the text. A very long text lies in many blocks of
+one file. An empty table makes no files.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyrill.llm.store import FileStore, written
+from tallyrill.llm.store import FileStore, reading_tasks, written
 from tallyrill.llm.tokens import Encoder, encoder
 
 MAGIC = b"FWTOK1\n\0"
@@ -181,7 +182,10 @@ def read_tokens(files: DataFrame, store: FileStore, with_ids: bool = False) -> D
     """Every document from the files: doc_id, start, n_tokens, ids_crc32, and the ids if asked for."""
     # One row per file: the sums that place files behind one another are as few as tasks that wrote.
     before = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = files.select("file", before.alias("before")).repartition("file")
+    size = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("n_ids"), F.lit(0)).alias("ids")).first()
+    # A row stands for a whole file, so Spark can't tell how many tasks they need.
+    tasks = reading_tasks(files.sparkSession, size["files"], 2 * size["ids"])
+    placed = files.select("file", "part", before.alias("before")).repartitionByRange(tasks, "part").select("file", "before")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
