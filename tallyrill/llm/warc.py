@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrill.llm.store import FileStore, written
+from tallyrill.llm.gram_join import _bitmap, _may_hold
+from tallyrill.llm.store import FileStore, reading_tasks, written
 
 LEAST_BYTES = 100
 FILE_BYTES = 64 << 20
@@ -116,10 +117,14 @@ def write_archives(
     large = F.octet_length(F.coalesce("html", F.lit(""))) >= LEAST_BYTES
     again = rows.where(large).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     again = written(again.where("n > 1").select("digest", "first"), "repeated")
-    rows = rows.join(again, "digest", "left").select(
-        "page_id", "url", "html", "digest",
-        F.when(F.col("first") != F.coalesce("page_id", F.col("first") - 1), F.col("first")).alias("refers_to"))
-    return written(rows.mapInArrow(_write_task(store), _INDEX_DDL), "warc-index")
+    # Only pages whose payload may be there again are shuffled; a filter of bounded size finds them.
+    may = _may_hold(_bitmap(again.select(F.xxhash64("digest").alias("key"))))
+    rows = rows.withColumn("may", may(F.xxhash64("digest")))
+    names = ["page_id", "url", "html", "digest"]
+    found = rows.where("may").join(again, "digest", "left").select(
+        *names, F.when(F.col("first") != F.coalesce("page_id", F.col("first") - 1), F.col("first")).alias("refers_to"))
+    alone = rows.where("not may").select(*names, F.lit(None).cast("long").alias("refers_to"))
+    return written(found.unionByName(alone).mapInArrow(_write_task(store), _INDEX_DDL), "warc-index")
 
 
 def _ranges(records: list[dict]) -> Iterator[list[dict]]:
@@ -178,7 +183,9 @@ def read_records(index: DataFrame, store: FileStore, with_payload: bool = False)
 
     A revisit has no payload of its own: that of the record it refers to is the same.
     """
-    places = index.select("file", "offset", "length").repartitionByRange("file", "offset")
+    size = index.agg(F.count("*").alias("rows"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    tasks = reading_tasks(index.sparkSession, size["rows"], size["bytes"])
+    places = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset")
     out = places.sortWithinPartitions("file", "offset").mapInArrow(
         _read_task(store, with_payload),
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
