@@ -9,18 +9,21 @@ amount to the scores of its vectors. What a score still can change by is bounded
 that are left and by what quantisation took. A query stops only on proof, when few enough vectors can
 still be among its k best; those are rescored exactly, and nothing else is ever returned.
 
-Queries come in blocks of QUERIES, one broadcast and one pass over the vectors each. A task keeps the k
-best per query; the k best of all tasks follow by Spark's grouped limit.
+Queries lie in files of about QUERIES in the shared folder, which Spark's tasks write. A task indexes HELD of its
+vectors, reads the files one after the other, and gives the k best of those vectors for each query, with a floor that
+rises as its blocks go by. So there is one pass over the vectors however many queries there are, and a task holds one file of queries and
+HELD vectors. The k best of all follow by Spark's grouped limit.
 
 Vectors that are null, or hold null or non-finite components, take no part; others may differ in
 length, missing components count as 0. Rows with a null id are neither queries nor candidates; rows
 with the query's id are not its candidates; of other repeated rows each takes part. A query id that
 several rows hold asks once, with the first of their vectors in ascending order of components, a
-shorter one filled up with 0. Ties go to the smaller id. Scores must fit 64 bits. Without queries or vectors there are no rows.
+shorter one filled up with 0. Very long vectors are indexed whole. Other columns are not read, whatever their names. Ties go to the smaller id. Scores must fit 64 bits. Without queries or vectors there are no rows.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +31,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyrill.llm.store import FileStore, written
+
 SCALE = 256
 TOP = 5
 EVERY = 50
 BLOCK = 4096
 LEVELS = 16
-#: Queries of one broadcast, and of one batch in a task.
+#: Queries of one file, and of one batch in a task.
 QUERIES = 16_384
 BATCH = 256
+#: Vectors that a task holds at once.
+HELD = 32 * BLOCK
 #: How often a batch looks for proof, and how many possible members are worth rescoring.
 CHECKS = 4
 FEW = 64
@@ -118,62 +125,106 @@ class ImpactIndex:
                 scores[rows] += (amount * weights[active, d]).astype(np.float32)
 
 
-def _search(queries, k: int):
-    """Per task the k best rows of each query."""
+def _best(blocks: list[tuple[np.ndarray, ImpactIndex]], query_ids: np.ndarray, query_rows: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """The k best rows of these blocks for each query."""
+    best: list[list[tuple[int, int]]] = [[] for _ in query_ids]  # (-score, id), ascending
+    floor = np.full(len(query_ids), -np.inf)
+    for block_ids, index in blocks:
+        block = index.vectors
+        rows = query_rows
+        if rows.shape[1] > block.shape[1]:  # what the block lacks counts as 0
+            rows = rows[:, : block.shape[1]]
+        rows = widened(rows, block.shape[1])
+        for b in range(0, len(query_ids), BATCH):
+            part = rows[b : b + BATCH]
+            # More than k: the query's own rows, however many the block holds, may be among them.
+            own = np.isin(block_ids, query_ids[b : b + BATCH])
+            most = int(np.unique(block_ids[own], return_counts=True)[1].max(initial=0))
+            for q, found in index.possible(part, k + most, floor[b : b + BATCH]):
+                found = found[block_ids[found] != query_ids[b + q]]
+                if not len(found):
+                    continue
+                exact = block[found] @ part[q]
+                merged = best[b + q] + list(zip((-exact).tolist(), block_ids[found].tolist()))
+                best[b + q] = sorted(merged)[:k]
+                if len(best[b + q]) == k:
+                    floor[b + q] = -best[b + q][-1][0]
+    out = [(int(q), i, -s) for q, found in zip(query_ids, best) for s, i in found]
+    for a in range(0, len(out), 50_000):
+        yield pa.record_batch(
+            [pa.array(c, pa.int64()) for c in zip(*out[a : a + 50_000])], names=["query_id", "vec_id", "score"])
+
+
+def _search(store: FileStore, files: list[str], k: int, block: int, held: int):
+    """For each query the k best of every ``held`` rows of a task."""
+
+    def answers(blocks: list) -> Iterator[pa.RecordBatch]:
+        for name in files:
+            with store.read(name) as file:
+                arrays = np.load(io.BytesIO(file.read()))
+                yield from _best(blocks, arrays["ids"], arrays["rows"], k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, query_rows = queries.value
-        best: list[list[tuple[int, int]]] = [[] for _ in query_ids]  # (-score, id), ascending
-        floor = np.full(len(query_ids), -np.inf)
+        blocks, n = [], 0
         for batch in batches:
             ids, vectors = whole(batch.column(0), batch.column(1))
-            for a in range(0, len(ids), BLOCK):
-                block_ids, block = ids[a : a + BLOCK], vectors[a : a + BLOCK]
-                width = max(block.shape[1], query_rows.shape[1])
-                block = widened(block, width)
-                index = ImpactIndex(block)
-                for b in range(0, len(query_ids), BATCH):
-                    part = widened(query_rows[b : b + BATCH], width)
-                    # More than k: the query's own rows, however many the block holds, may be among them.
-                    own = np.isin(block_ids, query_ids[b : b + BATCH])
-                    most = int(np.unique(block_ids[own], return_counts=True)[1].max(initial=0))
-                    for q, rows in index.possible(part, k + most, floor[b : b + BATCH]):
-                        rows = rows[block_ids[rows] != query_ids[b + q]]
-                        if not len(rows):
-                            continue
-                        exact = block[rows] @ part[q]
-                        merged = best[b + q] + list(zip((-exact).tolist(), block_ids[rows].tolist()))
-                        best[b + q] = sorted(merged)[:k]
-                        if len(best[b + q]) == k:
-                            floor[b + q] = -best[b + q][-1][0]
-        rows = [(int(q), i, -s) for q, found in zip(query_ids, best) for s, i in found]
-        for a in range(0, len(rows), 50_000):
-            yield pa.record_batch(
-                [pa.array(c, pa.int64()) for c in zip(*rows[a : a + 50_000])], names=["query_id", "vec_id", "score"])
+            for a in range(0, len(ids), block):
+                blocks.append((ids[a : a + block], ImpactIndex(vectors[a : a + block])))
+                n += len(blocks[-1][0])
+                if n >= held:
+                    yield from answers(blocks)
+                    blocks, n = [], 0
+        if blocks:
+            yield from answers(blocks)
+
+    return run
+
+
+def _write_queries(store: FileStore):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by("vec_id")
+        ids, rows = whole_rows(table["vec_id"], table["whole"])
+        name, out = store.create(".queries")
+        held = io.BytesIO()
+        np.savez(held, ids=ids, rows=rows)
+        with out:
+            out.write(held.getbuffer())
+        return pa.table({"file": [name]})
 
     return run
 
 
+def whole_rows(ids: pa.ChunkedArray, rows: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and equally long lists of whole numbers as arrays."""
+    values = rows.combine_chunks().flatten().to_numpy()
+    return ids.to_numpy(), values.reshape(len(ids), -1) if len(ids) else np.zeros((0, 0), np.int64)
+
+
+def write_queries(asked: DataFrame, store: FileStore) -> list[str]:
+    """Names of files with the queries, each id once, dealt by a hash of the id."""
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    rows = asked.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine)
+    rows = rows.select("vec_id", F.transform("embedding", lambda x: F.floor(SCALE * x.cast("double"))).alias("whole"))
+    size = rows.agg(F.count_distinct("vec_id").alias("n"), F.max(F.size("whole")).alias("width")).first()
+    if not size["n"]:
+        return []
+    zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(size["width"]) - F.size("whole"))
+    rows = rows.groupBy("vec_id").agg(F.min(F.concat("whole", zeros)).alias("whole"))
+    files = -(-size["n"] // QUERIES)
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(files))
+    named = rows.withColumn("block", block).groupBy("block").applyInArrow(_write_queries(store), "file string")
+    return [r["file"] for r in written(named, "queries").collect()]
+
+
 def search(
     vectors: DataFrame, is_query: Column, *, k: int = TOP, vec_id: str = "vec_id", embedding: str = "embedding",
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for each row that ``is_query`` holds for."""
-    spark = vectors.sparkSession
-    rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[embedding].alias("embedding"))
-    asked = vectors.where(is_query).select(vectors[vec_id].cast("long").alias("vec_id"), vectors[embedding].alias("embedding"))
-    blocks = max(1, -(-asked.count() // QUERIES))
-    found = None
-    for block in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).toArrow().combine_chunks()
-        ids, wholes = np.zeros(0, np.int64), np.zeros((0, 0), np.int64)
-        if part.num_rows:
-            ids, wholes = whole(part["vec_id"].chunk(0), part["embedding"].chunk(0))
-            order = np.lexsort((*wholes.T[::-1], ids))
-            ids, first = np.unique(ids[order], return_index=True)
-            wholes = wholes[order][first]
-        some = rows.mapInArrow(
-            _search(spark.sparkContext.broadcast((ids, wholes)), k), "query_id long, vec_id long, score long")
-        found = some if found is None else found.unionByName(some)
+    store = FileStore.fresh(vectors.sparkSession, "queries")
+    columns = [vectors[vec_id].cast("long").alias("vec_id"), vectors[embedding].alias("embedding")]
+    files = write_queries(vectors.where(is_query).select(*columns), store)
+    found = vectors.select(*columns).mapInArrow(
+        _search(store, files, k, BLOCK, HELD), "query_id long, vec_id long, score long")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -79,3 +79,20 @@ def test_rows_left_out_of_rescoring_are_proven(monkeypatch):
         assert set(np.argsort(-exact, kind="stable")[:5]) <= set(rows.tolist())
         left += len(vectors) - len(rows)
     assert left > 40 * 300
+
+
+def test_any_number_of_query_files_takes_one_pass(spark, monkeypatch):
+    r = random.Random(3)
+    rows = [(i, [float(np.float32(r.gauss(0, 1))) for _ in range(5)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(2)
+    for queries, held in ((2, 10), (7, 1000)):
+        monkeypatch.setattr(impact_search, "QUERIES", queries)
+        monkeypatch.setattr(impact_search, "HELD", held)
+        monkeypatch.setattr(impact_search, "BLOCK", 8)
+        found = impact_search.search(df, F.col("vec_id") % 5 == 0, k=3)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "Union" not in plan
+        got = {}
+        for x in found.orderBy("query_id", "rank").collect():
+            got.setdefault(x["query_id"], []).append((x["vec_id"], x["score"]))
+        assert got == brute(rows, 5, 3)
