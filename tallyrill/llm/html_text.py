@@ -1,19 +1,22 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one per block element. What is no part of an article by its element,
-role or class (menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-reader comments) leaves nothing, so that text before and after it stays together. All that lies
-outside an article or main element where a page has one with text in it is left as blank lines, and
-so are menus' lines elsewhere. The lengths of lines are summed over a sliding window of
-WINDOW lines; text surges where the sum rises from nothing and dives where it falls back to nothing.
-The lines between a surge and its dive are kept if the sum reaches SURGE in between; if none does,
-those with most text are.
-
-Elements, roles and classes thus choose most of the text; surge and dive only part it where menus'
-lines or text outside articles lie in between. Two of these are taken back where they would cost a
+Markup is stripped into lines, one per block element; removed elements within a line leave a space. What is no part of an
+article by its element, role or class (menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles,
+reader comments) leaves nothing, so that text before and after it stays together, and so do
+lines outside articles that are mostly links.
+
+Every line of an article or main element stays, where a page has one with most of its text. On other
+pages the lengths of lines are summed over a sliding window of WINDOW lines, where a line counts that reads as text: a
+paragraph, an item, a heading, or another line that is long or ends like a sentence. Text dives where the sum falls to nothing and surges where it
+rises from nothing to SURGE; what lies between a surge and its dive is kept, without lines at its ends that don't
+count (a date, a place name, a heading with nothing behind it) and without notices of copyright. If no sum reaches SURGE, the lines between two dives with most
+text are kept.
+
+Two rules are taken back where they would cost a
 page its text: a class or id removes nothing that holds more than half of the page's text, unless it
 names replies and what is left reaches SURGE; and articles (a main element always counts) with less
-text than lies outside them, links aside, are lines like all others.
+text than lies outside them, links aside, are lines like all others. Ids remove nothing inside articles, and
+headings go by no class or id: these are names to link to.
 
 A null or empty html gives an empty text. Unclosed and crossed tags, unfinished comments and tags,
 and markup of any length are read as far as they go. Repeated rows and null ids each give a row. An
@@ -32,8 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 WINDOW = 3
 SURGE = 80
-#: A line of which links make up more than this is a menu's, outside articles.
+#: A line of which links make up more than this is a menu's, outside articles, unless it is an item as long as a reference.
 LINKS = 0.5
+REFERENCE = 40
+#: A line of this length reads as text, whatever its element and its end.
+TEXT = 40
 
 _TOKEN = re.compile(
     r"<!--(?:(?!-->).)*+(?:-->|\Z)"
@@ -50,21 +56,27 @@ _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary "
     "table tbody td tfoot th thead tr ul".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose lines read as text however short they are.
+_TEXT = frozenset("p li dd dt pre blockquote figcaption summary".split())
+_ENDS = tuple(".!?:;\u2026\u201d\u00bb\"'\u3002\uff01\uff1f")
+_RIGHTS = re.compile(r"(?i)(?:\u00a9|\(c\)|copyright)\s*(?:\(c\)|\u00a9)?\s*(?:19|20)\d\d|all rights reserved")
 _CLOSES_P = _BLOCK - frozenset("body head html option td th tr tbody thead tfoot".split())
 #: Not part of an article, whatever their class.
 _NO_TEXT = frozenset(
-    "nav footer aside form menu dialog button select datalist svg canvas object video audio map math head".split())
+    "nav footer aside form menu dialog button select datalist svg canvas object video audio map head".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 #: Words of a class or id: of these one is enough,
 _ALWAYS = frozenset(
     "ad ads adv advert advertisement advertising sponsor sponsored promo promotion sidebar cookie cookies consent gdpr "
     "popup modal newsletter subscribe signup share sharing social comment comments disqus respond reply replies related "
-    "recommended recommendations pagination pager breadcrumb breadcrumbs toolbar login widget navbar".split())
+    "discussion commentlist commentarea recommended recommendations pagination pager breadcrumb breadcrumbs toolbar login widget navbar".split())
 #: these need to stand without a word of an article's own parts.
 _UNLESS = frozenset("header footer nav navigation menu masthead topbar notice banner alert search skip".split())
 _OWN = frozenset("article entry post content story title headline main".split())
 #: What readers wrote may be more than the article.
-_REPLIES = frozenset("comment comments disqus respond reply replies".split())
+_REPLIES = frozenset("comment comments discussion commentlist commentarea disqus respond reply replies".split())
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Why an element is no part of an article.
 _SURE, _NAMED, _REPLY = 1, 2, 3
 
@@ -77,27 +89,29 @@ def _is_other(name: str, attributes: str, in_article: bool) -> int:
         return 0
     why = 0
     for key, value in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'").lower()
+        key, words_in = key.lower(), value.strip("\"'")
+        value = words_in.lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
             return _SURE
         if key == "role" and value in _ROLES:
             return _SURE
         if key == "style" and "display:none" in value.replace(" ", ""):
             return _SURE
-        if key in ("class", "id"):
-            words = set(re.split(r"[^a-z]+", value))
+        if name not in _HEADINGS and (key == "class" or key == "id" and not in_article and name != "p"):
+            words = set(re.split(r"[^a-z]+", _HUMP.sub(" ", words_in).lower()))
             if words & _ALWAYS or words & _UNLESS and not words & _OWN:
                 why = _REPLY if why == _REPLY or words & _REPLIES else _NAMED
     return why
 
 
 class _Lines:
-    """Lines of a page: text, whether it lies in an article, and how much of it is links."""
+    """Lines of a page: text, whether it lies in an article, how much of it is links, and the element it lies in."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, int, str]] = []
         self.parts: list[str] = []
         self.links = 0
+        self.within = ""
 
     def text(self, text: str, linked: bool) -> None:
         self.parts.append(text)
@@ -108,11 +122,11 @@ class _Lines:
         if self.parts:
             line = " ".join(html.unescape("".join(self.parts)).split())
             if line:
-                self.lines.append((line, in_article, self.links))
+                self.lines.append((line, in_article, self.links, self.within))
         self.parts, self.links = [], 0
 
 
-def lines_of(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, int]], int]:
+def lines_of(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, int, int, str]], list[tuple[int, int, int]], int]:
     """The page's lines, without what is no article's; place, why and length of what a class or id names; the length of all.
 
     What begins at a place in ``spared`` stays, whatever its class or id.
@@ -142,6 +156,8 @@ def lines_of(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tupl
             if other != _SURE:
                 seen += len(text.strip())
             if not other:
+                if not out.parts:
+                    out.within = next((x[0] for x in reversed(stack) if x[0] in _BLOCK), "")
                 out.text(text, linked)
             continue
         name = m["name"] or m["name2"]
@@ -155,7 +171,7 @@ def lines_of(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tupl
                 was = other
                 other, article, linked = pop_from(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
                 if was and not other:
-                    out.end(article)
+                    out.end(article) if name in _BLOCK else out.text(" ", False)
             continue
         attributes = m["attributes"] if m["attributes"] is not None else m["attributes2"] or ""
         if name in _CLOSES_P:
@@ -179,8 +195,8 @@ def lines_of(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tupl
             if m.start() in spared:
                 why = 0
         now_other = _SURE if why == _SURE else other or why
-        if now_other and not other:
-            out.end(article)
+        if now_other and not other and name not in _BLOCK:
+            out.text(" ", False)
         open_names[name] += 1
         stack.append((name, now_other, now_article, linked or name == "a"))
         other, article, linked = stack[-1][1:]
@@ -199,16 +215,33 @@ def main_text(page: str | None) -> str:
         if large and (why == _NAMED or sum(len(text) for text, *_ in lines) < SURGE):
             spared |= large
             lines = lines_of(page, spared)[0]
-    menus = [not inside and links > LINKS * len(text) for text, inside, links in lines]
-    within = sum(len(text) for text, inside, _ in lines if inside)
-    beside = sum(len(text) for (text, inside, _), menu in zip(lines, menus) if not inside and not menu)
-    if any(inside == 2 for _, inside, _ in lines) or within and beside < max(SURGE, within + 1):
-        lines = [line if line[1] else ("", 0, 0) for line in lines]
-    else:
-        lines = [("", 0, 0) if menu else line for line, menu in zip(lines, menus)]
-    lengths = [len(text) for text, *_ in lines]
-    sums = [sum(lengths[max(0, i - WINDOW + 1) : i + 1]) for i in range(len(lengths))]
-    found: list[tuple[int, int, int]] = []  # peak, surge, dive
+    lines = [line for line in lines if line[1] or not _is_menu(line)]
+    within = sum(len(text) for text, inside, *_ in lines if inside)
+    beside = sum(len(text) for text, inside, *_ in lines if not inside)
+    if any(inside == 2 for _, inside, *_ in lines) or within and beside < max(SURGE, within + 1):
+        return "\n".join(text for text, inside, *_ in lines if inside)
+    return "\n".join(_dense([line for line in lines if line[1] or not _RIGHTS.search(line[0])]))
+
+
+def _is_menu(line: tuple[str, int, int, str]) -> bool:
+    text, _, links, within = line
+    return links > LINKS * len(text) and not (within == "li" and len(text) >= REFERENCE)
+
+
+def _weight(line: tuple[str, int, int, str]) -> int:
+    """A line's length, if it reads as text."""
+    text, inside, _, within = line
+    reads = inside or within in _TEXT or within in _HEADINGS or len(text) >= TEXT or text.endswith(_ENDS)
+    return len(text) if reads else 0
+
+
+def _dense(lines: list[tuple[str, int, int, str]]) -> list[str]:
+    """Texts of the lines between surges and dives of the windowed sums."""
+    weights = [_weight(line) for line in lines]
+    if not any(weights):
+        weights = [len(text) for text, *_ in lines]
+    sums = [sum(weights[max(0, i - WINDOW + 1) : i + 1]) for i in range(len(weights))]
+    found: list[tuple[int, int, int]] = []  # highest sum, first and end of the lines
     surge = None
     for i, s in enumerate([*sums, 0]):
         if s and surge is None:
@@ -218,8 +251,13 @@ def main_text(page: str | None) -> str:
             surge = None
     kept = [f for f in found if f[0] >= SURGE]
     if not kept and found:
-        kept = [max(found, key=lambda f: (sum(lengths[f[1] : f[2]]), -f[1]))]
-    return "\n".join(text for _, a, b in kept for text, *_ in lines[a:b] if text)
+        kept = [max(found, key=lambda f: (sum(weights[f[1] : f[2]]), -f[1]))]
+    out = []
+    for _, a, b in kept:
+        while b > a and (not weights[b - 1] or lines[b - 1][3] in _HEADINGS and b - 1 > a and not lines[b - 1][1]):
+            b -= 1
+        out += [text for text, *_ in lines[a:b]]
+    return out
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import random
 
 import pytest
 
@@ -45,6 +46,55 @@ def test_main_text(markup, text):
     assert html_text.main_text(markup) == text
 
 
+SOME = "word " * 20 + "end."
+LINKED = "<ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul>"
+
+
+@pytest.mark.parametrize("markup, text", [
+    ("<p>Press <button>OK</button> to go on</p>", "Press to go on"),
+    ("<article><p>a <svg><text>x</text></svg> b <span class=ad>Buy</span>c<select><option>d</select></article>", "a b c"),
+    ("<article><p>Euler: <math><mi>e</mi><mo>=</mo><mn>1</mn></math> holds.</article>", "Euler: e=1 holds."),
+    ("<article><h2 id=social>Social life</h2><p>Few</p><section id=login><p>Log in here</p></section></article>", "Social life\nFew\nLog in here"),
+    (f"<article><p>{SOME}</article><div>one</div><div>two</div><div>three</div><article><p>Short two</article>", f"{SOME}\nShort two"),
+    (f"<h1>Title</h1>{LINKED}<p>{SOME}</p>{LINKED}<p>End here", f"Title\n{SOME}\nEnd here"),
+    (f"<p>{SOME}</p><h2>References</h2><ul><li><a>An Author: a long title of a paper to be read</a><li><a>Another one: some other title of a paper</a></ul>",
+     f"{SOME}\nReferences\nAn Author: a long title of a paper to be read\nAnother one: some other title of a paper"),
+    (f"<p>{SOME}</p><div>Copyright 2020 A. Contact us.</div><div>Weather today</div>", SOME),
+    (f"<div>Home of the paper</div><p>{SOME}</p><h3>More</h3>", SOME),
+    (f"<p>{SOME}</p><div class=userComments><p>{SOME}</div><div class=cookieBar>{SOME}</div><ol class=commentlist><li>{SOME}</ol><div class=discussion>{SOME}</div>", SOME),
+])
+def test_what_names_and_lengths_choose(markup, text):
+    assert html_text.main_text(markup) == text
+
+
+def test_lines_of_made_up_pages_without_an_article_element():
+    """Precision and recall by line, over pages that no rule was written for."""
+    r = random.Random(17)
+
+    def words(n):
+        return " ".join("".join(r.choices("abcdefghijklmnoprstuvw", k=r.randint(2, 9))) for _ in range(n)).capitalize()
+
+    right = kept = wanted = 0
+    for _ in range(300):
+        text, html = [], []
+        around = [f"<div class={c}>{words(r.randint(1, 30))}</div>" for c in ("topbar", "siteNav", "promo", "sidebar-left", "cookie-bar")]
+        around += [f"<ul>{''.join(f'<li><a href=#>{words(2)}</a>' for _ in range(r.randint(2, 9)))}</ul>", f"<div>{words(2)}</div>",
+                   f"<footer>{words(40)}</footer>", f"<div><span>{words(1)}</span> <a>{words(2)}</a></div>", f"<div>\u00a9 2021 {words(3)}. All rights reserved.</div>"]
+        for i in range(r.randint(2, 9)):
+            if i == 0 or r.random() < 0.3:
+                text.append(words(r.randint(2, 8)))
+                html.append(f"<h{r.randint(1, 3)} id={r.choice(['ad', 'share', 'a1'])}>{text[-1]}</h1>")
+            text.append(words(r.randint(4, 90)) + ".")
+            html.append(f"<p>{text[-1]}</p>" if r.random() < 0.8 else f"<div>{text[-1]}</div>")
+            if r.random() < 0.3:
+                html.append(r.choice(around[:6]))
+        page_ = "".join(r.sample(around, 4)) + "<div class=content>" + "".join(html) + "</div>" + "".join(r.sample(around, 4))
+        got = html_text.main_text(page_).split("\n")
+        right += len(set(got) & set(text))
+        kept, wanted = kept + len(got), wanted + len(text)
+    assert right / kept > 0.97 and right / wanted > 0.99
+
+
 def test_long_and_deep_pages_are_read_whole():
     assert html_text.main_text("<article>" + "<div>" * 20_000 + "deep") == "deep"
     assert html_text.main_text("<article>" + "</x>" * 20_000 + "<b>" * 20_000 + "x") == "x"
