@@ -30,6 +30,9 @@ _IRREGULAR = re.compile(r"[ \n](?![!-~À-ɏ])|(?<![!-~À-ɏ])[ \n]")
 _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+\Z")
 
 
+#: How the kind of file that takes lower-case words tells white space and words.
+_WHITE = {"Regex": r"\s+"}
+_WORDS = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 _DOUBLES = ("  ", " \n", "\n ", "\n\n")
 
 
@@ -84,14 +87,19 @@ class Encoder:
 
     def _recognise(self, spec: dict) -> None:
         norm, pre = spec.get("normalizer"), spec.get("pre_tokenizer") or {}
-        plain = spec["model"].get("type") == "BPE" and not any(
+        model = spec["model"]
+        plain = model.get("type") == "BPE" and not (spec.get("truncation") or spec.get("padding")) and not any(
+            model.get(o) for o in ("dropout", "unk_token", "byte_fallback", "ignore_merges", "continuing_subword_prefix")) and not any(
             a["lstrip"] or a["rstrip"] or " " in a["content"] or "\n" in a["content"]
             for a in spec.get("added_tokens", []))
-        kinds = [n["type"] for n in (norm or {}).get("normalizers", [])]
+        rules = (norm or {}).get("normalizers", [])
+        kinds = [n["type"] for n in rules]
         steps = pre.get("pretokenizers", [])
-        if plain and norm is None and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
+        words = model.get("end_of_word_suffix")
+        if plain and not words and norm is None and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
             self.line, self.lower = self._whole("\n"), False
         elif (plain and kinds == ["NFC", "Replace", "Lowercase"] and len(steps) == 2
+              and rules[1]["pattern"] == _WHITE and rules[1]["content"] == " " and steps[0]["pattern"] == _WORDS
               and steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
               and steps[1]["type"] == "ByteLevel" and not steps[1]["use_regex"]):
             self.line, self.lower = b"", True
@@ -144,11 +152,12 @@ def encoder(path: str) -> Iterator[Encoder]:
     global _idle
     if _idle is not None:
         _idle.cancel()
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+    own = _ENCODERS.get(path) or Encoder(path)  # the timer may empty the memory at any moment
+    _ENCODERS[path] = own
     try:
-        yield _ENCODERS[path]
+        yield own
     finally:
+        del own
         _idle = threading.Timer(IDLE, _forget)
         _idle.daemon = True
         _idle.start()

@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tallyrill.llm import token_files as TF
+from tallyrill.llm import tokens
 from tallyrill.llm.packing import pack
 from tallyrill.llm.store import FileStore
 from tallyrill.llm.tokens import Encoder
@@ -141,3 +143,29 @@ def test_packing_places_every_id_once(spark, docs, n, open_windows):
             assert start == at
             at += length
         assert at == total
+
+
+@pytest.mark.parametrize("name, change", [
+    (FILES[1], lambda s: s["normalizer"]["normalizers"][1].update(content="_")),
+    (FILES[1], lambda s: s["pre_tokenizer"]["pretokenizers"][0].update(pattern={"Regex": r"\S"})),
+    (FILES[0], lambda s: s.update(truncation={"direction": "Right", "max_length": 3, "strategy": "LongestFirst", "stride": 0})),
+])
+def test_files_that_only_look_alike_go_to_the_library(tmp_path, name, change):
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        spec = json.load(f)
+    change(spec)
+    path = str(tmp_path / "t.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    encoder, tokenizer = Encoder(path), Tokenizer.from_file(path)
+    for text in ODD + ["some plain words. And more of them\nhere"]:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids(tokenizer, text), repr(text)
+
+
+def test_an_encoder_is_at_hand_while_the_timer_empties_the_memory():
+    path = public_tokenizers.path(FILES[0])
+    with tokens.encoder(path):
+        pass
+    with tokens.encoder(path) as own:
+        tokens._forget()
+        assert own.encode("a b") == Encoder(path).encode("a b")
