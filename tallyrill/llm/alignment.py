@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrill.llm.store import FileStore, written
+from tallyrill.llm.store import FileStore, tidy, written
 from tallyrill.llm.tokens import _byte_letters, _regular
 
 #: Records held before a run is written.
@@ -448,7 +448,7 @@ def aligned(
 ) -> tuple[DataFrame, DataFrame]:
     """The tables of run frames and of merged frames: all records and all counts are in the store."""
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    runs = written(rows.mapInArrow(_write_runs(store, a_path, b_path), _FRAME_DDL), "runs")
+    runs = written(rows.mapInArrow(tidy(_write_runs(store, a_path, b_path)), _FRAME_DDL), "runs")
     return runs, merge_runs(runs, store)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import _parse_datatype_string
 
-from tallyrill.llm.store import FileStore, written
+from tallyrill.llm.store import FileStore, tidy, written
 from tallyrill.llm.words import PUNCTUATION, chunks, grams, grams_at, hashes, spans
 
 WINDOW = 10
@@ -257,7 +257,7 @@ def find_windows(
     store, blocks = _written_blocks(docs.sparkSession, benchmark, window, item_id, item_text)
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), docs[text].alias("text"))
     schema = T.StructType([rows.schema["row"], *_parse_datatype_string(f"n_words long, spans {_SPANS_DDL}, items array<bigint>").fields])
-    out = rows.mapInArrow(_find(store, blocks), schema)
+    out = rows.mapInArrow(tidy(_find(store, blocks)), schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return out.select("row", "n_words", hit.alias("n_hit"), "spans", "items")
 
@@ -273,10 +273,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
     """The rows of ``docs`` without any benchmark window. Only the text goes to Python, only a number comes back."""
     store, blocks = _written_blocks(docs.sparkSession, benchmark, WINDOW, "item_id", "text")
 
-    @F.pandas_udf("long")
-    def n_spans(texts: pd.Series) -> pd.Series:
-        return pd.Series([len(s) for s in search(pa.array(texts, pa.string(), from_pandas=True), store, blocks)[1]])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([len(s) for s in search(pa.array(texts, pa.string(), from_pandas=True), store, blocks)[1]])
 
+    n_spans = F.pandas_udf(tidy(run), "long")
     return docs.where(n_spans(docs[text]) == 0)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrill.llm.gram_join import _bitmap
-from tallyrill.llm.store import written
+from tallyrill.llm.store import tidy, written
 from tallyrill.llm.words import mix, utf8
 
 LENGTH = 400
@@ -348,7 +348,7 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = LENGTH,
     Spans are pairs of first byte and end, as found, in no order; they may overlap. Texts without any are left out.
     """
     named = _named(docs, text)
-    places = written(named.mapInArrow(_cut_task(length, gram), _PLACES_DDL), "places")
+    places = written(named.mapInArrow(tidy(_cut_task(length, gram)), _PLACES_DDL), "places")
     anchors = places.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("h1").alias("low"), F.max("h1").alias("high"))
     anchors = anchors.where("n > 1").select("anchor", F.expr("low <> high").alias("mixed"), (F.col("n") > hot).alias("hot"),
@@ -359,7 +359,7 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", length: int = LENGTH,
     # Only anchors with different segments need their bytes; the few others that pass the filter are found alike or alone.
     key = F.col("anchor").alias("key")
     mixed, often = anchors.where("mixed").select(key), anchors.where("mixed and hot").select(key)
-    task = _fetch_task(length, gram, _bitmap(mixed), _bitmap(often))
+    task = tidy(_fetch_task(length, gram, _bitmap(mixed), _bitmap(often)))
     fetched = named.select("text").mapInArrow(task, _SEGMENT_DDL)
     some_hot = not often.isEmpty()
     fetched = written(fetched, "segments") if some_hot else fetched

@@ -6,11 +6,16 @@ of them count, so what lost or repeated attempts leave behind is never read.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +30,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _release() -> None:
+    """Give back to the system what this Python worker has freed: it lives on for tasks of any kind."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)
+
+
+def tidy(task: Callable) -> Callable:
+    """The task over batches, which gives back what it has freed when it ends."""
+
+    @wraps(task)  # with its type hints
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            _release()
+
+    return run
+
+
 #: Bytes of files that one task reads back, about.
 READ_BYTES = 64 << 20
 

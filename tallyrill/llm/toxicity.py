@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyrill.llm.store import tidy
 from tallyrill.llm.words import PUNCTUATION, chunks, hashes, mix, spans
 
 #: Labelled rows that are learned from, about; the fold that is never learned from.
@@ -144,7 +145,7 @@ def _contexts(block) -> object:
                         continue
                     p = np.minimum(np.searchsorted(keys[n], x), len(keys[n]) - 1)
                     known = keys[n][p] == x
-                    seen = np.unique(p[known] * CONTEXTS + kinds[known])
+                    seen = p[known] * CONTEXTS + kinds[known]
                     np.bitwise_or.at(bits[n].reshape(-1), seen >> 3, (1 << (seen & 7)).astype(np.uint8))
         for n, b in enumerate(bits):
             held = np.flatnonzero(b.any(axis=1))
@@ -167,15 +168,15 @@ def distinct(classes: np.ndarray) -> np.ndarray:
 def _scores(block) -> object:
     """A column function: features and score of texts."""
 
-    @F.pandas_udf("mean double, run double, top double, score double")
-    def test(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = block.value
-        column = pa.array(texts, pa.string(), from_pandas=True)
-        rows = np.concatenate([np.zeros((0, 3))] + [features(model, raw, at) for _, raw, at in chunks(column)])
-        score = np.zeros(len(rows)) if model.curve is None else curve(model.curve, rows)
-        return pd.DataFrame({"mean": rows[:, 0], "run": rows[:, 1], "top": rows[:, 2], "score": score})
+        for texts in batches:
+            column = pa.array(texts, pa.string(), from_pandas=True)
+            rows = np.concatenate([np.zeros((0, 3))] + [features(model, raw, at) for _, raw, at in chunks(column)])
+            score = np.zeros(len(rows)) if model.curve is None else curve(model.curve, rows)
+            yield pd.DataFrame({"mean": rows[:, 0], "run": rows[:, 1], "top": rows[:, 2], "score": score})
 
-    return test
+    return F.pandas_udf(tidy(run), "mean double, run double, top double, score double")
 
 
 def features(model: Model, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -262,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     marks = F.broadcast(marks.groupBy("id").agg(F.least(F.max("toxic"), F.lit(1)).alias("toxic")))
     rows = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].alias("text")).join(marks, "id")
 
-    counted = rows.where(fold(F.col("id")) != CURVE).select("text", "toxic").mapInArrow(_count, _COUNTED_DDL)
+    counted = rows.where(fold(F.col("id")) != CURVE).select("text", "toxic").mapInArrow(tidy(_count), _COUNTED_DDL)
     counted = counted.groupBy("level", "hash").agg(
         F.max("parent").alias("parent"), *[F.sum(c).cast("int").alias(c) for c in BOTH])
     counted = counted.cache()
@@ -284,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     model = Model([t["hash"] for t in table])
     keys = sc.broadcast(model.keys)
     # The classes that precede an expression anywhere come together as bits; the driver gets a number for each known one.
-    seen = docs.select(docs[text].alias("text")).mapInArrow(_contexts(keys), _BITS_DDL)
+    seen = docs.select(docs[text].alias("text")).mapInArrow(tidy(_contexts(keys)), _BITS_DDL)
     numbers = [f"b{i}" for i in range(CONTEXTS // 64)]
     seen = seen.groupBy("level", "place").agg(*[F.bit_or(c).alias(c) for c in numbers])
     seen = seen.select("level", "place", sum((F.bit_count(c) for c in numbers), F.lit(0)).cast("int").alias("n")).toArrow()
