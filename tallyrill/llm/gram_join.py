@@ -8,16 +8,19 @@ hold them, rare ones first:
 1. Rows with the same set become one class. One shuffle of packed tokens finds which tokens only one
    class holds; a class with more than 25 % of those links with nothing and is done.
 2. For the rest, tokens are counted again. Prefixes are indexed by single tokens if at most FREQUENT
-   classes hold them, else by combinations of two tokens of the prefix.
+   classes hold them, else by combinations of two tokens of the prefix. Frequent tokens that the same classes have in their
+   prefixes (those of a template) are one group, so a combination is one of two groups, or of a group with itself.
 3. Every class is first verified against the most central class of some of its tokens; what links
    is contracted. Exact candidates are then sought only between different components, so
    large groups of near copies never meet pair by pair, and every candidate is verified on whole sets.
 
-Sets are 64-bit hashes of shingles and classes 64 bits of a digest of the set: two different ones
-are taken for the same with a chance of about 2**-64 per pair. All other steps are exact.
+Sets are 64-bit hashes of shingles: two different ones are taken for the same with a chance of about 2**-64 per pair. Classes
+are known by half of a 128-bit digest of the set, and by the other half where two sets share the first. Groups of tokens are told apart
+by 128 bits of hashes of their classes. All other steps are exact. Frequent tokens are dealt to SALTS parts in joins.
 
 Nulls: a null text has no words; a row with a null id gets the smallest id of its class, or null.
-Texts without words link with nothing. Repeated rows share a class. An empty table gives no rows.
+Texts without words link with nothing. Repeated rows share a class. Very long texts are shingled whole. An empty
+table gives no rows. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyrill.llm.links import components
-from tallyrill.llm.store import written
+from tallyrill.llm.store import tidy, written
 from tallyrill.llm.words import shingle_sets
 
 SHINGLE = 5
@@ -46,6 +49,8 @@ FILTER_BITS = 1 << 27
 #: Tokens a task packs before it sends them, and tokens of one bucket, both about.
 FLUSH = 1 << 20
 BUCKET = 1 << 20
+#: Parts of a frequent token in a join.
+SALTS = 32
 #: Classes whose counts are added up together, about.
 RANGE = 1 << 14
 
@@ -53,9 +58,17 @@ _PACKED = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("counts", p
 _PACKED_DDL = "bucket long, keys binary, counts binary, tokens binary"
 
 
-def class_key(tokens: np.ndarray) -> int:
-    """64 bits of a digest of a set; never 0, which marks "several classes" below."""
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True) or 1
+def class_keys(tokens: np.ndarray) -> tuple[int, int]:
+    """Two halves of a digest of a set; never 0, which marks "several classes" below."""
+    digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+    one, two = (int.from_bytes(digest[i : i + 8], "little", signed=True) or 1 for i in (0, 8))
+    return one, two
+
+
+def class_key(tokens: np.ndarray, shared: frozenset[int] = frozenset()) -> int:
+    """The key of a set's class: half of its digest, the other half if several sets share the first."""
+    one, two = class_keys(tokens)
+    return two if one in shared else one
 
 
 def _least(n: Column) -> Column:
@@ -69,10 +82,11 @@ def _describe(k: int):
             sizes, keys = [], []
             for _, tokens in shingle_sets(batch.column(1), k):
                 sizes.append(len(tokens))
-                keys.append(class_key(tokens) if len(tokens) else None)
+                keys.append(class_keys(tokens) if len(tokens) else (None, None))
             yield pa.record_batch(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())],
-                names=["doc_id", "n_shingles", "key"])
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()),
+                 *[pa.array(x, pa.int64()) for x in (list(zip(*keys)) or [[], []])]],
+                names=["doc_id", "text_key", "n_shingles", "key", "check"])
 
     return run
 
@@ -135,12 +149,12 @@ class _Sender:
         ], schema=_PACKED)
 
 
-def _send_texts(k: int, bits: int):
+def _send_texts(k: int, bits: int, shared: frozenset[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender, seen = _Sender(bits, 2, False), set()
         for batch in batches:
             for _, tokens in shingle_sets(batch.column(0), k):
-                key = class_key(tokens)
+                key = class_key(tokens, shared)
                 if len(tokens) and key not in seen:
                     seen.add(key)
                     if sender.add(key, tokens):
@@ -257,7 +271,7 @@ def _may_hold(bitmap):
     return test
 
 
-def _texts_of(k: int, bitmap):
+def _texts_of(k: int, bitmap, shared: frozenset[int]):
     """(key, text) of rows whose class passes the filter, once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +279,7 @@ def _texts_of(k: int, bitmap):
         for batch in batches:
             keys, places = [], []
             for i, tokens in shingle_sets(batch.column(0), k):
-                key = class_key(tokens)
+                key = class_key(tokens, shared)
                 place = key & (len(words) * 32 - 1)
                 if len(tokens) and key not in seen and int(words[place >> 5]) >> (place & 31) & 1:
                     seen.add(key)
@@ -313,14 +327,27 @@ def _prefixes(key: tuple, found: pa.Table, sizes: pa.Table) -> pa.Table:
             continue
         use = np.lexsort((mine, many))[: longer - own]
         out.append((name, n, own, max(0, n - longer), int((many[use] > FREQUENT).sum()),
-                    mine[:STAR].view(np.int64), mine[use].view(np.int64)))
-    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
-    columns = list(zip(*out)) or [[]] * 7
+                    mine[:STAR].view(np.int64), many[:STAR] > FREQUENT, mine[use].view(np.int64)))
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())]
+    columns = list(zip(*out)) or [[]] * 8
     return pa.table(
-        [pa.array(c, t) for c, t in zip(columns, kinds)], names=["key", "n", "own", "rest", "often", "star", "prefix"])
+        [pa.array(c, t) for c, t in zip(columns, kinds)],
+        names=["key", "n", "own", "rest", "often", "star", "hot", "prefix"])
+
+
+_PREFIX_DDL = ("key long, n long, own long, rest long, often long, star array<long>, hot array<boolean>, "
+               "prefix array<long>")
+
+
+def _salt(hot: str) -> Column:
+    """A class's part of a token: one for rare tokens, SALTS for frequent ones."""
+    return F.when(F.col(hot), F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt")
 
 
-_PREFIX_DDL = "key long, n long, own long, rest long, often long, star array<long>, prefix array<long>"
+def _salted(tokens: DataFrame, hot: str) -> DataFrame:
+    """One row per token, once for every part of it."""
+    last = F.when(F.col(hot), SALTS - 1).otherwise(0)
+    return tokens.withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop(hot)
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +365,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     x = sets.select(F.col("key").alias("u"), F.col("tokens").alias("x"))
     y = sets.select(F.col("key").alias("v"), F.col("tokens").alias("y"))
-    return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(_links, "u long, v long")
+    return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(tidy(_links), "u long, v long")
 
 
 def _need(both: Column) -> Column:
@@ -350,28 +377,37 @@ def _may_link(a: str, b: str, before: int = 0) -> Column:
     """Sizes and places allow a link: with so many shared tokens before this one, what follows must suffice."""
     na, nb, pa_, pb = (F.col(f"{s}.{c}") for c in ("n", "place") for s in (a, b))
     enough = F.least(na - pa_, nb - pb) >= _need(na + nb) - before
-    return enough & (F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT)
+    # What only one class holds is shared with none.
+    shared = F.least(na - F.col(f"{a}.own"), nb - F.col(f"{b}.own")) >= _need(na + nb)
+    return enough & shared & (F.least(na, nb) * 100 >= F.greatest(na, nb) * PERCENT)
 
 
 def _stars(prefixes: DataFrame) -> DataFrame:
     """Pairs of each star token's most central class, the one with fewest tokens of its own, with its others."""
-    entries = prefixes.select(F.explode("star").alias("token"), "key", "n", "own")
-    centre = entries.groupBy("token").agg(F.min(F.struct("own", "key", "n")).alias("a"), F.count("*").alias("size"))
-    centre = centre.where("size > 1").select("token", "a")
-    pairs = entries.alias("b").join(centre, "token").where(F.col("a.key") != F.col("b.key"))
+    star = F.explode(F.arrays_zip("star", "hot")).alias("s")
+    entries = prefixes.select(star, "key", "n", "own").select(
+        F.col("s.star").alias("token"), F.col("s.hot").alias("hot"), "key", "n", "own")
+    centre = entries.groupBy("token").agg(
+        F.min(F.struct("own", "key", "n")).alias("a"), F.count("*").alias("size"), F.max("hot").alias("hot"))
+    centre = _salted(centre.where("size > 1").select("token", "a", "hot"), "hot")
+    entries = entries.withColumn("salt", _salt("hot")).drop("hot")
+    pairs = entries.alias("b").join(centre, ["token", "salt"]).where(F.col("a.key") != F.col("b.key"))
+    both = F.col("a.n") + F.col("b.n")
     pairs = pairs.where(F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * PERCENT)
+    pairs = pairs.where(F.least(F.col("a.n") - F.col("a.own"), F.col("b.n") - F.col("b.own")) >= _need(both))
     return pairs.select(*_pair()).distinct()
 
 
 def _entries(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
     """The index entries under which more than one component meets."""
     whole = prefixes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    entries = whole.select(F.posexplode("prefix").alias("i", "token"), "key", "label")
-    mixed = entries.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    met = entries.join(mixed.where("low <> high").select("token"), "token", "left_semi")
-    return met.drop("label").join(whole, "key").select(
-        "token", "key", "label", "n", "rest", "often", (F.col("own") + F.col("i")).alias("place"),
-        (F.col("i") >= F.size("prefix") - F.col("often")).alias("frequent"))
+    frequent = F.col("i") >= F.size("prefix") - F.col("often")
+    entries = whole.select(F.posexplode("prefix").alias("i", "token"), "key", "label", "n", "own", "rest", "often", "prefix").select(
+        "token", "key", "label", "n", "own", "rest", "often", (F.col("own") + F.col("i")).alias("place"), frequent.alias("frequent"))
+    mixed = entries.groupBy("token").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max("frequent").alias("hot"))
+    mixed = _salted(mixed.where("low <> high").select("token", "hot"), "hot")
+    return entries.withColumn("salt", _salt("frequent")).join(mixed, ["token", "salt"], "left_semi").drop("salt")
 
 
 def _mixed(entries: DataFrame, *on: str) -> DataFrame:
@@ -404,11 +440,25 @@ def _rare(entries: DataFrame) -> DataFrame:
 
 def _frequent(entries: DataFrame) -> DataFrame:
     """Pairs whose prefixes share two frequent tokens at least, and no rare one."""
-    both = _combinations(_mixed(entries, "token").drop("main"))
+    both = _combinations(_grouped(entries))
     room = _may_link("a", "b", 1) & (_bound() >= 0)
     return _across(_mixed(both, "one", "two"), ["one", "two"], room).select(*_pair()).distinct()
 
 
+def _grouped(entries: DataFrame) -> DataFrame:
+    """For each class its groups of tokens that the same classes have, with the places of a group's first two.
+
+    Of such tokens two prefixes share all or none.
+    """
+    holders = entries.groupBy("token").agg(
+        F.sum(F.xxhash64("key").cast("decimal(38,0)")).alias("h1"), F.sum(F.xxhash64(F.lit(3), "key").cast("decimal(38,0)")).alias("h2"),
+        F.max("frequent").alias("hot"))
+    holders = holders.select("token", F.struct("h1", "h2").alias("group"), "hot")
+    named = entries.withColumn("salt", _salt("frequent")).join(_salted(holders, "hot"), ["token", "salt"])
+    return named.groupBy("key", "n", "own", "label", "often", "rest", "group").agg(
+        F.sort_array(F.collect_list("place")).alias("places"))
+
+
 def _bound() -> Column:
     """What a and b can share besides rare tokens of their prefixes, less what they must share.
 
@@ -419,33 +469,40 @@ def _bound() -> Column:
             - _need(F.col("a.n") + F.col("b.n")))
 
 
-def _combinations(entries: DataFrame) -> DataFrame:
-    """Two tokens of a prefix as one index entry, at the place of the second."""
-    lists = entries.groupBy("key", "n", "label", "often", "rest").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("list"))
-    first = lists.select("key", "n", "label", "often", "rest", "list", F.posexplode("list").alias("i", "first"))
-    both = first.select("key", "n", "label", "often", "rest", "first", F.explode(F.expr("slice(list, i + 2, size(list))")).alias("second"))
-    return both.select("key", "n", "label", "often", "rest", "second.place", F.col("first.token").alias("one"), F.col("second.token").alias("two"))
+def _combinations(groups: DataFrame) -> DataFrame:
+    """Two tokens of a prefix, by their groups, as one index entry at the place of the second."""
+    of = ["key", "n", "own", "label", "often", "rest"]
+    listed = F.sort_array(F.collect_list(F.struct(F.get("places", 0).alias("place"), "group", F.get("places", 1).alias("second"))))
+    lists = groups.groupBy(*of).agg(listed.alias("list"))
+    first = lists.select(*of, "list", F.posexplode("list").alias("i", "first"))
+    own = F.when(F.col("first.second").isNotNull(), F.array(F.struct(F.col("first.second").alias("place"), F.col("first.group").alias("group"))))
+    later = F.transform(F.expr("slice(list, i + 2, size(list))"), lambda x: F.struct(x["place"].alias("place"), x["group"].alias("group")))
+    second = F.explode(F.concat(F.coalesce(own, F.filter(later, lambda _: F.lit(False))), later)).alias("second")
+    both = first.select(*of, "first", second)
+    return both.select(*of, "second.place", F.col("first.group").alias("one"), F.col("second.group").alias("two"))
 
 
-def near_links(docs: DataFrame, described: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+def near_links(
+    docs: DataFrame, described: DataFrame, classes: DataFrame, k: int, shared: frozenset[int] = frozenset()
+) -> DataFrame:
     """Links (u, v) between class keys whose components are those of all links."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
-    sent = docs.select("text").mapInArrow(_send_texts(k, _bits(total, partitions)), _PACKED_DDL)
+    sent = docs.select("text").mapInArrow(tidy(_send_texts(k, _bits(total, partitions), shared)), _PACKED_DDL)
     ranges = 1 << max(1, (partitions - 1).bit_length(), (classes.count() // RANGE).bit_length())
     found = sent.groupBy("bucket").applyInArrow(_shared_counts(ranges), _PACKED_DDL)
     repeated = found.groupBy("bucket").applyInArrow(_sum_counts, "key long, n_found long")
     asked = classes.join(repeated, "key").where(F.col("n_found") >= _least(F.col("n"))).select("key")
     asked = written(asked, "asked")
 
-    likely = docs.select("text").mapInArrow(_texts_of(k, _bitmap(asked)), "key long, text string")
+    likely = docs.select("text").mapInArrow(tidy(_texts_of(k, _bitmap(asked), shared)), "key long, text string")
     wanted = likely.join(asked, "key").groupBy("key").agg(F.first("text").alias("text"))
-    sets = written(wanted.mapInArrow(_sets_of(k), "key long, n long, tokens binary"), "sets")
+    sets = written(wanted.mapInArrow(tidy(_sets_of(k)), "key long, n long, tokens binary"), "sets")
 
     total = sets.agg(F.sum("n")).first()[0] or 0
-    sent = sets.select("key", "tokens").mapInArrow(_send_sets(_bits(total, partitions)), _PACKED_DDL)
+    sent = sets.select("key", "tokens").mapInArrow(tidy(_send_sets(_bits(total, partitions))), _PACKED_DDL)
     held = sent.groupBy("bucket").applyInArrow(_held(ranges), _PACKED_DDL)
     sizes = sets.select(F.col("key").bitwiseAND(F.lit(ranges - 1)).alias("bucket"), "key", "n")
     prefixes = written(
@@ -461,41 +518,58 @@ def near_links(docs: DataFrame, described: DataFrame, classes: DataFrame, k: int
 
 def similar_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest id reachable over links, for every row."""
+    return _groups(docs, doc_id, text, k).select("doc_id", "n_shingles", "component_id")
+
+
+def _groups(docs: DataFrame, doc_id: str, text: str, k: int = SHINGLE) -> DataFrame:
+    """The same, with a hash of the text and the label of the component, which it has without an id too."""
     docs = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    described = written(docs.mapInArrow(_describe(k), "doc_id long, n_shingles long, key long"), "described")
+    described = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+        tidy(_describe(k)), "doc_id long, text_key long, n_shingles long, key long, check long")
+    described = written(described, "described")
+    # Halves of digests that different sets share: about three of ten billion sets.
+    halves = described.groupBy("key").agg(F.min("check").alias("low"), F.max("check").alias("high"))
+    shared = frozenset(r["key"] for r in halves.where("low <> high").select("key").collect())
+    key = F.when(F.col("key").isin(*shared), F.col("check")).otherwise(F.col("key")) if shared else F.col("key")
+    described = described.select("doc_id", "text_key", "n_shingles", key.alias("key"))
     classes = described.where("key is not null").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"))
     classes = written(classes, "classes")
-    labels = written(components(near_links(docs, described, classes, k)), "labels")
+    labels = written(components(near_links(docs, described, classes, k, shared)), "labels")
     lowest = classes.join(labels, "key").groupBy("label").agg(F.min("rep").alias("lowest"))
-    lowest = labels.join(lowest, "label").select("key", "lowest")
-    named = classes.join(lowest, "key", "left")
-    named = written(named.select("key", F.coalesce("lowest", "rep").alias("component_id")), "named")
-    return described.join(named, "key", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    lowest = labels.join(lowest, "label").select("key", "label", "lowest")
+    named = classes.join(lowest, "key", "left").select(
+        "key", F.coalesce("label", "key").alias("label"), F.coalesce("lowest", "rep").alias("component_id"))
+    return described.join(written(named, "named"), "key", "left").select(
+        "doc_id", "text_key", "n_shingles", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, each text of it once.
+    """One row of ``docs`` for each component: that with the smallest id, rows without an id last.
 
-    Rows without an id, and texts without words, are all kept: nothing is known to be like them.
+    Of several texts of it with that id the one with the smallest hash stays, of rows alike in both any one. Texts without words are all
+    kept: they are like nothing. A row goes by its own text, whatever other rows have its id.
     """
-    groups = similar_groups(docs, doc_id=doc_id, text=text)
-    stay = groups.where("n_shingles > 0 and doc_id = component_id").select(F.col("doc_id").alias("stay")).distinct()
-    alone = groups.where("n_shingles = 0 and doc_id is not null").select(F.col("doc_id").alias("stay")).distinct()
-    stay = written(stay.withColumn("words", F.lit(True)).unionByName(alone.withColumn("words", F.lit(False))), "stay")
-    # Only rows that may go, or whose id is there again, are shuffled; a bounded filter finds them.
-    again = groups.where("doc_id is not null").groupBy("doc_id").agg(
-        F.count("*").alias("rows"), F.max(F.expr("n_shingles > 0 and doc_id <> component_id")).alias("goes"))
-    doubtful = written(again.where("rows > 1 or goes").select(F.xxhash64("doc_id").alias("key")), "doubtful")
-    doubt = _may_hold(_bitmap(doubtful))
-    has_words = F.coalesce(docs[text], F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    rows = docs.select(F.struct("*").alias("row"), docs[doc_id].cast("long").alias("id"), has_words.alias("words"))
-    rows = rows.withColumn("doubt", F.col("id").isNotNull() & doubt(F.xxhash64("id")))
-    kept = rows.where("doubt").join(stay, (F.col("id") == F.col("stay")) & (rows["words"] == stay["words"]), "left_semi")
-    # Repeated rows: the join has brought the rows of one id together already.
-    turn = F.row_number().over(Window.partitionBy("id", F.xxhash64(F.col("row").getField(text))).orderBy(F.lit(0)))
-    kept = kept.withColumn("turn", F.when(F.col("words"), turn).otherwise(1)).where("turn = 1")
+    groups = written(_groups(docs, doc_id, text).where("n_shingles > 0"), "groups")
+    first = groups.groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"), F.count("*").alias("n"))
+    several = written(first.where("n > 1"), "several")
+    # Only rows of components with several are shuffled; a bounded filter finds them.
+    members = groups.join(several.select("label"), "label", "left_semi")
+    row_key = F.xxhash64("doc_id", "text_key").alias("key")
+    doubt = _may_hold(_bitmap(members.select(row_key).distinct()))
+    stay = several.select(F.col("first.doc_id").alias("doc_id"), F.col("first.text_key").alias("text_key"))
+    rows = docs.select(F.struct("*").alias("row"), docs[doc_id].cast("long").alias("doc_id"), F.xxhash64(docs[text]).alias("text_key"))
+    rows = rows.withColumn("doubt", doubt(F.xxhash64("doc_id", "text_key")))
+    # What a component has, and whether it is the one to stay.
+    marked = members.select("doc_id", "text_key", F.lit(0).alias("stays")).unionByName(stay.withColumn("stays", F.lit(1)))
+    marked = marked.groupBy("doc_id", "text_key").agg(F.max("stays").alias("stays"))
+    marked = marked.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "stays")
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & F.col("text_key").eqNullSafe(F.col("of_key"))
+    found = rows.where("doubt").join(marked, same, "left")
+    turn = F.row_number().over(Window.partitionBy("doc_id", "text_key", "stays").orderBy(F.xxhash64("row")))
+    found = found.withColumn("turn", F.when(F.col("stays") == 1, turn).otherwise(1))
+    kept = found.where("stays is null or stays = 1 and turn = 1")
     return kept.select("row.*").unionByName(rows.where("not doubt").select("row.*"))
 
 

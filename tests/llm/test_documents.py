@@ -92,7 +92,47 @@ def test_one_of_each_group_stays(spark, docs):
     kept = gram_join.one_of_each(docs(rows))
     assert kept.columns == docs([]).columns
     got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
-    assert got == sorted([(1, "A b c d e f"), (None, "a b c d e f"), (9, None), (8, ""), (8, ""), (5, "own text")], key=repr)
+    assert got == sorted([(1, "A b c d e f"), (9, None), (8, ""), (8, ""), (5, "own text")], key=repr)
+
+
+def test_rows_without_an_id_and_ids_with_several_texts(spark, docs):
+    one, two, three = "a b c d e f", "k l m n o p", "q r s t u v"
+    rows = [(None, one), (None, one.upper()), (2, two), (2, three), (1, three), (2, two), (4, "alone here"), (None, ""), (None, None)]
+    got = sorted(((r["doc_id"], r["text"]) for r in gram_join.one_of_each(docs(rows)).collect()), key=repr)
+    assert got[:3] == [(1, three), (2, two), (4, "alone here")]
+    assert len(got) == 6 and sum(t in (one, one.upper()) for _, t in got) == 1
+
+
+def test_halves_of_digests_that_sets_share(spark, docs, monkeypatch):
+    tokens = np.array([1, 2], np.uint64)
+    one, two = gram_join.class_keys(tokens)
+    assert gram_join.class_key(tokens) == one and gram_join.class_key(tokens, frozenset([one])) == two
+
+
+def test_texts_of_one_template_are_not_tried_in_pairs_of_tokens(spark, docs, monkeypatch):
+    """A thousand texts with most of their words in common, too unlike to link."""
+    r = random.Random(12)
+    template = " ".join(f"t{i}" for i in range(200))
+    rows = [(i, template + " " + " ".join(f"x{i}y{j}" for j in range(r.randint(35, 45)))) for i in range(1000)]
+    rows += [(5000, rows[7][1]), (5001, rows[8][1] + " more")]
+    made = {}
+    combinations, verified = gram_join._combinations, gram_join._verified
+
+    def counted(groups):
+        out = combinations(groups)
+        made["entries"] = out.count()
+        return out
+
+    def tried(pairs, sets):
+        made["pairs"] = made.get("pairs", 0) + pairs.count()
+        return verified(pairs, sets)
+
+    monkeypatch.setattr(gram_join, "_combinations", counted)
+    monkeypatch.setattr(gram_join, "_verified", tried)
+    got = gram_join.similar_groups(docs(rows).repartition(3)).collect()
+    assert {x["doc_id"]: x["component_id"] for x in got if x["component_id"] != x["doc_id"]} == {5000: 7, 5001: 8}
+    # Some groups of tokens for the template, not the pairs of its tokens in a prefix, which would be hundreds a text.
+    assert made["entries"] < 15 * len(rows) and made["pairs"] < 5 * len(rows), made
 
 
 # Benchmark windows
