@@ -90,12 +90,18 @@ class FileStore:
         return fs.open_input_file(f"{folder}/{name}")
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this library's Python files to the executors, once per application.
 
     Tasks import it by name; Spark serves the archive, so no folder need be shared or installed.
+    Whole texts also want smaller Arrow batches than Spark's own; a session that has set theirs keeps it.
     """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH, "") in ("67108864b", "64MB"):
+        spark.conf.set(_BATCH, "8m")
     if getattr(sc, "_tallyrill_shipped", False):
         return
     package = Path(tallyrill.__file__).resolve().parent
