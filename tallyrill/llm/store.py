@@ -100,7 +100,7 @@ def ship(spark: SparkSession) -> None:
     Whole texts also want smaller Arrow batches than Spark's own; a session that has set theirs keeps it.
     """
     sc = spark.sparkContext
-    if spark.conf.get(_BATCH, "") in ("67108864b", "64MB"):
+    if spark.conf.get(_BATCH) == "67108864b":  # as Spark has it
         spark.conf.set(_BATCH, "8m")
     if getattr(sc, "_tallyrill_shipped", False):
         return
