@@ -13,7 +13,8 @@ comes to the driver is as large as the model times the parts, whatever the size
 
 Nulls: a null or empty text has no features and gets the grade that thresholds alone give. Rows of
 labels with a null are left out; of several labels for an id the lowest counts. A null id is never
-held out. Repeated rows are graded alike. Without labelled rows every text gets grade 0.
+held out. Repeated rows are graded alike. Very long texts are graded whole.
+Ties in a grade stay. Without labelled rows every text gets grade 0; an empty table of documents gives no rows.
 """
 
 from __future__ import annotations

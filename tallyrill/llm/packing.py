@@ -7,7 +7,7 @@ and is emitted. The windows left open at the end of the tasks are merged by the
 groups of tasks, then groups of groups, so no task ever sees more than a fixed number of them.
 
 Nulls: a null text is empty and gives the end id alone; null ids are kept. Repeated rows are packed
-each on their own. An empty table gives no pieces. Other columns are ignored, whatever their names.
+each on their own. A very long text fills many windows, one after the other. Ties go to the window opened first. An empty table gives no pieces. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 from tallyrill.llm import token_files as TF
 from tallyrill.llm import tokens
 from tallyrill.llm.packing import pack
-from tallyrill.llm.store import FileStore
+from tallyrill.llm.store import READ_BYTES, FileStore, reading_tasks
 from tallyrill.llm.tokens import Encoder
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
@@ -169,3 +169,34 @@ def test_an_encoder_is_at_hand_while_the_timer_empties_the_memory():
     with tokens.encoder(path) as own:
         tokens._forget()
         assert own.encode("a b") == Encoder(path).encode("a b")
+
+
+def test_pieces_are_where_they_say(spark, docs):
+    """Each piece against the ids that the library gives its whole document."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = [None, "", "one", "x" * 9000, "é 日本 " * 700, *[f"word{i} " * (i * 37 % 400) + "end" for i in range(60)]]
+    pieces = pack(docs(list(enumerate(texts))).repartition(4), path, window=256, open_windows=3, with_ids=True).collect()
+    sequences = {}
+    for p in pieces:
+        whole = ids(tokenizer, texts[p["doc_id"]]) + [0]
+        part = whole[p["start"] : p["start"] + p["length"]]
+        assert np.frombuffer(p["ids"], "<u4").tolist() == part and len(part) == p["length"] > 0
+        assert p["ids_crc32"] == zlib.crc32(p["ids"]) and p["doc_tokens"] == len(whole)
+        sequences.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+    for doc, text in enumerate(texts):
+        mine = sorted((p["start"], p["length"]) for p in pieces if p["doc_id"] == doc)
+        assert [a for a, _ in mine] == [sum(n for _, n in mine[:i]) for i in range(len(mine))]
+        assert sum(n for _, n in mine) == len(ids(tokenizer, text)) + 1
+    for parts in sequences.values():
+        assert [a for a, _ in sorted(parts)] == [sum(n for _, n in sorted(parts)[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) <= 256
+
+
+def test_files_are_read_back_in_tasks_by_their_size(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    assert reading_tasks(spark, 0, 0) == 1 and reading_tasks(spark, 1, 1 << 40) == 1
+    assert reading_tasks(spark, 1 << 20, 0) == cores and reading_tasks(spark, 1 << 20, 1 << 40) == (1 << 40) // READ_BYTES
+    files = spark.createDataFrame([(i, f"f{i}", 1, 1) for i in range(50)], "part long, file string, n_docs long, n_ids long")
+    plan = TF.read_tokens(files, FileStore(str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+    assert f", {cores}), REPARTITION_BY_NUM" in plan
