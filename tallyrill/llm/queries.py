@@ -59,6 +59,8 @@ QUERIES = {name: shipped(query) for name, query in _QUERIES.items()}
 
 ORACLES: dict[str, str] = {
     "op10_gram_jaccard_join": gram_join.ORACLE,
+    "op12_column_wise_repeats": repeats.ORACLE,
+    "op13_conversation_repair": repair.ORACLE,
     "op2_wu_manber_windows": decontaminate.ORACLE,
     "op4_indexed_archives": warc.ORACLE,
     "op7_impact_ordered": impact_search.ORACLE,

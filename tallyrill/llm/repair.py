@@ -272,3 +272,68 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged by a hash of their rows, with the edits that mend them."""
     rows = damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return audits(repair(rows, FileStore.fresh(spark, "conversations"), present="present"))
+
+
+ORACLE = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+hashed AS (SELECT *, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(name, ''), lambda c: CAST(ord(c) AS UBIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), list_transform(range(8), lambda i: CAST(0 AS UBIGINT))),
+      lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS UBIGINT)) ELSE c // 2 END)), CAST(4294967295 AS UBIGINT)) % 20 AS fault
+  FROM src),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed WHERE fault <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM damaged),
+marked AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault FROM numbered),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) AS n
+  FROM marked GROUP BY conv_id),
+pairs AS (
+  SELECT conv_id, count(*) FILTER (following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT conv_id, initial, lead(initial) OVER (PARTITION BY conv_id ORDER BY i) AS following FROM marked) GROUP BY conv_id),
+steps AS (
+  -- From each state (nothing yet, behind a system, a user, an assistant turn): cost, edits, and what stays, from row i on.
+  SELECT conv_id, n + 1 AS i, n, {'c': 0, 'a': '', 't': ''} AS s0, {'c': 10, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'} AS s1,
+    {'c': 5, 'a': 'I', 't': chr(10) || 'assistant:'} AS s2, {'c': 0, 'a': '', 't': ''} AS s3 FROM counted
+  UNION ALL
+  SELECT conv_id, i, n,
+    list_sort([w0, {'c': 5 + u.c, 'a': 'I' || u.a, 't': chr(10) || 'user:' || u.t}])[1],
+    list_sort([w1, {'c': 5 + u.c, 'a': 'I' || u.a, 't': chr(10) || 'user:' || u.t}])[1], u, v
+  FROM (SELECT *, list_sort([w2, {'c': 5 + w3.c, 'a': 'I' || w3.a, 't': chr(10) || 'assistant:' || w3.t}])[1] AS u,
+      list_sort([w3, {'c': 5 + w2.c, 'a': 'I' || w2.a, 't': chr(10) || 'user:' || w2.t}])[1] AS v
+    FROM (SELECT s.conv_id, m.i, s.n,
+        list_sort([{'c': 2 + s0.c, 'a': 'D' || s0.a, 't': s0.t},
+          {'c': CASE WHEN gone OR initial NOT IN ('s', 'u') THEN 1000000000 ELSE cut + CASE initial WHEN 's' THEN s1.c ELSE s2.c END END,
+            'a': 'K' || CASE initial WHEN 's' THEN s1.a ELSE s2.a END, 't': chr(10) || role || ':' || text || CASE initial WHEN 's' THEN s1.t ELSE s2.t END},
+          {'c': CASE WHEN gone THEN 1000000000 ELSE 1 + cut + s2.c END, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t}])[1] AS w0,
+        list_sort([{'c': 2 + s1.c, 'a': 'D' || s1.a, 't': s1.t},
+          {'c': CASE WHEN gone OR initial <> 'u' THEN 1000000000 ELSE cut + s2.c END, 'a': 'K' || s2.a, 't': chr(10) || role || ':' || text || s2.t},
+          {'c': CASE WHEN gone THEN 1000000000 ELSE 1 + cut + s2.c END, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t}])[1] AS w1,
+        list_sort([{'c': 2 + s2.c, 'a': 'D' || s2.a, 't': s2.t},
+          {'c': CASE WHEN gone OR initial <> 'a' THEN 1000000000 ELSE cut + s3.c END, 'a': 'K' || s3.a, 't': chr(10) || role || ':' || text || s3.t},
+          {'c': CASE WHEN gone THEN 1000000000 ELSE 1 + cut + s3.c END, 'a': 'R' || s3.a, 't': chr(10) || 'assistant:' || text || s3.t}])[1] AS w2,
+        list_sort([{'c': 2 + s3.c, 'a': 'D' || s3.a, 't': s3.t},
+          {'c': CASE WHEN gone OR initial <> 'u' THEN 1000000000 ELSE cut + s2.c END, 'a': 'K' || s2.a, 't': chr(10) || role || ':' || text || s2.t},
+          {'c': CASE WHEN gone THEN 1000000000 ELSE 1 + cut + s2.c END, 'a': 'R' || s2.a, 't': chr(10) || 'user:' || text || s2.t}])[1] AS w3
+      FROM steps s JOIN (SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS cut FROM marked) m
+        ON m.conv_id IS NOT DISTINCT FROM s.conv_id AND m.i = s.i - 1))),
+done AS (SELECT conv_id, s0.c AS cost, s0.a AS audit, substr(s0.t, 2) AS kept FROM steps WHERE i = 1)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(kept, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN pairs p ON p.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM a.conv_id
+"""

@@ -429,3 +429,20 @@ def op12_column_wise_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of repeated 400-byte strings."""
     out = without_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT r, p, md5_number(substr(h, 2 * p + 1, 800)) AS k FROM (SELECT r, h, unnest(range(greatest(n - 399, 0))) AS p FROM d)),
+hit AS (SELECT r, p FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS i
+  FROM (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 400 THEN 0 ELSE 1 END AS new FROM hit)),
+s AS (SELECT r, i, min(p) AS a, max(p) + 400 AS b FROM g GROUP BY r, i),
+k AS (SELECT r, i, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY i), 0) AS before FROM s),
+x AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY i) AS head
+  FROM k JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN x USING (r)
+"""

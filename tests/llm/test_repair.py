@@ -4,6 +4,8 @@ import re
 import zlib
 from heapq import heappop, heappush
 
+import duckdb
+import pandas as pd
 import pytest
 
 from tallyrill.llm import repair as P
@@ -104,6 +106,14 @@ def test_like_brute_force(spark, rows):
     assert mended(spark, rows) == brute(rows)
 
 
+def test_sql_like_brute_force(rows):
+    frame = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"})
+    with duckdb.connect() as db:
+        db.register("conversations", frame)
+        found = db.sql(P.ORACLE).fetchall()
+    assert {r[0]: r[1:] for r in found} == brute(rows)
+
+
 def test_batches_and_spilled_rows_change_nothing(spark, rows, monkeypatch):
     monkeypatch.setattr(P, "HELD_ROWS", 3)
     monkeypatch.setattr(P, "_BATCH", 2)

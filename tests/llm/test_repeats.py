@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -110,6 +111,9 @@ def test_the_query_gives_digests_of_what_stays(spark, tmp_path):
     spark.createDataFrame([(1, text), (2, text[:420] + "?"), (3, None)], "doc_id long, text string").write.parquet(
         f"{tmp_path}/documents.parquet")
     rows = {r["doc_id"]: r for r in R.op12_column_wise_repeats(spark, str(tmp_path)).collect()}
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert sorted(db.sql(R.ORACLE).fetchall()) == sorted(tuple(r) for r in rows.values())
     assert rows[1]["kept_sha256"] == hashlib.sha256(text[420:].encode()).hexdigest()
     assert (rows[2]["n_removed"], rows[2]["n_spans"], rows[3]["n_bytes"]) == (420, 1, 0)
     assert rows[3]["kept_sha256"] == hashlib.sha256(b"").hexdigest()
