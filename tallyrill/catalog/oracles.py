@@ -192,6 +192,7 @@ ORACLES = {
     "st_active": _counts(BOTH, "5 seconds", "count(user_id) AS submissions_and_comments"),
     "st_replay": _counts(SUBMISSIONS, "5 seconds"),
     "st_restart": _P,
+    "st_generation": _P,
     "st_all": f"""
         SELECT *, 'submissions' AS measure FROM ({_counts(SUBMISSIONS, "5 seconds")})
         UNION ALL SELECT *, 'comments' FROM ({_counts(COMMENTS, "5 seconds")})
@@ -200,3 +201,5 @@ ORACLES = {
         f"SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM ({BOTH}) WHERE event_id > {HALF}"
     ),
 }
+ORACLES["st_roots"] = ORACLES["st_land"]
+ORACLES["overtaken_batch"] = ORACLES["speed_and_batch"]

@@ -6,6 +6,8 @@ layer over them and returns what the landed or serving tables then hold.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from tallyrill.functions.codec import decode
 from tallyrill.models import (
     COMMENT,
     SUBMISSION,
+    TRENDING,
     UNIQUE_ACTIVE,
     WINDOWED_COMMENTS,
     WINDOWED_SUBMISSIONS,
@@ -24,6 +27,7 @@ from tallyrill.plans.batch import current_ranking, run_batch
 from tallyrill.plans.layout import Job
 from tallyrill.plans.speed import (
     drain,
+    renew_full,
     run_speed,
     start_landing,
     start_stats,
@@ -31,6 +35,7 @@ from tallyrill.plans.speed import (
 from tallyrill.session import job_session, scratch, sweeping
 from tallyrill.sources import files
 from tallyrill.sources.landed import read_landed
+from tallyrill.sources.roots import roots
 from tallyrill.sources.topics import Topics
 
 
@@ -107,6 +112,28 @@ def st_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def st_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed in two waves of offsets, the second one in a root of its own, and read as one table."""
+    ev = b.events(spark, sf_dir)
+    job, streams = _job(spark, ev, root_batches=1), job_session(spark)
+    later = b.second_half(ev)
+    for wave in (ev.where(~later), ev.where(later)):
+        _feed(job, wave)
+        queries = start_landing(streams, job)
+        drain(queries)
+        renew_full(streams, job, queries)
+    _drop_topics(spark, job)
+    table = f"{job.landed}/submission"
+    if [root.number for root in roots(spark, table)] != [0, 1, 2]:
+        raise RuntimeError("landing did not go on in a new root")
+    rows = read_landed(spark, SUBMISSION, table)
+    return rows.select(
+        "id", "subreddit", "title", "selftext", "over_18", "offset", "partition",
+        F.col("created_utc").cast("timestamp_ntz").alias("created_utc"),
+        (F.col("offset_batch") == F.col("_offset_batch")).alias("same_bucket"),
+    )
+
+
 def st_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windowed submissions, all input in one wave."""
     ev = b.events(spark, sf_dir)
@@ -195,6 +222,23 @@ def st_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(spark, job, WINDOWED_SUBMISSIONS)
 
 
+def st_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second generation counts all input anew; the first one is refused from then on."""
+    ev = b.events(spark, sf_dir)
+    job, streams = _job(spark, ev, size="1 hour"), job_session(spark)
+    first, second = _shuffled_halves(ev)
+    _feed(job, first)
+    drain(start_stats(streams, job))
+    _feed(job, second)
+    drain(start_stats(streams, replace(job, generation=1)))
+    try:
+        start_stats(streams, replace(job, generation=0))
+    except ValueError:
+        _drop_topics(spark, job)
+        return _shown(spark, job, WINDOWED_SUBMISSIONS)
+    raise RuntimeError("an old generation went on")
+
+
 def st_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five queries at once: two landings and one per windowed table."""
     ev = b.events(spark, sf_dir)
@@ -231,11 +275,31 @@ def speed_and_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def overtaken_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over roots of landed records, with a ranking that a run wrote which another one overtook."""
+    ev = b.events(spark, sf_dir)
+    job, streams = _job(spark, ev, root_batches=1), job_session(spark)
+    later = b.second_half(ev)
+    for run_id, wave in enumerate((ev.where(~later), ev.where(later)), 1):
+        _feed(job, wave)
+        queries = start_landing(streams, job)
+        drain(queries)
+        renew_full(streams, job, queries)
+        if run_batch(spark, job) != run_id:
+            raise RuntimeError(f"run {run_id} did not commit")
+        stalled = job.serving.latest(spark, TRENDING).withColumn("total", F.col("total") + 1)
+        job.serving.upsert(stalled, TRENDING, run_id, replace=False)
+    _drop_topics(spark, job)
+    return current_ranking(spark, job).withColumn(
+        "last_update", F.col("last_update").cast("timestamp_ntz")
+    )
+
+
 QUERIES = {
     f.__name__: sweeping(f)
     for f in (
-        st_decode, st_land, st_upsert, st_late, st_watermark, st_active,
-        st_active_bound, st_replay, st_restart, st_all,
-        speed_and_batch,
+        st_decode, st_land, st_roots, st_upsert, st_late, st_watermark, st_active,
+        st_active_bound, st_replay, st_restart, st_generation, st_all,
+        speed_and_batch, overtaken_batch,
     )
 }
