@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 #: Pieces in one of the two halves of an encoder's memory; the older half goes when the newer is full.
-PIECES = 700_000
+PIECES = 450_000
 
 #: Seconds after which a worker without texts to encode forgets its pieces.
 IDLE = 2.0
