@@ -40,7 +40,7 @@ from tallyrill.llm.words import mix, utf8
 LENGTH = 400
 GRAM = 96
 #: Places of one anchor beyond which its windows are counted one by one.
-HOT = 2_000
+HOT = 10_000
 #: Places of one anchor that meet its segments' verdicts in one part of a join.
 SPREAD = 2_000
 #: Bytes of texts cut at once; longer texts are cut in slices of so many.
