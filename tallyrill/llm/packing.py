@@ -83,9 +83,9 @@ class Windows:
         return [content for _, _, content in self.open]
 
 
-def _pack_task(path: str, end_id: int, window: int, most: int, with_ids: bool):
+def _pack_task(path: str, end_id: int, window: int, most: int, with_ids: bool, pieces: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with encoder(path) as tokens:
+        with encoder(path, pieces) as tokens:
             yield from pack_all(tokens, batches)
 
     def pack_all(tokens: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,15 +172,16 @@ def _merge_group(window: int, most: int, turn: int, last: bool):
 
 def pack(
     docs: DataFrame, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text",
-    end_id: int = END_ID, window: int = WINDOW, open_windows: int = OPEN, with_ids: bool = False,
+    end_id: int = END_ID, window: int = WINDOW, open_windows: int = OPEN, with_ids: bool = False, pieces: int | None = None,
 ) -> DataFrame:
     """Every document's ids, with the end id, as pieces of sequences of at most ``window`` ids.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and with
-    ``with_ids`` its ids as little-endian unsigned 32-bit integers.
+    ``with_ids`` its ids as little-endian unsigned 32-bit integers. ``pieces`` bounds the pieces of text that a task
+    remembers, which changes its memory and speed only.
     """
     source = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    packed = source.mapInArrow(tidy(_pack_task(tokenizer, end_id, window, open_windows, with_ids)), _DDL)
+    packed = source.mapInArrow(tidy(_pack_task(tokenizer, end_id, window, open_windows, with_ids, pieces)), _DDL)
     pieces = written(packed, "pieces")
     done, turn = [pieces.where("not open")], 0
     tasks = pieces.agg(F.max("task")).first()[0] or 0

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 #: Pieces in one of the two halves of an encoder's memory; the older half goes when the newer is full.
-PIECES = 450_000
+PIECES = 700_000
 
 #: Seconds after which a worker without texts to encode forgets its pieces.
 IDLE = 2.0
@@ -53,15 +53,15 @@ def _byte_letters() -> dict[int, str]:
 class _Pieces(dict):
     """Piece of text to the bytes of its ids; a missing one is looked up in the older half or made."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int | None):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
             ids = self.make(piece)
-        if len(self) >= PIECES:
+        if len(self) >= (self.most or PIECES):
             self.old = dict(self)
             self.clear()
         self[piece] = ids
@@ -71,7 +71,7 @@ class _Pieces(dict):
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pieces: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -82,8 +82,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             self._recognise(json.load(f))
         self.letters = _byte_letters()
-        self.after_space = _Pieces(lambda p: self._piece(" ", p))
-        self.first = self.after_space if self.lower else _Pieces(lambda p: self._piece("", p))
+        self.after_space = _Pieces(lambda p: self._piece(" ", p), pieces)
+        self.first = self.after_space if self.lower else _Pieces(lambda p: self._piece("", p), pieces)
 
     def _recognise(self, spec: dict) -> None:
         norm, pre = spec.get("normalizer"), spec.get("pre_tokenizer") or {}
@@ -133,7 +133,7 @@ class Encoder:
         return self.line.join(out)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 _idle: threading.Timer | None = None
 
 
@@ -143,7 +143,7 @@ def _forget() -> None:
 
 
 @contextmanager
-def encoder(path: str) -> Iterator[Encoder]:
+def encoder(path: str, pieces: int | None = None) -> Iterator[Encoder]:
     """This Python worker's encoder for a tokenizer file.
 
     Workers live on for tasks of any kind, so what the encoder remembers goes IDLE seconds after
@@ -152,8 +152,9 @@ def encoder(path: str) -> Iterator[Encoder]:
     global _idle
     if _idle is not None:
         _idle.cancel()
-    own = _ENCODERS.get(path) or Encoder(path)  # the timer may empty the memory at any moment
-    _ENCODERS[path] = own
+    key = path, pieces
+    own = _ENCODERS.get(key) or Encoder(path, pieces)  # the timer may empty the memory at any moment
+    _ENCODERS[key] = own
     try:
         yield own
     finally:
