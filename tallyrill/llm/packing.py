@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrill.llm.store import tidy, written
+from tallyrill.llm.store import written
 from tallyrill.llm.tokens import Encoder, encoder
 
 WINDOW = 1024
@@ -181,7 +181,7 @@ def pack(
     remembers, which changes its memory and speed only.
     """
     source = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
-    packed = source.mapInArrow(tidy(_pack_task(tokenizer, end_id, window, open_windows, with_ids, pieces)), _DDL)
+    packed = source.mapInArrow(_pack_task(tokenizer, end_id, window, open_windows, with_ids, pieces), _DDL)
     pieces = written(packed, "pieces")
     done, turn = [pieces.where("not open")], 0
     tasks = pieces.agg(F.max("task")).first()[0] or 0
