@@ -1,8 +1,9 @@
 import random
+import sys
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from tallyrill.llm import toxicity
+from tallyrill.llm import tokens, toxicity
 from tests.llm.test_documents import base_spans, brute_windows, components
 
 
@@ -78,3 +79,16 @@ def test_run_gives_what_the_stages_give(spark, tmp_path):
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     per = got.groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
     assert 250 < len(per) < 320 and all(r["sum(length)"] == r["max(doc_tokens)"] for r in per)
+
+
+def test_packing_leaves_room_for_what_earlier_stages_hold(spark, docs, monkeypatch):
+    given = {}
+    monkeypatch.setattr(corpus_pipeline.packing, "pack", lambda docs, path, **settings: given.update(settings))
+    corpus_pipeline.pack_sequences(spark, docs([]), "")
+    held = tokens._Pieces(lambda piece: bytes(12), given["pieces"])
+    most = 0
+    for i in range(3 * given["pieces"] - 1):  # both halves are full at the end
+        held[f"word{i}"]
+    for half in (held, held.old):
+        most += sys.getsizeof(half) + sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in half.items())
+    assert 2 * most < 100 << 20  # an encoder has two such memories
